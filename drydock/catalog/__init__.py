@@ -8,8 +8,8 @@ from drydock.session import ship_package
 
 
 def _modules():
-    from drydock.catalog import profiles, shaping
-    return (profiles, shaping)
+    from drydock.catalog import dictionaries, intake, profiles, shaping
+    return (profiles, shaping, intake, dictionaries)
 
 
 def queries() -> dict:

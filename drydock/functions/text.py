@@ -91,3 +91,8 @@ def decode_text(content: Column) -> Column:
 
 def megabytes(size: Column) -> Column:
     return size.cast("double") / F.lit(1048576.0)
+
+
+def megabytes_text(size: Column, digits: int) -> Column:
+    """Megabytes with a fixed number of decimals, ties going to the even digit."""
+    return F.format_string(f"%.{digits}f", F.bround(megabytes(size), digits))

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from drydock.config import Registry
-from drydock.functions.text import file_name, megabytes
+from drydock.functions.text import file_name, megabytes, megabytes_text
 from drydock.operators.lookups import exclude, lookup
 
 _SALTS = 16
@@ -45,7 +45,7 @@ def reconcile(expected: DataFrame, landed: DataFrame, key: str, force: bool = Fa
     joined = lookup(expected, sizes, [key], "left", _SALTS)
     there = F.col("length").isNotNull() & F.lit(not force)
     note = F.concat(F.lit("Already exists ("),
-                    F.format_string("%.2f", megabytes(F.col("length"))), F.lit(" MB)"))
+                    megabytes_text(F.col("length"), 2), F.lit(" MB)"))
     return joined.withColumn("status", F.when(there, "present").otherwise("fetch")).withColumn(
         "message", F.when(there, note).otherwise(F.lit("")))
 
@@ -68,7 +68,7 @@ def deletion_preview(files: DataFrame) -> DataFrame:
     """The dry-run lines: which file would go, and how large it is."""
     return files.select(
         "file_class", file_name(F.col("path")).alias("file"),
-        F.format_string("%.1f", megabytes(F.col("length"))).alias("size_mb"))
+        megabytes_text(F.col("length"), 1).alias("size_mb"))
 
 
 def ingest_report(outcomes: DataFrame) -> DataFrame:

@@ -110,4 +110,4 @@ def profile_report(profiles: DataFrame) -> DataFrame:
     """One printable line per dataset, with thousands separators."""
     return profiles.select(
         "dataset", F.format_number("rows", 0).alias("rows"), "variables", "with_descriptions",
-        F.format_number("size_mb", 1).alias("size_mb"))
+        F.format_string("%.1f", F.bround("size_mb", 1)).alias("size_mb"))
