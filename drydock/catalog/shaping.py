@@ -148,7 +148,7 @@ _TYPES_SQL = " UNION ALL ".join(
 def typed_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns of lineitem to text, and back by inference."""
     texts = as_text(table(spark, sf_dir, "lineitem"))
-    return apply_types(texts, inferred(texts))
+    return apply_types(texts, inferred(texts), proven=True)
 
 
 def tokens_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,11 @@ def _bare(c: Column) -> Column:
     return F.btrim(c, F.lit(_BLANKS))
 
 
+# First characters (as code points) a number can have.
+_NUMBER_STARTS = [*range(9, 14), ord(" "), ord("+"), ord("-"), ord("."), *range(ord("0"), ord("9") + 1),
+                  ord("i"), ord("I")]
+
+
 def is_integer(c: Column) -> Column:
     return c.rlike(INTEGER)
 
@@ -40,12 +45,14 @@ def to_double(c: Column) -> Column:
     return F.when(is_number(c) & (~overflow | spelled), value)
 
 
-def to_bigint(c: Column) -> Column:
-    """Text to BIGINT; fractions, overflows and non-numbers become null."""
-    value = to_double(c)
-    whole = (value == F.floor(value)) & (value >= -_TWO_63) & (value < _TWO_63)
-    return F.when(is_integer(c), _bare(c).try_cast("bigint")).when(
-        whole, value.try_cast("bigint"))
+def to_bigint(c: Column, as_double: Column | None = None) -> Column:
+    """Text to BIGINT; fractions, overflows and non-numbers become null.
+
+    ``as_double`` may hold ``to_double(c)`` computed before.
+    """
+    value = to_double(c) if as_double is None else as_double
+    whole = F.when(F.abs(value) < _TWO_63, value.cast("bigint"))
+    return F.when(is_integer(c), _bare(c).try_cast("bigint")).when(whole.cast("double") == value, whole)
 
 
 def to_boolean(c: Column) -> Column:
@@ -57,19 +64,24 @@ def to_unsigned(c: Column) -> Column:
 
 
 def kind(c: Column) -> Column:
-    """The bit of one text value (0 for null)."""
+    """The bit of one text value (0 for null).
+
+    A failing cast costs far more than a pattern, so a value is cast only once
+    a pattern has let it through, and long texts are told by their first letter.
+    """
     signed = _bare(c).try_cast("bigint")
     wide = _bare(c).try_cast("decimal(20,0)")
-    integer = (
-        F.when(signed < 0, F.lit(INT64 | NEGATIVE))
-        .when(signed.isNotNull(), F.lit(INT64))
-        .when((wide > 0) & (wide <= F.lit("18446744073709551615").cast("decimal(20,0)")), F.lit(UINT64))
-        .otherwise(F.lit(TEXT)))
+    unsigned = (wide > 0) & (wide <= F.lit("18446744073709551615").cast("decimal(20,0)"))
+    integer = F.coalesce(
+        F.when(signed < 0, F.lit(INT64 | NEGATIVE)).when(signed >= 0, F.lit(INT64)),
+        F.when(unsigned, F.lit(UINT64)), F.lit(TEXT))
+    overflow = (F.abs(_bare(c).try_cast("double")) == F.lit(float("inf"))) & ~F.lower(c).contains("inf")
     return (
         F.when(c.isNull(), F.lit(0))
-        .when(is_integer(c), integer)
-        .when(is_number(c), F.when(to_double(c).isNull(), F.lit(TEXT)).otherwise(F.lit(DOUBLE)))
         .when(c.isin(list(TRUE_TOKENS + FALSE_TOKENS)), F.lit(BOOL))
+        .when(~F.ascii(c).isin(_NUMBER_STARTS), F.lit(TEXT))
+        .when(is_integer(c), integer)
+        .when(is_number(c), F.when(overflow, F.lit(TEXT)).otherwise(F.lit(DOUBLE)))
         .otherwise(F.lit(TEXT)))
 
 
@@ -89,15 +101,13 @@ def type_of(kinds: Column, rows: Column) -> Column:
         .otherwise("string"))
 
 
-def as_type(c: Column, name: str) -> Column:
-    """Text to one of the inferred types."""
+def as_type(c: Column, name: str, proven: bool = False) -> Column:
+    """Text to one of the inferred types.
+
+    Where every value is ``proven`` to be of the type, a plain cast will do.
+    """
+    if proven and name in ("bigint", "double", "decimal(20,0)"):
+        return _bare(c).try_cast(name)
     makers = {"bigint": to_bigint, "double": to_double, "boolean": to_boolean,
               "decimal(20,0)": to_unsigned, "string": lambda x: x}
     return makers[name](c)
-
-
-def any_of(columns: Iterable[Column]) -> Column:
-    total = F.lit(0)
-    for c in columns:
-        total = total.bitwiseOR(c)
-    return total

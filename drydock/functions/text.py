@@ -65,7 +65,9 @@ def is_page_number(c: Column, max_digits: int) -> Column:
 
 def null_tokens(c: Column, tokens: Iterable[str] = NULL_TOKENS) -> Column:
     """Null for a text which is one of the tokens (exact match)."""
-    return F.when(~c.isin(list(tokens)), c)
+    tokens = list(tokens)
+    longest = max((len(t.encode()) for t in tokens), default=0)
+    return F.when((F.octet_length(c) > longest) | ~c.isin(tokens), c)
 
 
 def glob_to_regex(pattern: str) -> str:

@@ -41,7 +41,8 @@ def _coerced(df: DataFrame, name: str, mode: str):
     if isinstance(data_type, T.BooleanType):
         return source
     if isinstance(data_type, T.StringType):
-        return numbers.to_bigint(source) if mode == "bigint" else numbers.to_double(source)
+        value = column(_parsed(name))
+        return numbers.to_bigint(source, value) if mode == "bigint" else value
     if mode == "double":
         return source.try_cast("double")
     if isinstance(data_type, T.IntegralType):
@@ -51,14 +52,24 @@ def _coerced(df: DataFrame, name: str, mode: str):
     return numbers.to_bigint(source.try_cast("string"))
 
 
+def _parsed(name: str) -> str:
+    return f"_number of {name}"
+
+
+def _with_parsed(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Add the numbers of text columns, each parsed once for all later uses."""
+    texts = [n for n in names if isinstance(df.schema[n].dataType, T.StringType)]
+    return df.select("*", *[numbers.to_double(column(n)).alias(_parsed(n)) for n in texts])
+
+
 def coerce_ids(df: DataFrame, ids: Iterable[str], mode: str = "bigint") -> DataFrame:
     """Make the identifier columns present numeric; what cannot be is null.
 
     ``mode="bigint"`` keeps whole numbers exact. ``mode="double"`` gives
     floating-point columns, fractions and infinities included.
     """
-    wanted = set(ids)
-    return df.select(*[
+    wanted = set(ids).intersection(df.columns)
+    return _with_parsed(df, wanted).select(*[
         (_coerced(df, n, mode) if n in wanted else column(n)).alias(n, metadata=df.schema[n].metadata)
         for n in df.columns])
 
@@ -68,7 +79,7 @@ def coercion_report(df: DataFrame, ids: Iterable[str], mode: str = "bigint") ->
     present = [n for n in ids if n in df.columns]
     if not present:
         return df.sparkSession.createDataFrame([], "column string, present bigint, lost bigint")
-    counts = df.agg(*[
+    counts = _with_parsed(df, present).agg(*[
         F.struct(
             F.lit(n).alias("column"),
             F.count(column(n)).alias("present"),

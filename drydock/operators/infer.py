@@ -24,21 +24,22 @@ def infer_types(df: DataFrame, tokens: Iterable[str] = NULL_TOKENS,
                 string_columns: Iterable[str] = ()) -> DataFrame:
     """``(position, column, type)`` of text columns.
 
-    Every value is reduced to one bit for its kind; the bits are or-ed per
-    column on the map side, so one tiny row per task is all that is shuffled.
+    Every value is reduced to one bit for its kind, and the bits are or-ed per
+    column on the map side: a task shuffles one tiny row per column. Values are
+    laid out under each other first, so that one short expression serves a
+    table of any width instead of one copy of it per column.
     """
-    tokens, protected = list(tokens), set(string_columns)
-    seen = df.agg(
-        F.count("*").alias("rows"),
-        *[F.bit_or(numbers.kind(null_tokens(column(n), tokens))).alias(f"k{i}")
-          for i, n in enumerate(df.columns)])
-    columns = F.array(*[
-        F.struct(
-            F.lit(i).alias("position"), F.lit(n).alias("column"),
-            (F.lit("string") if n in protected else
-             numbers.type_of(F.coalesce(F.col(f"k{i}"), F.lit(0)), F.col("rows"))).alias("type"))
-        for i, n in enumerate(df.columns)])
-    return seen.select(F.inline(columns))
+    protected = set(string_columns)
+    columns = df.sparkSession.createDataFrame(
+        [(i, n, n in protected) for i, n in enumerate(df.columns)],
+        "position int, column string, protected boolean")
+    values = df.select(F.posexplode(F.array(*[column(n) for n in df.columns])).alias("position", "value"))
+    kinds = (values.select("position", null_tokens(F.col("value"), tokens).alias("value"))
+             .groupBy("position").agg(F.count("*").alias("rows"), F.bit_or(numbers.kind(F.col("value"))).alias("kinds")))
+    found = numbers.type_of(F.col("kinds"), F.col("rows"))
+    return columns.join(kinds, "position", "left").select(
+        "position", "column",
+        F.when(F.col("protected") | F.col("rows").isNull(), "string").otherwise(found).alias("type"))
 
 
 def inferred(df: DataFrame, tokens: Iterable[str] = NULL_TOKENS,
@@ -47,10 +48,14 @@ def inferred(df: DataFrame, tokens: Iterable[str] = NULL_TOKENS,
     return {r["column"]: r["type"] for r in infer_types(df, tokens, string_columns).collect()}
 
 
-def apply_types(df: DataFrame, types: Mapping[str, str],
-                tokens: Iterable[str] = NULL_TOKENS) -> DataFrame:
-    """Turn text columns into the given types, null tokens into nulls."""
+def apply_types(df: DataFrame, types: Mapping[str, str], tokens: Iterable[str] = NULL_TOKENS,
+                proven: bool = False) -> DataFrame:
+    """Turn text columns into the given types, null tokens into nulls.
+
+    ``proven`` says that the types were inferred from this very table, so no
+    value needs to be checked again.
+    """
     tokens = list(tokens)
     return df.select(*[
-        numbers.as_type(null_tokens(column(n), tokens), types.get(n, "string")).alias(n)
+        numbers.as_type(null_tokens(column(n), tokens), types.get(n, "string"), proven).alias(n)
         for n in df.columns])

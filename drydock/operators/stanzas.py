@@ -41,7 +41,7 @@ def section_marker(line: Column, grammar: DictionaryGrammar = DictionaryGrammar(
 
 
 def dictionary_lines(pages: DataFrame, doc: str, page: str, text: str) -> DataFrame:
-    """Non-blank lines as ``(doc, _key, _block, pos, line)``.
+    """Non-blank lines as ``(_key, _block, pos, line)``, the key holding ``doc``.
 
     Pages need not be joined first: the blank line between two pages means
     nothing to the grammar.
@@ -51,7 +51,7 @@ def dictionary_lines(pages: DataFrame, doc: str, page: str, text: str) -> DataFr
         doc,
         (F.col(page).cast("bigint") * F.lit(_LINES_PER_PAGE) + F.col("line_no")).alias("pos"),
         F.floor(F.col(page) / F.lit(PAGES_PER_BLOCK)).cast("bigint").alias("_block"), "line")
-    return with_sequence_key(placed, [doc])
+    return with_sequence_key(placed, [doc]).drop(doc)
 
 
 def parse_stanzas(pages: DataFrame, doc: str, page: str, text: str,
@@ -89,7 +89,7 @@ def parse_stanzas(pages: DataFrame, doc: str, page: str, text: str,
 
     is_body = in_text & ~is_label & ~is_page_number(line, grammar.max_page_number_digits)
     facts = placed.filter(F.col("stanza").isNotNull() & ~stopped).select(
-        doc, "stanza", "pos", "line", "table",
+        F.col("_key")[doc].alias(doc), "stanza", "pos", "line", "table",
         is_column.alias("is_column"), is_type.alias("is_type"), is_text.alias("is_text"),
         F.coalesce(is_body, F.lit(False)).alias("is_body"))
     stanzas = (

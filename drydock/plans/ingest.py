@@ -59,7 +59,7 @@ def typed_table(rows: DataFrame, roles: ColumnRoles = ColumnRoles(), mode: str =
     texts = assemble_table(rows, headers)
     ids = [n for n in texts.columns if n.upper().strip() in roles.id_columns]
     types = inferred(texts, string_columns=[*string_columns, *ids])
-    return standardize(apply_types(texts, types), roles, mode)
+    return standardize(apply_types(texts, types, proven=True), roles, mode)
 
 
 def ingest(spark: SparkSession, root: str, out: str, registry: Registry,
