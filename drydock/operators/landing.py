@@ -56,12 +56,16 @@ def skip_or_force(work: DataFrame, published: DataFrame, key: str, force: bool =
 
 
 def inventory_totals(files: DataFrame) -> DataFrame:
-    """Files and megabytes per class, and over all classes (class ``total``)."""
-    return (files.rollup("file_class")
-            .agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
-                 F.grouping("file_class").alias("_all"))
-            .select(F.when(F.col("_all") == 1, "total").otherwise(F.col("file_class")).alias("file_class"),
-                    "files", "bytes", megabytes(F.col("bytes")).alias("size_mb")))
+    """Files and megabytes per class, and over all classes (class ``total``).
+
+    The total is taken over the few class rows, and is there even if no file is.
+    """
+    by_class = files.groupBy("file_class").agg(
+        F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+    total = by_class.agg(F.coalesce(F.sum("files"), F.lit(0)).alias("files"),
+                         F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
+    both = by_class.unionByName(total.select(F.lit("total").alias("file_class"), "files", "bytes"))
+    return both.withColumn("size_mb", megabytes(F.col("bytes")))
 
 
 def deletion_preview(files: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from drydock.config import ColumnRoles, Dataset, Provenance, Registry
 from drydock.functions.text import file_name
-from drydock.operators.columns import standardize
+from drydock.operators.columns import normalized_names, standardize
 from drydock.operators.describe import attach_descriptions, descriptions_for
 from drydock.operators.distinct import keep_first
 from drydock.operators.infer import apply_types, inferred
@@ -57,7 +57,8 @@ def typed_table(rows: DataFrame, roles: ColumnRoles = ColumnRoles(), mode: str =
     Identifiers skip inference: they are made numeric straight from their text.
     """
     texts = assemble_table(rows, headers)
-    ids = [n for n in texts.columns if n.upper().strip() in roles.id_columns]
+    clean = normalized_names(texts.columns)  # refuses names which would collide
+    ids = [n for n, c in zip(texts.columns, clean) if c in roles.id_columns]
     types = inferred(texts, string_columns=[*string_columns, *ids])
     return standardize(apply_types(texts, types, proven=True), roles, mode)
 
