@@ -298,7 +298,7 @@ def strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells, pages = _strategy_inputs(spark, sf_dir)
-    return without_definitions(pages, build_dictionary(cells, pages, "doc", "page", "text"), "doc")
+    return without_definitions(pages, build_dictionary(cells, pages, "doc", "page", "text"), "doc", "page")
 
 
 # -- descriptions on columns ---------------------------------------------------------

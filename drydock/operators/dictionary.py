@@ -85,13 +85,13 @@ def build_dictionary(cells: DataFrame, pages: DataFrame, doc: str, page: str, te
     from_grids = clean_tables(cells, doc, roles, table_map).select(
         doc, "variable", "table", "data_type", "description",
         F.lit(None).cast("string").alias("full_description"), F.lit("grid").alias("route"))
-    others = exclude(pages, from_grids, [doc], _SALTS)
+    others = exclude(pages, from_grids, [doc], _SALTS, [page])
     from_text = parse_stanzas(others, doc, page, text, grammar).select(
         doc, "variable", "table", "data_type", "description", "full_description",
         F.lit("text").alias("route"))
     return from_grids.unionByName(from_text)
 
 
-def without_definitions(pages: DataFrame, definitions: DataFrame, doc: str) -> DataFrame:
+def without_definitions(pages: DataFrame, definitions: DataFrame, doc: str, page: str) -> DataFrame:
     """Pages of documents neither route could read, kept for a human reader."""
-    return exclude(pages, definitions, [doc], _SALTS)
+    return exclude(pages, definitions, [doc], _SALTS, [page])

@@ -62,7 +62,7 @@ def grid_rows(cells: DataFrame, doc: str, roles: GridRoles = GridRoles()) -> Dat
     """Rows of all grids as ``(doc, grid_no, row_no, variable, description)``."""
     kinds = detect_column_roles(promote_header(cells, doc), doc, roles).join(
         non_trivial_grids(cells, doc), [doc, "table_id"])
-    placed = lookup(cells.filter(F.col("row_no") > 0), kinds, [doc, "table_id"], "inner", _TABLE_SALTS)
+    placed = lookup(cells.filter(F.col("row_no") > 0), kinds, [doc, "table_id"], "inner", _TABLE_SALTS, ["row_no"])
     value, col_no = strip(F.coalesce("text", F.lit(""))), F.col("col_no")
     rows = (
         placed.filter((col_no == F.col("name_col")) | (col_no == F.col("text_col")))

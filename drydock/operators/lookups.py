@@ -16,24 +16,30 @@ from drydock.functions.text import contains_any, stem, upper_strip
 
 
 def lookup(facts: DataFrame, dims: DataFrame, on: Sequence[str], how: str = "left",
-           salts: int = 1) -> DataFrame:
-    """Join each fact to the dimension row of its key (at most one per key)."""
+           salts: int = 1, salt_by: Sequence[str] = ()) -> DataFrame:
+    """Join each fact to the dimension row of its key (at most one per key).
+
+    The salt of a fact is a hash of its ``salt_by`` columns (all columns if
+    none are named), so a task which is run again deals its rows out alike.
+    """
     if salts <= 1:
         return facts.join(dims, list(on), how)
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c, t in facts.dtypes if not t.startswith("map")]),
-                    F.lit(salts)).cast("int")
+    parts = list(salt_by) or [c for c, t in facts.dtypes if "map<" not in t]
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in parts]), F.lit(salts)).cast("int")
     copies = dims.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return facts.withColumn("_salt", spread).join(copies, [*on, "_salt"], how).drop("_salt")
 
 
-def exclude(work: DataFrame, done: DataFrame, on: Sequence[str], salts: int = 1) -> DataFrame:
+def exclude(work: DataFrame, done: DataFrame, on: Sequence[str], salts: int = 1,
+            salt_by: Sequence[str] = ()) -> DataFrame:
     """Rows of ``work`` whose key is not in ``done``."""
-    return lookup(work, done.select(*on).distinct(), on, "left_anti", salts)
+    return lookup(work, done.select(*on).distinct(), on, "left_anti", salts, salt_by)
 
 
-def include(work: DataFrame, done: DataFrame, on: Sequence[str], salts: int = 1) -> DataFrame:
+def include(work: DataFrame, done: DataFrame, on: Sequence[str], salts: int = 1,
+            salt_by: Sequence[str] = ()) -> DataFrame:
     """Rows of ``work`` whose key is in ``done``."""
-    return lookup(work, done.select(*on).distinct(), on, "left_semi", salts)
+    return lookup(work, done.select(*on).distinct(), on, "left_semi", salts, salt_by)
 
 
 def join_descriptions(columns: DataFrame, dictionary: DataFrame, salts: int = 1) -> DataFrame:
@@ -68,9 +74,8 @@ def with_dataset_description(df: DataFrame, registry: Registry, dataset: str = "
     return df.withColumn("description", _by_dataset(F.col(dataset), registry, "description", UNKNOWN_DATASET))
 
 
-def dataset_of(path, registry: Registry):
-    """First registered dataset whose pattern occurs in the file's stem."""
-    base = F.upper(stem(path))
+def dataset_of(base, registry: Registry):
+    """First registered dataset whose pattern occurs in an upper-cased stem."""
     label = F.lit(None).cast("string")
     for d in reversed(registry.datasets):
         label = F.when(contains_any(base, [d.archive_pattern]), F.lit(d.name)).otherwise(label)
@@ -81,7 +86,9 @@ def classify(files: DataFrame, registry: Registry, path: str = "path") -> DataFr
     """Files with ``dataset`` (null if unrecognised), its table and description.
 
     The registry is a short list in code, so this is a projection: no join, no
-    shuffle, and the first pattern in registry order wins.
+    shuffle, and the first pattern in registry order wins. The stem is taken in
+    a projection of its own, once for all patterns.
     """
-    named = files.withColumn("dataset", dataset_of(F.col(path), registry))
+    named = (files.withColumn("_stem", F.upper(stem(F.col(path))))
+             .withColumn("dataset", dataset_of(F.col("_stem"), registry)).drop("_stem"))
     return with_dataset_description(with_dictionary_table(named, registry), registry)

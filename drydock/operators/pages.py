@@ -7,19 +7,21 @@ from pyspark.sql import DataFrame, functions as F
 from drydock.operators.sequences import Running, scan
 
 PART_CHARS = 1 << 28
+PAGES_PER_BLOCK = 4096
 
 
 def assemble_pages(pages: DataFrame, doc: str, order: str, text: str, sep: str = "\n\n",
-                   part_chars: int = PART_CHARS, block: str | None = None) -> DataFrame:
+                   part_chars: int = PART_CHARS) -> DataFrame:
     """Texts ``(doc, part_no, text, n_chars)`` of all non-empty pages in order.
 
     An ordinary document has one part. One longer than ``part_chars`` comes in
     several numbered parts, cut between pages: no document, however long, is
     held whole in one task. Joining the parts with ``sep`` gives its full text.
     """
-    filled = pages.select(doc, order, text, *([block] if block else [])).filter(F.length(text) > 0)
+    filled = pages.select(doc, order, text).filter(F.length(text) > 0).withColumn(
+        "_block", F.floor(F.col(order) / F.lit(PAGES_PER_BLOCK)).cast("bigint"))
     offsets = scan(filled, [doc], order,
-                   {"_before": Running("sum", F.length(text).cast("bigint"), inclusive=False)}, block)
+                   {"_before": Running("sum", F.length(text).cast("bigint"), inclusive=False)}, "_block")
     part = F.floor(F.coalesce(F.col("_before"), F.lit(0)) / F.lit(part_chars)).cast("int")
     joined = F.expr(
         f"listagg(`{text}`, {_literal(sep)}) WITHIN GROUP (ORDER BY `{order}`)")

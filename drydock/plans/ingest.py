@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from drydock.config import ColumnRoles, Dataset, Provenance, Registry
@@ -10,15 +14,17 @@ from drydock.operators.columns import normalized_names, standardize
 from drydock.operators.describe import attach_descriptions, descriptions_for
 from drydock.operators.distinct import keep_first
 from drydock.operators.infer import apply_types, inferred
-from drydock.operators.lookups import classify, dataset_of, exclude, include
+from drydock.operators.lookups import classify, exclude, include
 from drydock.operators.union import assemble_table
 from drydock.session import scratch
 from drydock.sinks.parquet import publish
-from drydock.sources.archives import errors_by_archive, expand_archives
+from drydock.sources.archives import ROW_SCHEMA, errors_by_archive, expand_archives
 from drydock.sources.listing import list_archives, list_files, published_names, read_archives, unread
 
 # Up to this many archives are loaded by name.
 NAMED_PATHS = 10_000
+# Datasets published at the same time.
+PARALLEL_DATASETS = 8
 
 OUTCOME_SCHEMA = "path string, status string, dataset string, message string"
 
@@ -80,11 +86,19 @@ def ingest(spark: SparkSession, root: str, out: str, registry: Registry,
     settled.write.mode("overwrite").parquet(f"{staged_at}/settled")
     work.write.mode("overwrite").parquet(f"{staged_at}/work")
     work = spark.read.schema("path string, dataset string").parquet(f"{staged_at}/work")
-    archives = archives_of(spark, root, work)
-    stage_records(expand_archives(archives), registry, f"{staged_at}/records")
-    outcomes = publish_staged(spark, f"{staged_at}/records", work, out, registry, dictionary, roles,
-                              provenance, mode, string_columns)
-    return spark.read.schema(OUTCOME_SCHEMA).parquet(f"{staged_at}/settled").unionByName(outcomes)
+    present = {r["dataset"] for r in work.select("dataset").distinct().collect()}
+    found = [d for d in registry if d.name in present]
+
+    def run(dataset: Dataset) -> DataFrame:
+        paths = work.filter(F.col("dataset") == dataset.name)
+        records = stage_records(archives_of(spark, root, paths), f"{staged_at}/records/{dataset.name}")
+        return publish_staged(records, paths, out, dataset, dictionary, roles, provenance, mode, string_columns)
+
+    outcomes = [spark.read.schema(OUTCOME_SCHEMA).parquet(f"{staged_at}/settled")]
+    # Datasets are independent, so their jobs are submitted side by side.
+    with ThreadPoolExecutor(max_workers=max(1, min(len(found), PARALLEL_DATASETS))) as pool:
+        outcomes += pool.map(inheritable_thread_target(spark)(run), found)
+    return reduce(DataFrame.unionByName, outcomes)
 
 
 def archives_of(spark: SparkSession, root: str, work: DataFrame) -> DataFrame:
@@ -102,10 +116,10 @@ def archives_of(spark: SparkSession, root: str, work: DataFrame) -> DataFrame:
     return unread(include(list_archives(spark, root), work, ["path"]))
 
 
-def stage_records(rows: DataFrame, registry: Registry, path: str) -> None:
-    """Write expanded records, one folder per dataset."""
-    (rows.withColumn("dataset", dataset_of(F.col("path"), registry))
-     .write.mode("overwrite").partitionBy("dataset").parquet(path))
+def stage_records(archives: DataFrame, path: str) -> DataFrame:
+    """Expanded records, written once and read from there ever after."""
+    expand_archives(archives).write.mode("overwrite").parquet(path)
+    return archives.sparkSession.read.schema(ROW_SCHEMA).parquet(path)
 
 
 def archive_outcomes(rows: DataFrame, work: DataFrame) -> DataFrame:
@@ -120,26 +134,21 @@ def archive_outcomes(rows: DataFrame, work: DataFrame) -> DataFrame:
         F.when(F.col("error").isNull(), done).otherwise(failed).alias("message"))
 
 
-def publish_staged(spark: SparkSession, staged: str, work: DataFrame, out: str, registry: Registry,
+def publish_staged(records: DataFrame, work: DataFrame, out: str, dataset: Dataset,
                    dictionary: DataFrame | None, roles: ColumnRoles, provenance: Provenance,
                    mode: str, string_columns) -> DataFrame:
-    """Publish each dataset with sound archives. The loop is over the registry."""
-    schema = ("path string, member string, row_no bigint, layout bigint, "
-              "fields array<string>, error string, dataset string")
-    records = spark.read.schema(schema).parquet(staged)
+    """Publish the sound archives of one dataset; outcomes of all its archives."""
     broken = errors_by_archive(records)
-    outcomes = work.join(broken, "path").select(
+    failed = work.join(broken, "path").select(
         "path", F.lit("error").alias("status"), "dataset",
         F.concat(F.lit("Error processing "), file_name(F.col("path")), F.lit(": "), "error").alias("message"))
     sound = exclude(work, broken, ["path"])
-    present = {r["dataset"] for r in sound.select("dataset").distinct().collect()}
-    for dataset in (d for d in registry if d.name in present):
-        paths = sound.filter(F.col("dataset") == dataset.name)
-        rows = include(records.filter(F.col("dataset") == dataset.name), paths, ["path"], salts=16)
-        status, message = _publish_one(rows, out, dataset, dictionary, roles, provenance, mode, string_columns)
-        outcomes = outcomes.unionByName(paths.select(
-            "path", F.lit(status).alias("status"), "dataset", F.lit(message).alias("message")))
-    return outcomes
+    if sound.isEmpty():
+        return failed
+    rows = include(records, sound, ["path"], salts=16, salt_by=["member", "row_no"])
+    status, message = _publish_one(rows, out, dataset, dictionary, roles, provenance, mode, string_columns)
+    return failed.unionByName(sound.select(
+        "path", F.lit(status).alias("status"), "dataset", F.lit(message).alias("message")))
 
 
 def _publish_one(rows: DataFrame, out: str, dataset: Dataset, dictionary, roles, provenance,

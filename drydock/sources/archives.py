@@ -271,25 +271,24 @@ def list_members(archives: DataFrame) -> DataFrame:
     return archives.select("path", "content").mapInArrow(_member_lister, MEMBER_SCHEMA)
 
 
-def expand_archives(archives: DataFrame, header_only: bool = False,
-                    by_member: bool = True) -> DataFrame:
+def expand_archives(archives: DataFrame, header_only: bool = False) -> DataFrame:
     """Records of all CSV members: ``(path, member, row_no, layout, fields, error)``.
 
     Record 0 is the header as column names; ``layout`` identifies it. A broken
     archive gives rows with ``error`` set instead of failing the job.
 
-    Archives which came with their bytes are small, and each is one unit of
-    work. The others are split further: their indexes are read first, and every
-    member becomes a unit of its own, spread over the cluster.
+    An archive which comes with its bytes is small, and is one unit of work.
+    The others (``inline`` false) are split further: their indexes are read
+    first, and every member becomes a unit of its own, spread over the cluster.
+    ``inline`` is a constant on each side of a listing, so the planner drops
+    the side which is not there, and no bytes are read to tell them apart.
     """
     stage = _expander(header_only)
-    inline = archives.filter(F.col("content").isNotNull()).select(
-        "path", F.lit(None).cast("string").alias("member"), "content")
-    rows = inline.mapInArrow(stage, ROW_SCHEMA)
-    if not by_member:
-        return rows
-    opened = archives.filter(F.col("content").isNull())
-    units = list_members(opened)
+    if "inline" not in archives.columns:
+        archives = archives.withColumn("inline", F.lit(True))
+    rows = archives.filter(F.col("inline")).select(
+        "path", F.lit(None).cast("string").alias("member"), "content").mapInArrow(stage, ROW_SCHEMA)
+    units = list_members(archives.filter(~F.col("inline")))
     large = (units.filter(F.col("member").isNotNull())
              .repartition(F.col("path"), F.col("member"))
              .select("path", "member", F.lit(None).cast("binary").alias("content"))

@@ -139,7 +139,7 @@ def test_routes_per_document(spark):
     built = build_dictionary(cells, pages, "doc", "page", "text")
     assert {(r.doc, r.variable, r.route) for r in built.collect()} == {
         ("both", "GRID_ONE", "grid"), ("text", "TEXT_TWO", "text"), ("barren", "TEXT_THREE", "text")}
-    assert [r.doc for r in without_definitions(pages, built, "doc").collect()] == ["none"]
+    assert [r.doc for r in without_definitions(pages, built, "doc", "page").collect()] == ["none"]
     seen = parse_stanzas(pages, "doc", "page", "text")
     assert {r.doc: r.n for r in section_counts(seen, "doc", "seq").collect()} == {"both": 1, "text": 1, "barren": 1}
     assert preview(seen, ["doc"], 2).columns == ["variable", "table", "data_type", "description"]
