@@ -63,18 +63,25 @@ def to_unsigned(c: Column) -> Column:
     return F.when(is_integer(c), _bare(c).try_cast("decimal(20,0)"))
 
 
+def _whole(value: int) -> Column:
+    return F.lit(str(value)).cast("decimal(38,0)")
+
+
 def kind(c: Column) -> Column:
     """The bit of one text value (0 for null).
 
     A failing cast costs far more than a pattern, so a value is cast only once
     a pattern has let it through, and long texts are told by their first letter.
     """
-    signed = _bare(c).try_cast("bigint")
-    wide = _bare(c).try_cast("decimal(20,0)")
-    unsigned = (wide > 0) & (wide <= F.lit("18446744073709551615").cast("decimal(20,0)"))
-    integer = F.coalesce(
-        F.when(signed < 0, F.lit(INT64 | NEGATIVE)).when(signed >= 0, F.lit(INT64)),
-        F.when(unsigned, F.lit(UINT64)), F.lit(TEXT))
+    # Up to 18 characters always fit 64 bits; longer ones are told by decimals.
+    short = F.when(_bare(c).try_cast("bigint") < 0, F.lit(INT64 | NEGATIVE)).otherwise(F.lit(INT64))
+    wide = _bare(c).try_cast("decimal(38,0)")
+    long = (
+        F.when(wide.between(_whole(-2**63), _whole(-1)), F.lit(INT64 | NEGATIVE))
+        .when(wide.between(_whole(0), _whole(2**63 - 1)), F.lit(INT64))
+        .when(wide.between(_whole(2**63), _whole(2**64 - 1)), F.lit(UINT64))
+        .otherwise(F.lit(TEXT)))
+    integer = F.when(F.octet_length(c) <= 18, short).otherwise(long)
     overflow = (F.abs(_bare(c).try_cast("double")) == F.lit(float("inf"))) & ~F.lower(c).contains("inf")
     return (
         F.when(c.isNull(), F.lit(0))
