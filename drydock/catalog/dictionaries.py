@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from drydock.catalog.common import SQL_BLANKS, SQL_WHITESPACE, as_text, table
+from drydock.catalog.common import SQL_BLANKS, SQL_WHITESPACE, table
 from drydock.config import Dataset, Registry
-from drydock.functions.text import collapse_blanks, is_page_number, strip
+from drydock.functions.text import is_page_number
 from drydock.operators.describe import attach_descriptions, descriptions_for
 from drydock.operators.dictionary import (
     build_dictionary, load_dictionary, preview, read_dictionary, section_counts,
@@ -19,7 +19,7 @@ from drydock.operators.pages import assemble_pages
 from drydock.operators.sequences import explode_lines, forward_fill, segment
 from drydock.operators.stanzas import compose_description, definition_name, parse_stanzas
 from drydock.session import scratch
-from drydock.sinks.parquet import publish, publish_table, read_column_catalog
+from drydock.sinks.parquet import publish, read_column_catalog
 from drydock.sinks.text import write_dictionary_csv, write_text
 from drydock.sources.listing import column_catalog
 
@@ -135,8 +135,9 @@ def stripped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines_without_page_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines left once page numbers and blank lines go; order keys stand in for
-    the numbers, a page number being any of up to three digits."""
+    """Lines left once page numbers and blank lines go. Each text gets its key
+    as a first line and two numbers as last ones; up to three digits count as
+    a page number."""
     documents = table(spark, sf_dir, "documents")
     paged = documents.select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit("\n "),
                                                 F.col("text"), F.lit("\n12345\n 7 ")).alias("text"))

@@ -117,7 +117,7 @@ def _mixed_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length(F.encode("html", "UTF-8")).cast("bigint").alias("length"),
         F.encode("html", "UTF-8").alias("content"))
 
-    def by(df, key, name, suffix, columns, body=None):
+    def by(df, key, name, suffix, columns):
         path = F.concat(F.lit(f"/landing/{name}_"), F.col(key).cast("string"), F.lit(".ZIP"))
         return zip_members(csv_members(df, path, F.lit(f"data{suffix}"), columns[0], columns))
 
@@ -127,7 +127,6 @@ def _mixed_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "block", "csv_part", ".txt", ["doc_id", "quality"])
     supplier = table(spark, sf_dir, "supplier").withColumn("block", block_of("s_suppkey", 20))
     path = F.concat(F.lit("/landing/csv_supplier_"), F.col("block").cast("string"), F.lit(".ZIP"))
-    line = F.concat_ws(",", "s_suppkey", "s_name", F.lit("extra"))
     suppliers = zip_members(
         supplier.groupBy(path.alias("path")).agg(F.concat(
             F.lit("s_suppkey,s_name\n"),

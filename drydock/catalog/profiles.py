@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from drydock.catalog.common import DESCRIPTIONS, TABLE_REGISTRY, TABLES, table
-from drydock.config import ColumnRoles, UNKNOWN_DATASET
+from drydock.config import UNKNOWN_DATASET
 from drydock.operators.profile import (
     PROFILE_COLUMNS, date_coverage, export_profile, profile, profile_all, profile_totals, valid_dates)
 from drydock.operators.describe import attach_descriptions

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, functions as F
 
 from drydock.config import FALSE_TOKENS, TRUE_TOKENS
