@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from drydock.catalog.common import (
-    TABLE_REGISTRY, block_of, csv_members, document_archives, order_archives, table, write_archives,
+    TABLE_REGISTRY, TABLES, block_of, csv_members, document_archives, order_archives, table, write_archives,
     zip_members)
 from drydock.config import ColumnRoles, Dataset, FILE_CLASSES, Provenance, Registry
 from drydock.functions.text import decode_text, file_name, is_csv_member, stem
@@ -392,6 +392,7 @@ ORACLES = {
         f"printf('%.1f', length / 1048576.0) AS size_mb FROM {_FILES} WHERE file_class IS NOT NULL"),
     "union_distinct_paths": (
         f"SELECT DISTINCT path, length FROM {_FILES} WHERE file_class IS NOT NULL"),
+    "published_names": " UNION ALL ".join(f"SELECT '{name}' AS dataset" for name in TABLES),
     "dataset_catalog": (
         "SELECT 'source_' || i AS dataset, 'CSV_SRC' || i || '.ZIP' AS file, "
         "CASE WHEN bytes IS NULL THEN 'fetch' ELSE 'present' END AS status, "
