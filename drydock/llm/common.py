@@ -158,3 +158,44 @@ def chunks(rows: Sequence, sizes: Sequence[int], most: int):
         total += n
     if start < len(rows):
         yield rows[start:]
+
+
+def whole_groups(batches, keys: Sequence[str], most_rows: int, most_bytes: int):
+    """Arrow tables of whole groups from batches that are sorted by ``keys`` (no nulls).
+
+    A table has at least ``most_rows`` rows or ``most_bytes`` bytes, but for the
+    last; groups are kept small by whoever deals them out.
+    """
+    import pyarrow as pa
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows < most_rows and size < most_bytes:
+            continue
+        whole = pa.Table.from_batches(held)
+        new = np.zeros(whole.num_rows, dtype=bool)
+        for k in keys:
+            values = whole.column(k).to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        cut = int(np.flatnonzero(new)[-1]) if new.any() else 0
+        if cut:
+            yield whole.slice(0, cut)
+        rest = whole.slice(cut).combine_chunks()
+        held = rest.to_batches()
+        rows, size = rest.num_rows, rest.nbytes
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def group_starts(table, keys: Sequence[str]) -> np.ndarray:
+    """Where the groups of a sorted table begin, and its end."""
+    new = np.ones(table.num_rows, dtype=bool)
+    if table.num_rows:
+        new[1:] = False
+    for k in keys:
+        values = table.column(k).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.append(np.flatnonzero(new), table.num_rows)
