@@ -67,23 +67,38 @@ def build_index(rows: list[tuple], q: int = Q, error_rate: float = ERROR_RATE) -
 def banded_distance(item: np.ndarray, region: np.ndarray, low: int, high: int, most: int) -> int:
     """Least edits that turn ``item`` into some part of ``region``, along diagonals low..high.
 
-    Row i of the table holds region positions i + low .. i + high; the part may
-    begin and end anywhere in it. Returns most + 1 where no alignment is as cheap.
+    On diagonal d the item's character i meets the region's character i + d; the
+    part may begin and end anywhere. For 0, 1, 2 ... edits each diagonal of the
+    band holds how far into the item it gets: an edit moves on by a changed, a
+    left out or an added character, and equal characters are passed at once by a
+    table of the next difference. Gives most + 1 where more edits are needed.
     """
-    width, far = high - low + 1, most + 1
-    at = np.arange(width)
-    row = np.where((low + at >= 0) & (low + at <= len(region)), 0, far).astype(np.int64)
-    for i in range(1, len(item) + 1):
-        j = i + low + at  # region characters used so far
-        inside = (j >= 1) & (j <= len(region))
-        char = np.where(inside, region[np.clip(j - 1, 0, max(0, len(region) - 1))] if len(region) else 0, -1)
-        step = np.where(inside, row + (char != item[i - 1]), far)
-        step = np.minimum(step, np.append(row[1:], far) + 1)
-        step = np.minimum.accumulate(step - at) + at  # characters of the region passed over
-        row = np.where((j >= 0) & (j <= len(region)), np.minimum(step, far), far)
-        if row.min() >= far:
-            return far
-    return int(row.min())
+    m, n, width = len(item), len(region), high - low + 1
+    diagonal = low + np.arange(width)
+    j = np.arange(m)[None, :] + diagonal[:, None]
+    inside = (j >= 0) & (j < n)
+    if n:
+        differs = ~inside | (region[np.minimum(np.maximum(j, 0), n - 1)] != item[None, :])
+    else:
+        differs = np.ones((width, m), dtype=bool)
+    following = np.full((width, m + 1), m, dtype=np.int64)
+    following[:, :m] = np.where(differs, np.arange(m)[None, :], m)
+    following = np.minimum.accumulate(following[:, ::-1], axis=1)[:, ::-1]
+    never, room, row = -1, n - diagonal, np.arange(width)
+    reach = np.where((diagonal >= 0) & (diagonal <= n), 0, never)
+    for edits in range(most + 1):
+        if edits:
+            changed = np.where(reach >= 0, reach + 1, never)
+            left_out = np.append(changed[1:], never)  # from the diagonal above
+            added = np.concatenate(([never], reach[:-1]))  # from the diagonal below
+            step = np.maximum(np.maximum(changed, added), left_out)
+            step = np.minimum(np.minimum(step, m), room)
+            reach = np.where((step >= 0) & (step + diagonal >= 0), step, never)
+        on = reach >= 0
+        reach = np.where(on, following[row, np.maximum(reach, 0)], never)
+        if reach.max() >= m:
+            return edits
+    return most + 1
 
 
 def find(texts: list[str], index: GramIndex) -> list[list[tuple]]:

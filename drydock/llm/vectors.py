@@ -144,7 +144,7 @@ def spanning(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarr
 
 
 def _comparer(dims: int, least: float):
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
+    def run(key, group):
         leaf, first, second = (int(k) for k in key)
         group = group.sort_values("item", kind="stable").reset_index(drop=True)
         vectors = unit(np.stack(group["embedding"].to_numpy()).astype(np.float64).reshape(len(group), dims))
