@@ -140,7 +140,8 @@ def _estimator(length: int, least: float):
                     ends_a.append(node[x[near]])
                     ends_b.append(node[y[near]])
             low, high = spanning(np.concatenate(ends_a), np.concatenate(ends_b), len(items))
-            yield pa.RecordBatch.from_arrays([pa.array(items[low]), pa.array(items[high])], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(items[low].astype(np.int64)),
+                                              pa.array(items[high].astype(np.int64))], names=["a", "b"])
     return run
 
 
@@ -247,8 +248,9 @@ def _verifier(similarity: float, ngram: int, depth: int, trees: int):
                 own = a + np.unique(items[a:b], return_index=True)[1]
                 found.append(verified(items[own], copies[own], block[own], first[a], second[a],
                                       [sets[x] for x in own]))
+            kinds = (np.int64, np.int64, np.int64, np.int64, np.float64)  # empty parts have types of their own
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x)) for x in zip(*found, strict=True)],
+                [pa.array(np.concatenate(x).astype(k)) for x, k in zip(zip(*found, strict=True), kinds, strict=True)],
                 names=["item", "root", "links", "pairs", "implied"])
     return run
 
