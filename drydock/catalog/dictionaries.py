@@ -12,7 +12,8 @@ from drydock.operators.dictionary import (
     build_dictionary, load_dictionary, preview, read_dictionary, section_counts,
     select_dictionary_columns, without_definitions)
 from drydock.operators.distinct import keep_first
-from drydock.operators.grids import clean_tables, detect_column_roles, looks_like_variable, promote_header
+from drydock.operators.grids import (
+    clean_tables, detect_column_roles, grid_kinds, looks_like_variable, promote_header)
 from drydock.operators.lookups import (
     described, join_descriptions, with_dataset_description, with_dictionary_table)
 from drydock.operators.pages import assemble_pages
@@ -23,8 +24,6 @@ from drydock.sinks.parquet import publish, read_column_catalog
 from drydock.sinks.text import write_dictionary_csv, write_text
 from drydock.sources.listing import column_catalog
 
-_SALTS = 8
-
 
 # -- loading and choosing ----------------------------------------------------------
 
@@ -76,12 +75,12 @@ def _part_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def described_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_descriptions(_part_columns(spark, sf_dir), _part_dictionary(spark, sf_dir), _SALTS).select(
+    return join_descriptions(_part_columns(spark, sf_dir), _part_dictionary(spark, sf_dir)).select(
         "p_partkey", "table", "column", "description")
 
 
 def parts_with_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = described(_part_columns(spark, sf_dir), _part_dictionary(spark, sf_dir), _SALTS)
+    found = described(_part_columns(spark, sf_dir), _part_dictionary(spark, sf_dir))
     return found.groupBy("table").agg(F.count("*").alias("described"))
 
 
@@ -222,11 +221,23 @@ def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stanzas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_stanzas(part_pages(spark, sf_dir), "doc", "page", "text").drop("seq")
+    return parse_stanzas(part_pages(spark, sf_dir), "doc", "page", "text")
+
+
+def names_long_enough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stanzas of which every third has a name of one letter, or none."""
+    name = (F.when(F.col("p_partkey") % 3 == 0, "Q (x)").when(F.col("p_partkey") % 3 == 1, F.col("p_brand"))
+            .otherwise(F.replace("p_name", F.lit(" "), F.lit("_"))))
+    blank = F.when(F.col("p_size") == 7, "").otherwise(name)
+    pages = table(spark, sf_dir, "part").select(
+        F.col("p_type").alias("doc"), F.col("p_partkey").alias("page"),
+        F.concat(F.lit("COLUMN: "), blank, F.lit("\nDESCRIPTION: "), "p_brand").alias("text"))
+    return parse_stanzas(pages, "doc", "page", "text").select("doc", "variable", "description")
 
 
 _STANZAS = (
-    "SELECT p_partkey, p_brand AS doc, upper(replace(p_name, ' ', '_')) AS variable, "
+    "SELECT p_partkey, p_brand AS doc, p_partkey * 2147483648 "
+    "+ CASE WHEN p_type IN ('ECONOMY', 'SMALL', 'LARGE') THEN 1 ELSE 0 END AS seq, upper(replace(p_name, ' ', '_')) AS variable, "
     "coalesce(last_value(CASE p_type WHEN 'ECONOMY' THEN 'ATTRIBUTES' WHEN 'SMALL' THEN 'RELATIONSHIPS' "
     "WHEN 'LARGE' THEN 'TRANSFORMATIONS' END IGNORE NULLS) OVER "
     "(PARTITION BY p_brand ORDER BY p_partkey ROWS UNBOUNDED PRECEDING), 'UNKNOWN') AS \"table\", "
@@ -267,6 +278,12 @@ def grid_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_column_roles(promote_header(part_cells(spark, sf_dir), "doc"), "doc")
 
 
+def grids_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grids of odd brands have a header and nothing else: they are dropped."""
+    cells = part_cells(spark, sf_dir).filter((F.col("row_no") == 0) | (F.col("table_id") % 2 == 0))
+    return grid_kinds(cells, "doc").select("doc", "table_id", F.col("grid_no").cast("bigint").alias("grid_no"))
+
+
 def grid_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_tables(part_cells(spark, sf_dir), "doc", by=["doc", "variable"])
 
@@ -350,6 +367,8 @@ QUERIES = {
     "assemble_pages": pages_joined,
     "write_text": text_sink,
     "parse_stanzas": stanzas,
+    "short_names": names_long_enough,
+    "grids_with_rows": grids_kept,
     "grid_roles": grid_roles,
     "clean_tables": grid_definitions,
     "dictionary_strategy": strategy,
@@ -440,6 +459,13 @@ ORACLES = {
         "string_agg(text, chr(10) || chr(10) ORDER BY turn) AS text FROM conversations "
         "WHERE length(text) > 0 GROUP BY conv_id)) GROUP BY line"),
     "parse_stanzas": f"SELECT * EXCLUDE (p_partkey) FROM ({_STANZAS})",
+    "short_names": (
+        "SELECT p_type AS doc, upper(CASE p_partkey % 3 WHEN 1 THEN p_brand ELSE replace(p_name, ' ', '_') END) "
+        "AS variable, p_brand AS description FROM part WHERE p_partkey % 3 <> 0 AND p_size <> 7"),
+    "grids_with_rows": (
+        "SELECT doc, table_id, dense_rank() OVER (PARTITION BY doc ORDER BY table_id)::BIGINT AS grid_no FROM ("
+        "SELECT DISTINCT p_type AS doc, replace(p_brand, 'Brand#', '')::BIGINT AS table_id FROM part) "
+        "WHERE table_id % 2 = 0"),
     "grid_roles": (
         "SELECT DISTINCT p_type AS doc, brand AS table_id, "
         "CASE WHEN brand >= 10 THEN 1 ELSE 0 END::INTEGER AS name_col, "

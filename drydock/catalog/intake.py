@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from drydock.catalog.common import (
-    TABLE_REGISTRY, TABLES, block_of, csv_members, document_archives, order_archives, table, write_archives,
+    ARCHIVE_SCHEMA, TABLE_REGISTRY, block_of, csv_members, document_archives, order_archives, table, write_archives,
     zip_members)
 from drydock.config import ColumnRoles, Dataset, FILE_CLASSES, Provenance, Registry
 from drydock.functions.text import decode_text, file_name, is_csv_member, stem
@@ -15,8 +15,9 @@ from drydock.operators.landing import (
     all_succeeded, deletion_preview, failures, ingest_report, inventory_totals, landed_archives, reconcile,
     select_datasets, select_keys, skip_or_force, unknown_keys)
 from drydock.operators.lookups import classify
-from drydock.plans.ingest import archive_outcomes, ingest, plan_work, typed_table
-from drydock.session import scratch
+from drydock.plans.ingest import archive_outcomes, ingest, plan_work, stage_records, typed_table
+from drydock.session import remove_path, scratch
+from drydock.sinks.parquet import publish
 from drydock.sources.archives import errors_by_archive, expand_archives, list_members
 from drydock.sources.listing import (
     dataset_catalog, list_files, match_files, published_names, union_distinct_paths)
@@ -79,26 +80,34 @@ def stems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_from_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    archives = order_archives(spark, sf_dir)
-    return typed_table(expand_archives(archives), ORDER_ROLES,
-                       headers=expand_archives(archives, header_only=True))
+    records = expand_archives(order_archives(spark, sf_dir))
+    return typed_table(stage_records(records, scratch(spark, "records")), ORDER_ROLES)
 
 
 def documents_from_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts through CSV and ZIP and back, line breaks and quotes included."""
-    archives = document_archives(spark, sf_dir)
-    return typed_table(expand_archives(archives), ColumnRoles(("DOC_ID",), ()), string_columns=("text",),
-                       headers=expand_archives(archives, header_only=True))
+    records = stage_records(expand_archives(document_archives(spark, sf_dir)), scratch(spark, "records"))
+    return typed_table(records, ColumnRoles(("DOC_ID",), ()), string_columns=("text",))
+
+
+def headers_of_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers alone, told without reading the records."""
+    headers = expand_archives(order_archives(spark, sf_dir), header_only=True)
+    return headers.select(file_name(F.col("path")).alias("file"), "member", F.array_join("fields", ",").alias("columns"))
 
 
 def latin1_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archives encoded as ISO-8859-1: members with an accent fail as UTF-8 and
-    are read again as a whole."""
-    documents = table(spark, sf_dir, "documents").filter(~F.col("text").rlike(r"[^\x{00}-\x{ff}]"))
-    path = F.concat(F.lit("/landing/csv_documents_"), block_of("doc_id", 50).cast("string"), F.lit(".zip"))
-    archives = zip_members(
-        csv_members(documents, path, F.lit("all.csv"), "doc_id", ["doc_id", "text"]), "ISO-8859-1")
-    rows = expand_archives(archives).filter("row_no > 0")
+    """Texts which ISO-8859-1 can hold in archives of that charset, all others in
+    UTF-8 ones: members with an accent fail as UTF-8 and are read again as a whole."""
+    fits = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x{00}-\x{ff}]")
+    documents = table(spark, sf_dir, "documents").withColumn("narrow", fits)
+
+    def archives(narrow: bool, charset: str) -> DataFrame:
+        path = F.concat(F.lit(f"/landing/csv_{charset}_"), block_of("doc_id", 50).cast("string"), F.lit(".zip"))
+        own = documents.filter(F.col("narrow") == narrow)
+        return zip_members(csv_members(own, path, F.lit("all.csv"), "doc_id", ["doc_id", "text"]), charset)
+
+    rows = expand_archives(archives(True, "ISO-8859-1").unionByName(archives(False, "UTF-8"))).filter("row_no > 0")
     return rows.select(F.col("fields")[0].cast("bigint").alias("doc_id"), F.col("fields")[1].alias("text"))
 
 
@@ -136,8 +145,19 @@ def _mixed_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
                   [order_archives(spark, sf_dir), pages, customers, labels, suppliers])
 
 
+def _staged_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixed archives, built once and read from there."""
+    return _staged(spark, _mixed_archives(spark, sf_dir))
+
+
+def _staged(spark: SparkSession, archives: DataFrame) -> DataFrame:
+    place = scratch(spark, "archives")
+    archives.write.parquet(place)
+    return spark.read.schema(ARCHIVE_SCHEMA).parquet(place)
+
+
 def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    archives = _mixed_archives(spark, sf_dir)
+    archives = _staged_archives(spark, sf_dir)
     published = spark.createDataFrame([("lineitem",)], "dataset string")
     work, settled = plan_work(archives, published, TABLE_REGISTRY, collisions="union")
     return settled.unionByName(archive_outcomes(expand_archives(archives), work))
@@ -248,12 +268,52 @@ def distinct_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The files the tables are kept in."""
-    return inventory_totals(match_files(list_files(spark, sf_dir), FILE_CLASSES))
+    """Archives of orders in a folder, listed and counted."""
+    landing = scratch(spark, "landing")
+    write_archives(order_archives(spark, sf_dir), landing)
+    return inventory_totals(match_files(list_files(spark, landing), FILE_CLASSES)).select("file_class", "files")
 
 
 def published_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return published_names(list_files(spark, sf_dir))
+    """A table per kind of event, published and found by listing."""
+    out, events = scratch(spark, "out"), table(spark, sf_dir, "events")
+    for kind in sorted(r[0] for r in events.select("event_type").distinct().collect()):  # a handful of kinds
+        publish(events.filter(F.col("event_type") == kind), out, kind)
+    return published_names(list_files(spark, out, recursive=True))
+
+
+def published_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Properties of a table that is published twice: new ones win, others stay."""
+    out, part = scratch(spark, "out"), table(spark, sf_dir, "part")
+    largest = part.agg(F.max("p_size").cast("string")).first()[0]
+    publish(part, out, "part", {"source": "first", "largest": largest})
+    publish(part, out, "part", {"source": "second", "kind": "parts"})
+    publish(part.limit(0), out, "part", {"source": "ignored"}, mode="ignore")
+    count = spark.read.parquet(f"{out}/part.parquet").groupBy().agg(F.count("*").cast("string").alias("value"))
+    return spark.read.parquet(f"{out}/_datasets/part").unionByName(
+        count.select(F.lit("part").alias("dataset"), F.lit("rows").alias("property"), "value"))
+
+
+def resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table left half written by a run that died is ingested again, as a whole."""
+    landing, out = scratch(spark, "landing"), scratch(spark, "out")
+    write_archives(order_archives(spark, sf_dir), landing)
+    table(spark, sf_dir, "orders").limit(5).write.parquet(f"{out}/orders.parquet")
+    remove_path(spark, f"{out}/orders.parquet/_SUCCESS")
+    ingest(spark, landing, out, TABLE_REGISTRY, roles=ORDER_ROLES, collisions="union").count()
+    return spark.read.parquet(f"{out}/orders.parquet")
+
+
+def published_incrementally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives in two runs over one folder: the table published after the second."""
+    base = scratch(spark, "stream")
+    archives = _staged(spark, order_archives(spark, sf_dir))
+    half = F.pmod(F.xxhash64("path"), F.lit(2))
+    for run in (0, 1):
+        write_archives(archives.filter(half == run), f"{base}/landing")
+        incremental_ingest(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", TABLE_REGISTRY,
+                           publish_to=f"{base}/published", roles=ORDER_ROLES).awaitTermination()
+    return spark.read.parquet(f"{base}/published/orders.parquet")
 
 
 def catalog_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,6 +333,7 @@ QUERIES = {
     "file_stems": stems,
     "archive_roundtrip": orders_from_archives,
     "archive_documents": documents_from_archives,
+    "archive_headers": headers_of_archives,
     "archive_latin1": latin1_archives,
     "csv_members": members,
     "ingest_report": report,
@@ -281,7 +342,10 @@ QUERIES = {
     "archive_errors": archive_errors,
     "plan_work": work_list,
     "ingest_publish": ingested,
+    "resume_publish": resumed,
+    "published_properties": published_properties,
     "incremental_ingest": ingested_incrementally,
+    "incremental_publish": published_incrementally,
     "landing_reconcile": landing_reconcile,
     "forced_reconcile": forced_reconcile,
     "skip_or_force": work_left,
@@ -340,8 +404,13 @@ ORACLES = {
     "archive_documents": (
         'SELECT doc_id AS "DOC_ID", text AS "TEXT", lang AS "LANG", source AS "SOURCE", n_chars AS "N_CHARS" '
         "FROM documents"),
-    "archive_latin1": (
-        "SELECT doc_id, text FROM documents WHERE NOT regexp_matches(text, '[^\\x{00}-\\x{ff}]')"),
+    "archive_headers": (
+        "SELECT DISTINCT 'CSV_ORDERS_' || (o_orderkey // 5000) || '.ZIP' AS file, "
+        "CASE WHEN o_orderstatus = 'F' THEN 'filled.csv' ELSE 'OTHER.CSV' END AS member, "
+        "CASE WHEN o_orderstatus = 'F' THEN "
+        "'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority' ELSE "
+        "'o_totalprice,o_orderdate,o_orderstatus,o_custkey,o_orderkey' END AS \"columns\" FROM orders"),
+    "archive_latin1": "SELECT doc_id, text FROM documents",
     "csv_members": (
         "SELECT DISTINCT 'CSV_ORDERS_' || (o_orderkey // 5000) || '.ZIP' AS file, "
         "CASE WHEN o_orderstatus = 'F' THEN 'filled.csv' ELSE 'OTHER.CSV' END AS member FROM orders"),
@@ -366,6 +435,12 @@ ORACLES = {
         "'/landing/' || source || '_' || lpad(doc_id::VARCHAR, 8, '0') || '.zip' AS path, "
         "upper(source || '_' || lpad(doc_id::VARCHAR, 8, '0')) AS base FROM documents))"),
     "ingest_publish": _ORDERS,
+    "resume_publish": _ORDERS,
+    "incremental_publish": _ORDERS,
+    "published_properties": (
+        "SELECT 'part' AS dataset, 'source' AS property, 'second' AS value UNION ALL "
+        "SELECT 'part', 'kind', 'parts' UNION ALL SELECT 'part', 'largest', max(p_size)::VARCHAR FROM part UNION ALL "
+        "SELECT 'part', 'rows', count(*)::VARCHAR FROM part"),
     "incremental_ingest": (
         "SELECT 'CSV_ORDERS_' || (o_orderkey // 5000) || '.ZIP' AS file, 'success' AS status, "
         "'orders' AS dataset, count(*)::BIGINT AS rows FROM orders GROUP BY 1 UNION ALL "
@@ -392,7 +467,9 @@ ORACLES = {
         f"printf('%.1f', length / 1048576.0) AS size_mb FROM {_FILES} WHERE file_class IS NOT NULL"),
     "union_distinct_paths": (
         f"SELECT DISTINCT path, length FROM {_FILES} WHERE file_class IS NOT NULL"),
-    "published_names": " UNION ALL ".join(f"SELECT '{name}' AS dataset" for name in TABLES),
+    "file_inventory": (
+        "SELECT unnest(['raw', 'total']) AS file_class, count(DISTINCT o_orderkey // 5000)::BIGINT AS files FROM orders"),
+    "published_names": "SELECT DISTINCT event_type AS dataset FROM events",
     "dataset_catalog": (
         "SELECT 'source_' || i AS dataset, 'CSV_SRC' || i || '.ZIP' AS file, "
         "CASE WHEN bytes IS NULL THEN 'fetch' ELSE 'present' END AS status, "

@@ -12,6 +12,7 @@ from drydock.operators.describe import attach_descriptions
 from drydock.plans.summarize import summarize
 from drydock.session import scratch
 from drydock.sinks.parquet import publish
+from drydock.sinks.text import export_profile_csv
 
 DATES = ("o_orderdate", "l_shipdate", "ts")
 _DATE_OF = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
@@ -41,9 +42,43 @@ def _profile_sql(name: str) -> str:
 PROFILES_SQL = " UNION ALL ".join(_profile_sql(name) for name in TABLES)
 
 
+def _sized_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles with sizes from a listing: each document counts as a file of some table."""
+    names = F.array(*[F.lit(n) for n in TABLES])
+    files = table(spark, sf_dir, "documents").select(
+        F.element_at(names, (F.col("doc_id") % len(TABLES) + 1).cast("int")).alias("dataset"),
+        F.col("n_chars").alias("length"))
+    tables = {name: table(spark, sf_dir, name) for name in TABLES}
+    return profile_all(tables, TABLE_REGISTRY, DATES, files=files)
+
+
+def sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sized_profiles(spark, sf_dir).select("dataset", "rows", "size_mb")
+
+
 def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profiles = _profiles(spark, sf_dir).withColumn("size_mb", F.lit(0.0))
-    return profile_totals(profiles).drop("size_mb")
+    return profile_totals(_sized_profiles(spark, sf_dir))
+
+
+def profile_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles written as CSV and read back as text."""
+    path = scratch(spark, "profile")
+    export_profile_csv(_sized_profiles(spark, sf_dir), path)
+    found = spark.read.option("header", "true").option("escape", '"').csv(path)
+    return found.select("dataset", "description", "rows", "variables", "file", *[
+        F.coalesce(c, F.lit("")).alias(c) for c in ("date_min", "date_max")])
+
+
+def date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of orders written in many ways, one of which is no date."""
+    day = F.col("o_orderdate")
+    forms = [F.date_format(day, "MM/dd/yyyy hh:mm:ss a"), F.date_format(day, "yyyy/MM/dd"),
+             F.date_format(day, "dd-MMM-yyyy"), F.upper(F.date_format(day, "d MMMM yyyy")),
+             F.concat(F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")),
+             F.concat(F.date_format(day, "yyyy-MM-dd HH:mm"), F.lit("+02:00")), F.date_format(day, "dd-'Foo'-yyyy")]
+    text = F.element_at(F.array(*forms), (F.col("o_orderkey") % len(forms) + 1).cast("int"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("day"))
+    return valid_dates(orders, "day").select("o_orderkey", "date")
 
 
 def first_valid_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +138,9 @@ def _published_sql() -> str:
 QUERIES = {
     "profile_tables": profile_tables,
     "profile_totals": totals,
+    "profile_sizes": sizes,
+    "profile_csv": profile_csv,
+    "date_texts": date_texts,
     "profile_first_valid_date": first_valid_date,
     "profile_integer_dates": integer_dates,
     "valid_dates_only": dates_kept,
@@ -113,7 +151,18 @@ QUERIES = {
 
 ORACLES = {
     "profile_tables": PROFILES_SQL,
-    "profile_totals": f"SELECT count(*)::BIGINT AS datasets, sum(rows)::BIGINT AS rows FROM ({PROFILES_SQL})",
+    "profile_totals": (
+        "SELECT count(*)::BIGINT AS datasets, sum(rows)::BIGINT AS rows, "
+        f"(SELECT sum(n_chars)::DOUBLE / 1048576.0 FROM documents) AS size_mb FROM ({PROFILES_SQL})"),
+    "profile_sizes": (
+        "SELECT dataset, rows, (SELECT sum(n_chars)::DOUBLE / 1048576.0 FROM documents "
+        f"WHERE [{', '.join(repr(n) for n in TABLES)}][doc_id % {len(TABLES)} + 1] = p.dataset) AS size_mb "
+        f"FROM ({PROFILES_SQL}) p"),
+    "profile_csv": (
+        "SELECT dataset, description, rows::VARCHAR AS rows, variables::VARCHAR AS variables, file, "
+        "coalesce(strftime(date_min, '%Y-%m-%d'), '') AS date_min, "
+        f"coalesce(strftime(date_max, '%Y-%m-%d'), '') AS date_max FROM ({PROFILES_SQL})"),
+    "date_texts": "SELECT o_orderkey, o_orderdate AS date FROM orders WHERE o_orderkey % 7 <> 6",
     "profile_first_valid_date": (
         "SELECT 'orders' AS dataset, count(*)::BIGINT AS rows, "
         "min(o_orderdate) FILTER (WHERE o_orderstatus <> 'F') AS date_min, "

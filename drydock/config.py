@@ -159,7 +159,7 @@ class GridRoles:
     # Fixed values.
     name_words: tuple[str, ...] = ("field", "variable", "column", "name", "element")
     text_words: tuple[str, ...] = ("description", "definition", "desc")
-    name_pattern: str = "^[A-Z][A-Z0-9_]*$"
+    name_pattern: str = r"\A[A-Z][A-Z0-9_]*\z"
 
 
 # File classes of a landing zone and their name patterns.
@@ -182,7 +182,15 @@ class DateRules:
         (r"^\s*(\d{4}-\d{1,2}-\d{1,2})[ T](\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?)\s*$", "$1 $2"),
         (r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s*$", "$3-$1-$2"),
         (r"^\s*(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?)\s*$", "$3-$1-$2 $4"),
+        (r"^\s*(\d{4})/(\d{1,2})/(\d{1,2})\s*$", "$1-$2-$3"),
+        (r"^\s*(\d{4})/(\d{1,2})/(\d{1,2}) (\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?)\s*$", "$1-$2-$3 $4"),
+        # an offset is left out: the date is the one written
+        (r"^\s*(\d{4}-\d{1,2}-\d{1,2})[ T](\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?) ?(?:Z|[+-]\d{2}:?\d{2})\s*$",
+         "$1 $2"),
     )
+    twelve_hours: tuple[str, ...] = (
+        r"^\s*(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2})(:\d{2}(?::\d{2})?) ?([AaPp])[Mm]\s*$",)
+    month_names: tuple[str, ...] = (r"^\s*(\d{1,2})[- ]([A-Za-z]{3})[A-Za-z]*[- ,]+(\d{4})\s*$",)
     earliest: str = "1677-09-22 00:00:00"
     latest: str = "2262-04-11 23:47:16"
 

@@ -16,8 +16,6 @@ from drydock.operators.distinct import keep_first
 from drydock.operators.lookups import lookup
 from drydock.operators.sequences import segment
 
-_TABLE_SALTS = 16
-
 
 def non_trivial_grids(cells: DataFrame, doc: str) -> DataFrame:
     """Grids with a header and at least one row, numbered per document from 1."""
@@ -58,11 +56,22 @@ def looks_like_variable(df: DataFrame, name: str, text: str, header: str | None
     return df.filter(fits if header is None else fits & (upper != F.col(header)))
 
 
+def grid_kinds(cells: DataFrame, doc: str, roles: GridRoles = GridRoles()) -> DataFrame:
+    """Grids with a header and at least one row: their roles, and their number per
+    document from 1. Headers and row numbers are read in one pass over the cells."""
+    header = F.when(F.col("row_no") == 0, F.struct("col_no", "text"))
+    grids = (cells.groupBy(doc, "table_id")
+             .agg(F.max("row_no").alias("_last"), F.min("row_no").alias("_first"), F.collect_list(header).alias("_head"))
+             .filter(F.col("_last") > F.col("_first")))
+    numbered = segment(grids, [doc], "table_id", F.lit(True), "grid_no")
+    heads = numbered.select(doc, "table_id", "grid_no", F.lit(0).alias("row_no"), F.inline("_head"))
+    found = detect_column_roles(promote_header(heads, doc), doc, roles)
+    return found.join(numbered.select(doc, "table_id", "grid_no"), [doc, "table_id"])
+
+
 def grid_rows(cells: DataFrame, doc: str, roles: GridRoles = GridRoles()) -> DataFrame:
     """Rows of all grids as ``(doc, grid_no, row_no, variable, description)``."""
-    kinds = detect_column_roles(promote_header(cells, doc), doc, roles).join(
-        non_trivial_grids(cells, doc), [doc, "table_id"])
-    placed = lookup(cells.filter(F.col("row_no") > 0), kinds, [doc, "table_id"], "inner", _TABLE_SALTS, ["row_no"])
+    placed = lookup(cells.filter(F.col("row_no") > 0), grid_kinds(cells, doc, roles), [doc, "table_id"], "inner")
     value, col_no = strip(F.coalesce("text", F.lit(""))), F.col("col_no")
     rows = (
         placed.filter((col_no == F.col("name_col")) | (col_no == F.col("text_col")))

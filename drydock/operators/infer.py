@@ -34,8 +34,11 @@ def infer_types(df: DataFrame, tokens: Iterable[str] = NULL_TOKENS,
         [(i, n, n in protected) for i, n in enumerate(df.columns)],
         "position int, column string, protected boolean")
     values = df.select(F.posexplode(F.array(*[column(n) for n in df.columns])).alias("position", "value"))
-    kinds = (values.select("position", null_tokens(F.col("value"), tokens).alias("value"))
-             .groupBy("position").agg(F.count("*").alias("rows"), F.bit_or(numbers.kind(F.col("value"))).alias("kinds")))
+    value = F.col("value")
+    seen = values.select("position", null_tokens(value, tokens).alias("value")).select(
+        "position", "value", numbers.pattern_class(value).alias("looks"))
+    kinds = seen.groupBy("position").agg(
+        F.count("*").alias("rows"), F.bit_or(numbers.kind(value, F.col("looks"))).alias("kinds"))
     found = numbers.type_of(F.col("kinds"), F.col("rows"))
     return columns.join(kinds, "position", "left").select(
         "position", "column",

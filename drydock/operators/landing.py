@@ -10,8 +10,6 @@ from drydock.config import Registry
 from drydock.functions.text import file_name, megabytes, megabytes_text
 from drydock.operators.lookups import exclude, lookup
 
-_SALTS = 16
-
 
 def select_datasets(registry: Registry, keys: Iterable[str] | None = None) -> Registry:
     """The requested part of a registry (default all); unknown keys are refused."""
@@ -30,7 +28,7 @@ def select_keys(expected: DataFrame, key: str, keys: Sequence[str]) -> DataFrame
 
 def unknown_keys(requested: DataFrame, expected: DataFrame, key: str) -> DataFrame:
     """Requested keys which are not expected at all."""
-    return exclude(requested, expected, [key], _SALTS)
+    return exclude(requested, expected, [key])
 
 
 def landed_archives(files: DataFrame) -> DataFrame:
@@ -42,7 +40,7 @@ def reconcile(expected: DataFrame, landed: DataFrame, key: str, force: bool = Fa
     """Expected rows with ``status``: what is there is kept, the rest is to
     fetch; ``force`` fetches everything. ``landed`` has one ``length`` per key."""
     sizes = landed.select(key, "length")
-    joined = lookup(expected, sizes, [key], "left", _SALTS)
+    joined = lookup(expected, sizes, [key])
     there = F.col("length").isNotNull() & F.lit(not force)
     note = F.concat(F.lit("Already exists ("),
                     megabytes_text(F.col("length"), 2), F.lit(" MB)"))
@@ -52,7 +50,7 @@ def reconcile(expected: DataFrame, landed: DataFrame, key: str, force: bool = Fa
 
 def skip_or_force(work: DataFrame, published: DataFrame, key: str, force: bool = False) -> DataFrame:
     """Work still to do: all of it under ``force``, else what is not published."""
-    return work if force else exclude(work, published, [key], _SALTS)
+    return work if force else exclude(work, published, [key])
 
 
 def inventory_totals(files: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Lookup joins and membership tests.
 
 None of them forces a broadcast: Spark broadcasts a side it knows (or, at run
-time, finds) to be small, and otherwise shuffles. For the second case a hot
-key of the large side is spread over ``salts`` partitions.
+time, finds) to be small, and otherwise shuffles, splitting partitions that a hot
+key makes large. A caller who knows of a hot key that this cannot split may
+spread the large side over ``salts`` copies of the small one.
 """
 
 from __future__ import annotations

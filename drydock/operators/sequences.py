@@ -42,18 +42,37 @@ def with_sequence_key(df: DataFrame, keys: Sequence[str], name: str = "_key") ->
     return df.withColumn(name, F.struct(*[F.col(f"`{k}`") for k in keys]))
 
 
+def with_blocks(df: DataFrame, keys: Sequence[str], order: str, name: str = "_block",
+                rows: int | None = None) -> DataFrame:
+    """Add a block number which cuts each sequence into about one piece per ``rows`` rows.
+
+    A sequence's own count, least and greatest order give the width of a piece.
+    So its number of pieces follows its rows, be ``order`` a row number, a time
+    in microseconds or a sparse id; where rows crowd, pieces are larger, which
+    costs a sort that spills and no memory.
+    """
+    rows = BLOCK_ROWS if rows is None else rows
+    key, at = F.struct(*[F.col(f"`{k}`") for k in keys]), F.col(order).cast("decimal(38,6)")
+    spread = df.groupBy(key.alias("_of")).agg(
+        F.min(at).alias("_least"), F.max(at).alias("_most"), F.count("*").alias("_rows"))
+    pieces = F.ceil(F.col("_rows") / F.lit(rows))
+    width = F.greatest((F.col("_most") - F.col("_least") + 1) / pieces, F.lit(1)).cast("double")
+    cuts = spread.select("_of", "_least", width.alias("_width"))
+    placed = df.withColumn("_of", key).join(cuts, "_of", "left")
+    block = F.floor((at - F.col("_least")).cast("double") / F.col("_width")).cast("bigint")
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(block, F.lit(-1)).alias(name))
+
+
 def scan(df: DataFrame, keys: Sequence[str], order: str, outputs: Mapping[str, Running],
          block: str | None = None) -> DataFrame:
     """Add running aggregates along ``order`` within each sequence of ``keys``.
 
     ``block`` names a column which cuts a sequence into pieces of bounded size
-    without breaking its order; by default ``order`` is a row number and is cut
-    every ``BLOCK_ROWS``. A key made by ``with_sequence_key`` is used as it is,
+    without breaking its order; by default pieces are made by ``with_blocks``. A key made by ``with_sequence_key`` is used as it is,
     so that scans which follow one another need no further shuffle.
     """
     if block is None:
-        df = df.withColumn("_block", F.floor(F.col(order) / F.lit(BLOCK_ROWS)).cast("bigint"))
-        return scan(df, keys, order, outputs, "_block").drop("_block")
+        return scan(with_blocks(df, keys, order), keys, order, outputs, "_block").drop("_block")
     if not (len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, T.StructType)):
         return scan(with_sequence_key(df, keys), ["_key"], order, outputs, block).drop("_key")
     key = keys[0]

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from drydock.config import DictionaryGrammar
 from drydock.functions.text import (
     before_parenthesis, collapse_blanks, contains_any, is_page_number, without_label)
-from drydock.operators.sequences import Running, explode_lines, scan, with_sequence_key
+from drydock.operators.sequences import Running, explode_lines, scan, with_blocks, with_sequence_key
 
 # A line's place in its document: page and line number in one ordered integer.
 _LINES_PER_PAGE = 2**31
@@ -46,11 +46,10 @@ def dictionary_lines(pages: DataFrame, doc: str, page: str, text: str) -> DataFr
     Pages need not be joined first: the blank line between two pages means
     nothing to the grammar.
     """
-    lines = explode_lines(pages.select(doc, page, text), text, [doc, page]).filter(F.col("line") != "")
+    cut = with_blocks(pages.select(doc, page, text), [doc], page, "_block", PAGES_PER_BLOCK)
+    lines = explode_lines(cut, text, [doc, page, "_block"]).filter(F.col("line") != "")
     placed = lines.select(
-        doc,
-        (F.col(page).cast("bigint") * F.lit(_LINES_PER_PAGE) + F.col("line_no")).alias("pos"),
-        F.floor(F.col(page) / F.lit(PAGES_PER_BLOCK)).cast("bigint").alias("_block"), "line")
+        doc, (F.col(page).cast("bigint") * F.lit(_LINES_PER_PAGE) + F.col("line_no")).alias("pos"), "_block", "line")
     return with_sequence_key(placed, [doc]).drop(doc)
 
 

@@ -9,11 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from drydock.operators.columns import column
 from drydock.sources.archives import layouts
 
-# Beyond this many different headers the lookup of positions is no longer
-# broadcast but joined, with the rows salted.
-BROADCAST_LAYOUTS = 1000
-_SALTS = 64
-
 
 def union_members(*tables: DataFrame) -> DataFrame:
     """Bag union by name on text columns; a column missing somewhere is null there.
@@ -29,32 +24,21 @@ def assemble_table(rows: DataFrame, headers: DataFrame | None = None) -> DataFra
     """Expanded records as one table of text columns, united by column name.
 
     ``rows`` comes from ``expand_archives``; ``headers`` may be a cheaper source
-    of the header records than ``rows``. Only column names reach the driver.
+    of the header records than ``rows``. Columns stand in the order in which the
+    headers, sorted by their layout number, first name them. Only column names
+    reach the driver. Each record is joined to the places of its layout; how,
+    Spark decides by their size.
     """
     found = layouts(rows if headers is None else headers)
-    head = found.orderBy("layout").limit(BROADCAST_LAYOUTS + 1).collect()
+    named = (found.select("layout", F.posexplode("names").alias("place", "name"))
+             .groupBy("name").agg(F.min(F.struct("layout", "place")).alias("first"), F.count("*").alias("n")).collect())
     data = rows.filter((F.col("row_no") > 0) & F.col("error").isNull())
-    if not head:
+    if not named:
         return data.select()
-    if len(head) == 1:
-        names = head[0]["names"]
+    names = [r["name"] for r in sorted(named, key=lambda r: tuple(r["first"]))]
+    if len({r["first"]["layout"] for r in named}) == 1 and all(r["n"] == 1 for r in named):  # one header in all
         return data.select(*[F.col("fields")[i].alias(n) for i, n in enumerate(names)])
-
-    if len(head) <= BROADCAST_LAYOUTS:
-        names = list(dict.fromkeys(n for r in head for n in r["names"]))
-        places = [(r["layout"], [r["names"].index(n) + 1 if n in r["names"] else None for n in names])
-                  for r in head]
-        lookup = F.broadcast(rows.sparkSession.createDataFrame(
-            places, "layout bigint, places array<int>"))
-        placed = data.join(lookup, "layout")
-    else:
-        names = [r["name"] for r in found.select(F.explode("names").alias("name")).distinct()
-                 .orderBy("name").collect()]
-        lookup = found.select("layout", F.array(*[
-            F.nullif(F.array_position("names", n).cast("int"), F.lit(0)) for n in names]).alias("places"))
-        salted = lookup.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-        placed = data.withColumn(
-            "salt", F.pmod(F.xxhash64("path", "member", "row_no"), F.lit(_SALTS)).cast("int")
-        ).join(salted, ["layout", "salt"])
-    return placed.select(*[
+    places = found.select("layout", F.array(*[
+        F.nullif(F.array_position("names", n).cast("int"), F.lit(0)) for n in names]).alias("places"))
+    return data.join(places, "layout").select(*[
         F.try_element_at("fields", F.col("places")[i]).alias(n) for i, n in enumerate(names)])

@@ -16,13 +16,11 @@ from drydock.operators.distinct import keep_first
 from drydock.operators.infer import apply_types, inferred
 from drydock.operators.lookups import classify, exclude, include
 from drydock.operators.union import assemble_table
-from drydock.session import scratch
-from drydock.sinks.parquet import publish
-from drydock.sources.archives import ROW_SCHEMA, errors_by_archive, expand_archives
-from drydock.sources.listing import list_archives, list_files, published_names, read_archives, unread
+from drydock.session import remove_path, scratch
+from drydock.sinks.parquet import is_published, publish
+from drydock.sources.archives import ROW_SCHEMA, archive_faults, expand_archives, open_path
+from drydock.sources.listing import list_archives
 
-# Up to this many archives are loaded by name.
-NAMED_PATHS = 10_000
 # Datasets published at the same time.
 PARALLEL_DATASETS = 8
 
@@ -69,19 +67,26 @@ def typed_table(rows: DataFrame, roles: ColumnRoles = ColumnRoles(), mode: str =
     return standardize(apply_types(texts, types, proven=True), roles, mode)
 
 
+def published_of(spark: SparkSession, root: str, registry: Registry) -> DataFrame:
+    """The registered datasets that are published as a whole: a few looks at marks, no listing of files."""
+    names = [(d.name,) for d in registry if is_published(spark, root, d.name)]
+    return spark.createDataFrame(names, "dataset string")
+
+
 def ingest(spark: SparkSession, root: str, out: str, registry: Registry,
            dictionary: DataFrame | None = None, roles: ColumnRoles = ColumnRoles(),
            provenance: Provenance = Provenance(), force: bool = False, collisions: str = "first",
-           mode: str = "bigint", string_columns=(), staging: str | None = None) -> DataFrame:
+           mode: str = "bigint", string_columns=(), staging: str | None = None, opener=open_path) -> DataFrame:
     """Expand, unite, type, standardise, describe and publish all new archives.
 
     The expanded records are staged once as Parquet in the shared folder, which
     ends the one-task-per-archive stage: everything after it reads splittable
-    files, and survives the loss of an executor without unpacking again.
+    files, and survives the loss of an executor without unpacking again. Records
+    are removed when all datasets are done. Whatever goes wrong with one dataset
+    becomes the outcome of its archives, and the others go on.
     Returns the outcomes ``(path, status, dataset, message)``.
     """
-    published = published_names(list_files(spark, out, recursive=True))
-    work, settled = plan_work(list_archives(spark, root), published, registry, force, collisions)
+    work, settled = plan_work(list_archives(spark, root), published_of(spark, out, registry), registry, force, collisions)
     staged_at = staging or scratch(spark, "ingest")
     settled.write.mode("overwrite").parquet(f"{staged_at}/settled")
     work.write.mode("overwrite").parquet(f"{staged_at}/work")
@@ -90,43 +95,41 @@ def ingest(spark: SparkSession, root: str, out: str, registry: Registry,
     found = [d for d in registry if d.name in present]
 
     def run(dataset: Dataset) -> DataFrame:
-        paths = work.filter(F.col("dataset") == dataset.name)
-        records = stage_records(archives_of(spark, root, paths), f"{staged_at}/records/{dataset.name}")
-        return publish_staged(records, paths, out, dataset, dictionary, roles, provenance, mode, string_columns)
+        paths, place = work.filter(F.col("dataset") == dataset.name), f"{staged_at}/outcomes/{dataset.name}"
+        try:
+            records = stage_records(expand_archives(paths.select("path"), opener=opener),
+                                    f"{staged_at}/records/{dataset.name}")
+            outcome = publish_staged(records, paths, out, dataset, dictionary, roles, provenance, mode, string_columns,
+                                     f"{staged_at}/archives/{dataset.name}")
+            outcome.write.mode("overwrite").parquet(place)
+        except Exception as fault:  # any fault: the other datasets must not be lost with this one
+            outcome = failed_outcomes(paths, dataset.name, fault)
+            outcome.write.mode("overwrite").parquet(place)
+        return spark.read.schema(OUTCOME_SCHEMA).parquet(place)
 
     outcomes = [spark.read.schema(OUTCOME_SCHEMA).parquet(f"{staged_at}/settled")]
     # Datasets are independent, so their jobs are submitted side by side.
     with ThreadPoolExecutor(max_workers=max(1, min(len(found), PARALLEL_DATASETS))) as pool:
         outcomes += pool.map(inheritable_thread_target(spark)(run), found)
+    remove_path(spark, f"{staged_at}/records")
     return reduce(DataFrame.unionByName, outcomes)
 
 
-def archives_of(spark: SparkSession, root: str, work: DataFrame) -> DataFrame:
-    """The archives of a work list, and no others, ready to be expanded.
-
-    A short list names the files to load. A long one stays a table: listing and
-    work are joined on the path alone, and the tasks open what they expand, so
-    no archive's bytes are ever shuffled.
-    """
-    paths = [r["path"] for r in work.select("path").limit(NAMED_PATHS + 1).collect()]
-    if not paths:
-        return unread(list_archives(spark, root)).limit(0)
-    if len(paths) <= NAMED_PATHS:
-        return read_archives(spark, *paths)
-    return unread(include(list_archives(spark, root), work, ["path"]))
+def failed_outcomes(work: DataFrame, dataset: str, fault: Exception) -> DataFrame:
+    first = (str(fault).strip().splitlines() or [""])[0][:500]
+    return work.select("path", F.lit("error").alias("status"), "dataset",
+                       F.lit(f"Error processing {dataset}: {type(fault).__name__}: {first}").alias("message"))
 
 
-def stage_records(archives: DataFrame, path: str) -> DataFrame:
+def stage_records(rows: DataFrame, path: str) -> DataFrame:
     """Expanded records, written once and read from there ever after."""
-    expand_archives(archives).write.mode("overwrite").parquet(path)
-    return archives.sparkSession.read.schema(ROW_SCHEMA).parquet(path)
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(ROW_SCHEMA).parquet(path)
 
 
 def archive_outcomes(rows: DataFrame, work: DataFrame) -> DataFrame:
     """What became of each archive ``(path, status, dataset, message)``."""
-    records = F.col("row_no") > 0
-    seen = rows.groupBy("path").agg(F.count_if(records & F.col("error").isNull()).alias("rows"))
-    checked = work.join(seen, "path", "left").join(errors_by_archive(rows), "path", "left")
+    checked = work.join(archive_faults(rows), "path", "left")
     done = F.concat(F.format_number(F.coalesce("rows", F.lit(0)), 0), F.lit(" rows"))
     failed = F.concat(F.lit("Error processing "), file_name(F.col("path")), F.lit(": "), F.col("error"))
     return checked.select(
@@ -136,23 +139,30 @@ def archive_outcomes(rows: DataFrame, work: DataFrame) -> DataFrame:
 
 def publish_staged(records: DataFrame, work: DataFrame, out: str, dataset: Dataset,
                    dictionary: DataFrame | None, roles: ColumnRoles, provenance: Provenance,
-                   mode: str, string_columns) -> DataFrame:
-    """Publish the sound archives of one dataset; outcomes of all its archives."""
-    broken = errors_by_archive(records)
-    failed = work.join(broken, "path").select(
+                   mode: str, string_columns, told_at: str) -> DataFrame:
+    """Publish the sound archives of one dataset; outcomes of all its archives.
+
+    The records are read once for a row per archive, kept at ``told_at``. Only
+    where that names a fault are the records of sound archives picked out.
+    """
+    archive_faults(records).write.mode("overwrite").parquet(told_at)
+    told = work.join(records.sparkSession.read.parquet(told_at).select("path", "faults", "error"), "path", "left")
+    failed = told.filter("faults > 0").select(
         "path", F.lit("error").alias("status"), "dataset",
         F.concat(F.lit("Error processing "), file_name(F.col("path")), F.lit(": "), "error").alias("message"))
-    sound = exclude(work, broken, ["path"])
+    sound = told.filter("coalesce(faults, 0) = 0").select("path", "dataset")
     if sound.isEmpty():
         return failed
-    rows = include(records, sound, ["path"], salts=16, salt_by=["member", "row_no"])
-    status, message = _publish_one(rows, out, dataset, dictionary, roles, provenance, mode, string_columns)
+    rows = records if failed.isEmpty() else include(records, sound, ["path"])
+    status, message = publish_records(rows, out, dataset, dictionary, roles, provenance, mode, string_columns)
     return failed.unionByName(sound.select(
         "path", F.lit(status).alias("status"), "dataset", F.lit(message).alias("message")))
 
 
-def _publish_one(rows: DataFrame, out: str, dataset: Dataset, dictionary, roles, provenance,
-                 mode, string_columns) -> tuple[str, str]:
+def publish_records(rows: DataFrame, out: str, dataset: Dataset, dictionary: DataFrame | None = None,
+                    roles: ColumnRoles = ColumnRoles(), provenance: Provenance = Provenance(),
+                    mode: str = "bigint", string_columns=()) -> tuple[str, str]:
+    """Type, describe and publish the records of one dataset; status and message."""
     try:
         table = typed_table(rows, roles, mode, string_columns)
     except ValueError as clash:  # names which collide once upper-cased

@@ -4,21 +4,29 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from drydock.config import DATE_COLUMNS, DateRules, Registry
 from drydock.operators.profile import profile_all
+from drydock.session import scratch
 from drydock.sources.listing import list_files, published_name, published_names, scan_published
 
 
+# A failed write is raised as the one or the other.
+_FAULTS = (PySparkException, Py4JJavaError)
+
+
 def summarize(spark: SparkSession, root: str, registry: Registry,
               date_columns: Sequence[str] = DATE_COLUMNS, rules: DateRules = DateRules()) -> DataFrame:
     """One profile per ``*.parquet`` dataset of a folder, sorted by name.
 
     Dataset names come from the listing (a few per folder); their data is only
-    aggregated. A dataset which cannot be opened is left out.
+    aggregated, all in one pass. Should that pass fail, each dataset is measured
+    by itself, and one which cannot be read is left out with a warning.
     """
     files = list_files(spark, root, recursive=True).withColumn("dataset", published_name(F.col("path")))
     names = sorted(r["dataset"] for r in published_names(files).collect())
@@ -30,4 +38,21 @@ def summarize(spark: SparkSession, root: str, registry: Registry,
             warnings.warn(f"skipped {name}: {fault}", stacklevel=2)
     if not tables:
         raise ValueError(f"no published dataset in {root}")
-    return profile_all(tables, registry, date_columns, rules, files)
+
+    def measured(some: dict[str, DataFrame]) -> DataFrame:
+        place = scratch(spark, "profile")  # a row per dataset
+        profile_all(some, registry, date_columns, rules, files).write.parquet(place)
+        return spark.read.parquet(place)
+
+    try:
+        return measured(tables).orderBy("dataset")
+    except _FAULTS:
+        found = []
+        for name, df in tables.items():
+            try:
+                found.append(measured({name: df}))
+            except _FAULTS as fault:
+                warnings.warn(f"skipped {name}: {fault}", stacklevel=2)
+        if not found:
+            raise
+        return reduce(DataFrame.unionByName, found).orderBy("dataset")

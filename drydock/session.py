@@ -43,6 +43,31 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def _path(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store Spark reads."""
+    system, place = _path(spark, path)
+    return system.exists(place)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    system, place = _path(spark, path)
+    system.delete(place, True)
+
+
+def replace_path(spark: SparkSession, new: str, old: str) -> None:
+    """Put a whole new folder in the place of an old one."""
+    system, place = _path(spark, old)
+    system.mkdirs(place.getParent())
+    system.delete(place, True)
+    if not system.rename(_path(spark, new)[1], place):
+        raise OSError(f"cannot move {new} to {old}")
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -2,29 +2,51 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from drydock.session import path_exists, remove_path, replace_path
 from drydock.sources.listing import column_catalog
 
 
+def is_published(spark: SparkSession, root: str, dataset: str) -> bool:
+    """Whether a dataset is there as a whole. Its properties are written last,
+    so they are the mark; a table that was left half written has none."""
+    base = root.rstrip("/")
+    return all(path_exists(spark, f"{base}/{place}/_SUCCESS") for place in (f"{dataset}.parquet", f"_datasets/{dataset}"))
+
+
 def publish(df: DataFrame, root: str, dataset: str, properties: Mapping[str, str] | None = None,
             existing: Mapping[str, str] | None = None, mode: str = "overwrite") -> str:
     """Write ``{root}/{dataset}.parquet`` (snappy) and its metadata.
 
-    Column descriptions travel in the schema. They are also written, with the
-    dataset's properties, to ``_columns`` and ``_datasets``, which any tool can
-    read. ``mode="ignore"`` leaves what is already published.
+    The new data is written beside the old and takes its place once it is whole.
+    Column descriptions travel in the schema; they and the dataset's properties
+    are also written to ``_columns`` and ``_datasets``, which any tool can read.
+    Properties that are there already stay unless new ones replace them
+    (``existing`` names others to start from). The properties come last, and
+    mark the dataset as complete. ``mode="ignore"`` leaves a complete dataset
+    and its metadata alone.
     """
-    base = root.rstrip("/")
-    path = f"{base}/{dataset}.parquet"
-    df.write.mode(mode).option("compression", "snappy").parquet(path)
+    spark, base = df.sparkSession, root.rstrip("/")
+    path, mark = f"{base}/{dataset}.parquet", f"{base}/_datasets/{dataset}"
+    there = is_published(spark, base, dataset)
+    if there and mode == "ignore":
+        return path
+    if there and mode in ("error", "errorifexists"):
+        raise ValueError(f"{dataset} is published already")
+    if existing is None:
+        existing = read_properties(spark, base, dataset) if there else {}
+    incoming = f"{base}/_incoming/{dataset}-{uuid.uuid4().hex}.parquet"
+    df.write.option("compression", "snappy").parquet(incoming)
+    remove_path(spark, mark)
+    replace_path(spark, incoming, path)
     column_catalog(df, dataset).coalesce(1).write.mode("overwrite").parquet(f"{base}/_columns/{dataset}")
-    merged = {**(existing or {}), **(properties or {})}
-    rows = [(dataset, k, v) for k, v in sorted(merged.items())]
-    (df.sparkSession.createDataFrame(rows, "dataset string, property string, value string")
-     .coalesce(1).write.mode("overwrite").parquet(f"{base}/_datasets/{dataset}"))
+    rows = [(dataset, k, v) for k, v in sorted({**existing, **(properties or {})}.items())]
+    (spark.createDataFrame(rows, "dataset string, property string, value string")
+     .coalesce(1).write.mode("overwrite").parquet(mark))
     return path
 
 

@@ -15,7 +15,7 @@ import io
 import sys
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,15 +40,17 @@ _BAD_DATA = (zipfile.BadZipFile, zlib.error, EOFError, csv.Error, ValueError,
 
 _LIST = pa.list_(pa.string())
 _BLOCK = 4 << 20
-_MAX_BLOCK = 1 << 30
+MAX_RECORD_BYTES = 1 << 30
+# A member up to this size is decompressed once and read from memory, a larger
+# one is streamed twice: for its encoding, and for its records.
+_HELD_BYTES = 16 << 20
 
 
 # -- opening ---------------------------------------------------------------
 
 
-def _open(path: str, content: bytes | None):
-    if content is not None:
-        return io.BytesIO(content)
+def open_path(path: str):
+    """A file opened by the task itself, in any store Arrow knows."""
     for old, new in (("s3a://", "s3://"), ("s3n://", "s3://")):
         path = path.replace(old, new, 1) if path.startswith(old) else path
     if path.startswith("file:/") and not path.startswith("file://"):
@@ -64,27 +66,40 @@ def _csv_members(archive: zipfile.ZipFile) -> list[str]:
 # -- one member --------------------------------------------------------------
 
 
-def _encoding(archive: zipfile.ZipFile, member: str) -> str:
-    """UTF-8 if every byte of the member fits, else latin-1 for all of it."""
-    decoder = codecs.getincrementaldecoder("utf-8")()
-    with archive.open(member) as raw:
-        try:
-            while chunk := raw.read(1 << 20):
-                decoder.decode(chunk)
-            decoder.decode(b"", final=True)
-        except UnicodeDecodeError:
-            return "latin-1"
-    return "utf-8"
+class _Member:
+    """A member's bytes, as often as they are asked for."""
 
+    def __init__(self, archive: zipfile.ZipFile, name: str):
+        self.archive, self.name = archive, name
+        self.small = archive.getinfo(name).file_size <= _HELD_BYTES
+        self.held: bytes | None = None
 
-def _header(archive: zipfile.ZipFile, member: str, encoding: str) -> list[str]:
-    csv.field_size_limit(sys.maxsize)
-    with archive.open(member) as raw:
-        text = io.TextIOWrapper(raw, "utf-8-sig" if encoding == "utf-8" else encoding, newline="")
-        for record in csv.reader(text):
-            if any(cell.strip() for cell in record) or len(record) > 1:
-                return record
-    raise ValueError("no columns: the member is empty")
+    def open(self, whole: bool = True):
+        """``whole`` says that all of it will be read."""
+        if self.small and whole and self.held is None:
+            self.held = self.archive.read(self.name)
+        return self.archive.open(self.name) if self.held is None else io.BytesIO(self.held)
+
+    def encoding(self) -> str:
+        """UTF-8 if every byte of the member fits, else latin-1 for all of it."""
+        decoder = codecs.getincrementaldecoder("utf-8")()
+        with self.open() as raw:
+            try:
+                while chunk := raw.read(1 << 20):
+                    decoder.decode(chunk)
+                decoder.decode(b"", final=True)
+            except UnicodeDecodeError:
+                return "latin-1"
+        return "utf-8"
+
+    def header(self, encoding: str, whole: bool = True) -> list[str]:
+        csv.field_size_limit(sys.maxsize)
+        with self.open(whole) as raw:
+            text = io.TextIOWrapper(raw, "utf-8-sig" if encoding == "utf-8" else encoding, newline="")
+            for record in csv.reader(text):
+                if any(cell.strip() for cell in record) or len(record) > 1:
+                    return record
+        raise ValueError("no columns: the member is empty")
 
 
 def column_names(header: list[str]) -> list[str]:
@@ -125,18 +140,19 @@ class _Ragged:
         return [(n, *row) for n, row in ((n, self.rows.pop(n)) for n in ready) if n >= start]
 
 
-def _blocks(archive, member, encoding, width) -> Iterator[tuple[np.ndarray, pa.RecordBatch | None, list]]:
+def _blocks(member: _Member, encoding: str, width: int, most: int) -> Iterator[tuple[np.ndarray, pa.RecordBatch | None, list]]:
     """Good records as text columns with their record numbers, block by block,
     each with the ragged records met since the last block.
 
     A record longer than a block makes the reader start again with a larger
-    one; records below ``resume`` have been handed out already.
+    one, up to ``most`` bytes; records below ``resume`` have been handed out
+    already.
     """
     names = [f"f{i}" for i in range(width)]
     block, resume = _BLOCK, 0
     while True:
         ragged, following = _Ragged(), 0
-        with archive.open(member) as raw:
+        with member.open() as raw:
             try:
                 reader = pacsv.open_csv(
                     raw,
@@ -157,9 +173,11 @@ def _blocks(archive, member, encoding, width) -> Iterator[tuple[np.ndarray, pa.R
                 yield np.empty(0, dtype=np.int64), None, ragged.take(resume, None)
                 return
             except pa.ArrowInvalid as fault:
-                if "straddl" not in str(fault) or block >= _MAX_BLOCK:
+                if "straddl" not in str(fault):
                     raise
-                block *= 4
+                if block >= most:
+                    raise ValueError(f"a record is longer than max_record_bytes = {most}") from fault
+                block = min(block * 4, most)
 
 
 def _as_lists(batch: pa.RecordBatch) -> pa.Array:
@@ -188,27 +206,42 @@ def _mend(number: int, actual: int, text: str, width: int) -> tuple[list[str | N
     if actual > width:
         return None, f"record {number}: {actual} fields, expected {width}"
     try:
-        next(csv.reader(io.StringIO(text, newline=""), strict=True))
+        cells = next(csv.reader(io.StringIO(text, newline=""), strict=True))
     except csv.Error as fault:
         if "end of data" in str(fault):
             return None, f"record {number}: quoted field never closed"
-    cells = next(csv.reader(io.StringIO(text, newline="")))
+        cells = next(csv.reader(io.StringIO(text, newline="")))
     return cells + [None] * (width - len(cells)), None
 
 
-def _expand_member(path, archive, member, header_only) -> Iterator[pa.RecordBatch]:
-    encoding = _encoding(archive, member)
-    names = column_names(_header(archive, member, encoding))
-    layout, width = _layout(names), len(names)
-    yield _batch(path, member, [0], layout, pa.array([names], _LIST), [None])
-    if header_only:
+def _mended(path, member, layout, width, odd) -> pa.RecordBatch | None:
+    """The ragged records of a block as one batch."""
+    found = [(number, *_mend(number, actual, text, width)) for number, actual, text in odd
+             if text.strip()]  # a line of blanks is no record
+    if not found:
+        return None
+    numbers, cells, faults = zip(*found, strict=True)
+    return _batch(path, member, list(numbers), layout, pa.array(list(cells), _LIST), list(faults))
+
+
+def _expand_member(path, archive, name, header_only, most) -> Iterator[pa.RecordBatch]:
+    member = _Member(archive, name)
+    if header_only:  # an all-ASCII header reads the same in either encoding
+        names = member.header("latin-1", whole=False)
+        if not all(cell.isascii() for cell in names):
+            names = member.header(member.encoding())
+        names = column_names(names)
+        yield _batch(path, name, [0], _layout(names), pa.array([names], _LIST), [None])
         return
+    encoding = member.encoding()
+    names = column_names(member.header(encoding))
+    layout, width = _layout(names), len(names)
+    yield _batch(path, name, [0], layout, pa.array([names], _LIST), [None])
     header_seen = False
-    for numbers, batch, odd in _blocks(archive, member, encoding, width):
-        for number, actual, text in odd:
-            if text.strip():  # a line of blanks is no record
-                cells, fault = _mend(number, actual, text, width)
-                yield _batch(path, member, [number], layout, pa.array([cells], _LIST), [fault])
+    for numbers, batch, odd in _blocks(member, encoding, width, most):
+        mended = _mended(path, name, layout, width, odd)
+        if mended is not None:
+            yield mended
         if batch is None:
             return
         keep = np.ones(batch.num_rows, dtype=bool)
@@ -222,82 +255,108 @@ def _expand_member(path, archive, member, header_only) -> Iterator[pa.RecordBatc
         if not keep.all():
             numbers, batch = numbers[keep], batch.filter(pa.array(keep))
         if batch.num_rows:
-            yield _batch(path, member, numbers, layout, _as_lists(batch), [None] * batch.num_rows)
+            yield _batch(path, name, numbers, layout, _as_lists(batch), [None] * batch.num_rows)
 
 
 # -- Spark stages ------------------------------------------------------------
 
 
-def _expander(header_only: bool):
+def _handle(batch: pa.RecordBatch, i: int, opener):
+    """An archive's bytes: those that came with it, else those the task opens.
+
+    Opening stands outside of all fault handling: an unknown scheme or a store
+    that does not answer fails the task, and says nothing about the archive.
+    """
+    if "content" in batch.schema.names:
+        return io.BytesIO(batch.column("content")[i].as_py() or b"")
+    return opener(batch.column("path")[i].as_py())
+
+
+def _expander(opener, header_only: bool, most: int):
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 path = batch.column("path")[i].as_py()
                 wanted = batch.column("member")[i].as_py()
-                content = batch.column("content")[i].as_py()
                 member = None
-                try:
-                    with _open(path, content) as handle, zipfile.ZipFile(handle) as archive:
-                        members = [wanted] if wanted else _csv_members(archive)
-                        if not members:
-                            raise ValueError("no CSV members in the archive")
-                        for member in members:
-                            yield from _expand_member(path, archive, member, header_only)
-                except _BAD_DATA as fault:
-                    yield _error(path, member, None, None, f"{type(fault).__name__}: {fault}")
+                with _handle(batch, i, opener) as handle:
+                    try:
+                        with zipfile.ZipFile(handle) as archive:
+                            members = [wanted] if wanted else _csv_members(archive)
+                            if not members:
+                                raise ValueError("no CSV members in the archive")
+                            for member in members:
+                                yield from _expand_member(path, archive, member, header_only, most)
+                    except _BAD_DATA as fault:
+                        yield _error(path, member, None, None, f"{type(fault).__name__}: {fault}")
     return expand
 
 
-def _member_lister(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            path = batch.column("path")[i].as_py()
-            try:
-                with _open(path, batch.column("content")[i].as_py()) as handle:
-                    with zipfile.ZipFile(handle) as archive:
-                        members, message = _csv_members(archive), None
-                if not members:
-                    message = "ValueError: no CSV members in the archive"
-            except _BAD_DATA as fault:
-                members, message = [], f"{type(fault).__name__}: {fault}"
-            rows = members or [None]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([path] * len(rows), pa.string()), pa.array(rows, pa.string()),
-                pa.array([message] * len(rows), pa.string())], schema=_MEMBERS)
-
-
-def list_members(archives: DataFrame) -> DataFrame:
+def _member_lister(opener):
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                with _handle(batch, i, opener) as handle:
+                    try:
+                        with zipfile.ZipFile(handle) as archive:
+                            members, message = _csv_members(archive), None
+                        if not members:
+                            message = "ValueError: no CSV members in the archive"
+                    except _BAD_DATA as fault:
+                        members, message = [], f"{type(fault).__name__}: {fault}"
+                path, rows = batch.column("path")[i].as_py(), members or [None]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([path] * len(rows), pa.string()), pa.array(rows, pa.string()),
+                    pa.array([message] * len(rows), pa.string())], schema=_MEMBERS)
+    return listed
+
+
+def _carried(archives: DataFrame) -> list[str]:
+    return ["path", "content"] if "content" in archives.columns else ["path"]
+
+
+def list_members(archives: DataFrame, opener: Callable = open_path) -> DataFrame:
     """CSV members ``(path, member, error)``; reads only each archive's index."""
-    return archives.select("path", "content").mapInArrow(_member_lister, MEMBER_SCHEMA)
+    return archives.select(*_carried(archives)).mapInArrow(_member_lister(opener), MEMBER_SCHEMA)
 
 
-def expand_archives(archives: DataFrame, header_only: bool = False) -> DataFrame:
+def expand_archives(archives: DataFrame, header_only: bool = False, opener: Callable = open_path,
+                    max_record_bytes: int = MAX_RECORD_BYTES) -> DataFrame:
     """Records of all CSV members: ``(path, member, row_no, layout, fields, error)``.
 
     Record 0 is the header as column names; ``layout`` identifies it. A broken
     archive gives rows with ``error`` set instead of failing the job.
 
-    An archive which comes with its bytes is small, and is one unit of work.
-    The others (``inline`` false) are split further: their indexes are read
-    first, and every member becomes a unit of its own, spread over the cluster.
-    ``inline`` is a constant on each side of a listing, so the planner drops
-    the side which is not there, and no bytes are read to tell them apart.
+    Archives given by path, whatever their number and size, are opened by the
+    tasks: their indexes are read first, and then every member is a unit of work
+    of its own, spread over the cluster and streamed. ``opener`` turns a path
+    into a seekable binary file; the one given here knows the schemes Arrow
+    knows, and a caller with another store passes one for it. A table with a
+    ``content`` column brings the bytes along, one archive a unit of work.
     """
-    stage = _expander(header_only)
-    if "inline" not in archives.columns:
-        archives = archives.withColumn("inline", F.lit(True))
-    rows = archives.filter(F.col("inline")).select(
-        "path", F.lit(None).cast("string").alias("member"), "content").mapInArrow(stage, ROW_SCHEMA)
-    units = list_members(archives.filter(~F.col("inline")))
-    large = (units.filter(F.col("member").isNotNull())
-             .repartition(F.col("path"), F.col("member"))
-             .select("path", "member", F.lit(None).cast("binary").alias("content"))
-             .mapInArrow(stage, ROW_SCHEMA))
+    stage = _expander(opener, header_only, max_record_bytes)
+    if "content" in archives.columns:
+        return archives.select("path", F.lit(None).cast("string").alias("member"), "content").mapInArrow(
+            stage, ROW_SCHEMA)
+    units = list_members(archives, opener)
+    rows = (units.filter(F.col("member").isNotNull())
+            .repartition(F.col("path"), F.col("member")).select("path", "member").mapInArrow(stage, ROW_SCHEMA))
     failed = units.filter(F.col("member").isNull()).select(
         "path", "member", F.lit(None).cast("bigint").alias("row_no"),
         F.lit(None).cast("bigint").alias("layout"),
         F.lit(None).cast("array<string>").alias("fields"), "error")
-    return rows.unionByName(large).unionByName(failed)
+    return rows.unionByName(failed)
+
+
+def archive_faults(rows: DataFrame) -> DataFrame:
+    """One row per archive ``(path, rows, faults, error)``: its sound records, the
+    number of its faults, and the first message."""
+    fault = F.struct(F.coalesce("member", F.lit("")).alias("member"),
+                     F.coalesce("row_no", F.lit(0)).alias("row_no"), "error")
+    bad = F.col("error").isNotNull()
+    return rows.groupBy("path").agg(
+        F.count_if((F.col("row_no") > 0) & ~bad).alias("rows"), F.count_if(bad).alias("faults"),
+        F.min(F.when(bad, fault))["error"].alias("error"))
 
 
 def layouts(rows: DataFrame) -> DataFrame:
@@ -308,8 +367,4 @@ def layouts(rows: DataFrame) -> DataFrame:
 
 def errors_by_archive(rows: DataFrame) -> DataFrame:
     """One row per broken archive: number of faults and the first message."""
-    fault = F.struct(F.coalesce("member", F.lit("")).alias("member"),
-                     F.coalesce("row_no", F.lit(0)).alias("row_no"), "error")
-    return (rows.filter(F.col("error").isNotNull())
-            .groupBy("path")
-            .agg(F.count("*").alias("faults"), F.min(fault)["error"].alias("error")))
+    return archive_faults(rows.filter(F.col("error").isNotNull())).select("path", "faults", "error")

@@ -64,26 +64,6 @@ def union_distinct_paths(*listings: DataFrame) -> DataFrame:
     return merged.dropDuplicates()
 
 
-def read_archives(spark: SparkSession, *paths: str, inline_bytes: int = 256 << 20) -> DataFrame:
-    """Archives of folders (or single ones) with their bytes: ``(path, length,
-    content, inline)``.
-
-    The filter on ``length`` is pushed into the listing, so the bytes of a
-    larger archive are never loaded: its ``content`` is null and the task which
-    expands it opens the path itself, streaming member by member.
-    """
-    files = spark.read.format("binaryFile").load(list(paths)).filter(is_archive(F.col("path")))
-    small = files.filter(F.col("length") <= inline_bytes).select(
-        "path", "length", "content", F.lit(True).alias("inline"))
-    return small.unionByName(unread(files.filter(F.col("length") > inline_bytes)))
-
-
-def unread(files: DataFrame) -> DataFrame:
-    """Listed archives without their bytes, to be opened where they are expanded."""
-    return files.select("path", "length", F.lit(None).cast("binary").alias("content"),
-                        F.lit(False).alias("inline"))
-
-
 def dataset_catalog(spark: SparkSession, registry: Registry, base_url: str = "") -> DataFrame:
     """Registry rows: what can be fetched, under which name."""
     base = base_url.rstrip("/")
@@ -101,7 +81,8 @@ def scan_published(spark: SparkSession, root: str, dataset: str) -> DataFrame:
 
 def published_name(path: Column) -> Column:
     """The dataset a Parquet file, or a file in a Parquet folder, belongs to."""
-    return F.nullif(F.regexp_extract(path, r"([^/]+)\.parquet(?:/.*)?$", 1), F.lit(""))
+    name = F.regexp_extract(path, r"([^/]+)\.parquet(?:/.*)?\z", 1)
+    return F.when(~path.contains("/_incoming/"), F.nullif(name, F.lit("")))
 
 
 def published_names(files: DataFrame) -> DataFrame:

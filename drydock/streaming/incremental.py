@@ -5,39 +5,63 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from drydock.config import Registry
-from drydock.operators.lookups import classify
-from drydock.sources.archives import errors_by_archive, expand_archives
+from drydock.config import ColumnRoles, Provenance, Registry
+from drydock.operators.lookups import classify, include
+from drydock.plans.ingest import publish_records
+from drydock.sources.archives import ROW_SCHEMA, archive_faults, expand_archives, open_path
 from drydock.sources.listing import is_archive
 
 ARCHIVE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def incremental_ingest(spark: SparkSession, root: str, out: str, checkpoint: str,
-                       registry: Registry | None = None, files_per_batch: int = 1000) -> StreamingQuery:
+                       registry: Registry | None = None, files_per_batch: int = 1000,
+                       publish_to: str | None = None, dictionary: DataFrame | None = None,
+                       roles: ColumnRoles = ColumnRoles(), provenance: Provenance = Provenance(),
+                       opener=open_path) -> StreamingQuery:
     """Expand all new archives of a folder into ``{out}/records`` and
     ``{out}/outcomes``, then stop.
 
-    The checkpoint remembers which archives are done. Each micro-batch writes
-    its own folder and overwrites it when it is repeated after a failure, so a
+    With a registry and ``publish_to``, each dataset that got new archives is
+    typed anew over all its records so far, and published there; what became of
+    it is told in ``{out}/published``. The stream
+    itself carries only paths: archives of any size are opened by the tasks. The
+    checkpoint remembers which archives are done. Each micro-batch writes its
+    own folder and overwrites it when it is repeated after a failure, so a
     record is never published twice.
     """
     archives = (spark.readStream.format("binaryFile").schema(ARCHIVE_SCHEMA)
                 .option("maxFilesPerTrigger", files_per_batch).load(root)
-                .filter(is_archive(F.col("path"))))
+                .filter(is_archive(F.col("path"))).select("path"))
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        rows_at = f"{out}/records/batch={batch_id}"
-        expand_archives(batch.select("path", "length", "content")).write.mode("overwrite").parquet(rows_at)
-        rows = batch.sparkSession.read.parquet(rows_at)
-        seen = rows.groupBy("path").agg(
-            F.count_if((F.col("row_no") > 0) & F.col("error").isNull()).alias("rows"))
-        outcomes = seen.join(errors_by_archive(rows), "path", "left").select(
-            "path", F.when(F.col("faults").isNull(), "success").otherwise("error").alias("status"),
+        session = batch.sparkSession
+        rows_at, told_at = (f"{out}/{kind}/batch={batch_id}" for kind in ("records", "outcomes"))
+        expand_archives(batch, opener=opener).write.mode("overwrite").parquet(rows_at)
+        seen = archive_faults(session.read.schema(ROW_SCHEMA).parquet(rows_at))
+        outcomes = seen.select(
+            "path", F.when(F.col("faults") == 0, "success").otherwise("error").alias("status"),
             "rows", F.coalesce("error", F.lit("")).alias("message"))
         if registry is not None:
             outcomes = classify(outcomes, registry)
-        outcomes.write.mode("overwrite").parquet(f"{out}/outcomes/batch={batch_id}")
+        outcomes.write.mode("overwrite").parquet(told_at)
+        if registry is None or publish_to is None:
+            return
+        new = session.read.parquet(told_at).filter("status = 'success'").select("dataset").distinct()
+        names = {r["dataset"] for r in new.collect()}  # registered ones
+        done = []
+        for dataset in registry:
+            if dataset.name in names:
+                sound = landed(session, out).filter(
+                    (F.col("status") == "success") & (F.col("dataset") == dataset.name))
+                rows = include(landed(session, out, "records"), sound, ["path"])
+                try:
+                    told = publish_records(rows, publish_to, dataset, dictionary, roles, provenance)
+                except Exception as fault:  # the other datasets, and the stream, go on
+                    told = "error", f"Error processing {dataset.name}: {type(fault).__name__}: {fault}"
+                done.append((dataset.name, *told))
+        session.createDataFrame(done, "dataset string, status string, message string").write.mode(
+            "overwrite").parquet(f"{out}/published/batch={batch_id}")
 
     return (archives.writeStream.foreachBatch(land)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

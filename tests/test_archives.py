@@ -1,12 +1,13 @@
 """Expanding archives: members, encodings, ragged records, faults."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import zip_bytes
 from drydock.sources import archives as source
-from drydock.sources.archives import column_names, errors_by_archive, expand_archives, list_members
-from drydock.sources.listing import list_archives, list_files, read_archives, unread
+from drydock.sources.archives import column_names, errors_by_archive, expand_archives, layouts, list_members
+from drydock.sources.listing import list_archives, list_files
 from drydock.operators import union
 from drydock.operators.union import assemble_table
 
@@ -84,7 +85,7 @@ def test_blocks_smaller_than_records(monkeypatch, archives):
     import pyarrow as pa
     batch = pa.RecordBatch.from_pydict(
         {"path": ["p"], "member": pa.array([None], pa.string()), "content": pa.array([body], pa.binary())})
-    out = [r for b in source._expander(False)(iter([batch])) for r in b.to_pylist()]
+    out = [r for b in source._expander(source.open_path, False, source.MAX_RECORD_BYTES)(iter([batch])) for r in b.to_pylist()]
     assert sorted((r["row_no"], r["fields"]) for r in out if r["row_no"]) == want
 
 
@@ -96,15 +97,68 @@ def test_files_of_a_folder(spark, tmp_path):
     assert list_archives(spark, root).count() == 3
     assert list_files(spark, root).count() == 4
     assert list_files(spark, root + "/missing").count() == 0
-    inline = read_archives(spark, root)
-    assert inline.filter("content is null").count() == 0
-    opened = read_archives(spark, root, inline_bytes=0)
-    assert opened.filter("content is not null").count() == 0
-    assert rows_of(expand_archives(opened)) == rows_of(expand_archives(inline))
-    assert rows_of(expand_archives(unread(list_archives(spark, root)))) == rows_of(expand_archives(inline))
+    carried = spark.read.format("binaryFile").load(root).filter("path NOT LIKE '%txt'").select("path", "length", "content")
+    assert rows_of(expand_archives(list_archives(spark, root))) == rows_of(expand_archives(carried))
+    assert list_members(list_archives(spark, root)).count() == 6
 
 
-def test_union_by_name(monkeypatch, archives):
+def test_many_archives_by_the_same_code(spark, tmp_path):
+    for k in range(300):
+        (tmp_path / f"{k}.zip").write_bytes(zip_bytes({"x.csv": f"n\n{k}\n"}))
+    for few in (3, 300):
+        named = list_archives(spark, str(tmp_path)).orderBy("path").limit(few)
+        found = expand_archives(named).filter("row_no > 0 AND error IS NULL")
+        assert found.count() == few
+
+
+def test_store_faults_are_no_bad_data(spark):
+    strange = spark.createDataFrame([("nowhere://bucket/a.zip",)], "path string")
+    missing = spark.createDataFrame([("/no/such/a.zip",)], "path string")
+    for archives in (strange, missing):
+        for stage in (expand_archives, list_members):
+            with pytest.raises(Exception, match="nowhere|No such file|Unrecognized"):
+                stage(archives).collect()
+
+
+def test_own_opener(spark):
+    body = zip_bytes({"a.csv": "n\nmine\n"})
+
+    def opener(path):
+        import io
+        return io.BytesIO(body if path.startswith("mine://") else b"")
+    found = expand_archives(spark.createDataFrame([("mine://x",)], "path string"), opener=opener)
+    assert [r.fields for r in found.filter("row_no > 0").collect()] == [["mine"]]
+
+
+def test_ragged_rows_come_in_few_batches():
+    text = "a,b,c\n" + "".join(f"{k},x\n" for k in range(50_000))
+    body = zip_bytes({"a.csv": text})
+    batch = pa.RecordBatch.from_pydict(
+        {"path": ["p"], "member": pa.array([None], pa.string()), "content": pa.array([body], pa.binary())})
+    out = list(source._expander(source.open_path, False, source.MAX_RECORD_BYTES)(iter([batch])))
+    assert len(out) < 10
+    rows = [r for b in out for r in b.to_pylist() if r["row_no"]]
+    assert len(rows) == 50_000 and rows[7]["fields"] == ["7", "x", None]
+
+
+def test_header_pass_reads_the_header_alone(monkeypatch):
+    body = zip_bytes({"a.csv": "a,b\n" + "1,2\n" * 1_000_000, "b.csv": "\u00e9,b\n1,2\n"})
+    monkeypatch.setattr(source._Member, "encoding", lambda self: pytest.fail("read whole") if self.name == "a.csv" else "utf-8")
+    batch = pa.RecordBatch.from_pydict(
+        {"path": ["p"], "member": pa.array([None], pa.string()), "content": pa.array([body], pa.binary())})
+    out = [r for b in source._expander(source.open_path, True, 1 << 30)(iter([batch])) for r in b.to_pylist()]
+    assert [r["fields"] for r in out] == [["a", "b"], ["\u00e9", "b"]]
+
+
+def test_record_limit_is_named(archives):
+    found = archives({"a.zip": {"x.csv": "a\n" + "y" * (9 << 20) + "\n"}})
+    assert rows_of(expand_archives(found).filter("row_no > 0"))[0][3] == ("y" * (9 << 20),)
+    found = archives({"a.zip": {"x.csv": "a\n" + "y" * (20 << 20) + "\n"}})
+    short = expand_archives(found, max_record_bytes=5 << 20)
+    assert "max_record_bytes" in errors_by_archive(short).first()["error"]
+
+
+def test_union_by_name(archives):
     found = archives({"one.zip": {"a.csv": "a,b\n1,2\n", "b.csv": "c,a\n3,x\n"}, "two.zip": {"a.csv": "b\n4\n"}})
     rows = expand_archives(found)
 
@@ -114,8 +168,8 @@ def test_union_by_name(monkeypatch, archives):
 
     want = sorted([("1", "2", None), ("x", None, "3"), (None, "4", None)], key=str)
     assert table() == want
-    monkeypatch.setattr(union, "BROADCAST_LAYOUTS", 1)
-    assert table() == want
+    headers = sorted((r["layout"], r["names"]) for r in layouts(rows).collect())
+    assert assemble_table(rows).columns == list(dict.fromkeys(n for _, names in headers for n in names))
 
 
 def test_single_column_keeps_quoted_empty(archives):

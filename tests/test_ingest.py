@@ -1,6 +1,7 @@
 """The whole way from a folder of archives to described tables; landing reports."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import zip_bytes
 from drydock.config import DEFAULT_REGISTRY, Dataset, Provenance, Registry
@@ -10,7 +11,8 @@ from drydock.operators.landing import (
 from drydock.operators.lookups import classify
 from drydock.plans import ingest as plan
 from drydock.plans.ingest import ingest
-from drydock.sinks.parquet import read_properties
+from drydock.plans.summarize import summarize
+from drydock.sinks.parquet import is_published, publish, read_column_catalog, read_properties
 from drydock.sources.listing import column_catalog, dataset_catalog, list_files, match_files
 from drydock.streaming.incremental import incremental_ingest, landed
 
@@ -36,9 +38,7 @@ def status(outcomes):
     return {r.path.rsplit("/", 1)[-1]: (r.status, r.dataset, r.message) for r in outcomes.collect()}
 
 
-@pytest.mark.parametrize("named_paths", [10_000, 0])
-def test_ingest(spark, tmp_path, landing, monkeypatch, named_paths):
-    monkeypatch.setattr(plan, "NAMED_PATHS", named_paths)
+def test_ingest(spark, tmp_path, landing):
     out = str(tmp_path / "out")
     texts = spark.createDataFrame([("ATTRIBUTES", "NAME", "The name"), ("ATTRIBUTES", "ID_RSSD", "The key"),
                                    ("RELATIONSHIPS", "NAME", "no")], "table string, variable string, description string")
@@ -77,6 +77,72 @@ def test_ingest(spark, tmp_path, landing, monkeypatch, named_paths):
     assert sorted(map(tuple, spark.read.parquet(f"{out}/relationships.parquet").collect())) == [(1, 2), (3, 4)]
 
 
+def test_faults_of_one_dataset_leave_the_others(spark, tmp_path, landing, monkeypatch):
+    out, real = str(tmp_path / "out"), plan.publish
+
+    def publish(df, root, dataset, *rest):
+        if dataset == "attributes_active":
+            raise RuntimeError("disk on fire")
+        return real(df, root, dataset, *rest)
+
+    monkeypatch.setattr(plan, "publish", publish)
+    found = status(ingest(spark, str(landing), out, DEFAULT_REGISTRY))
+    assert found["CSV_ATTRIBUTES_ACTIVE.ZIP"][0] == "error" and "disk on fire" in found["CSV_ATTRIBUTES_ACTIVE.ZIP"][2]
+    assert found["old_csv_relationships.zip"][0] == "success"
+
+
+def test_staged_records_are_removed(spark, tmp_path, landing):
+    staging = tmp_path / "staging"
+    found = ingest(spark, str(landing), str(tmp_path / "out"), DEFAULT_REGISTRY, staging=str(staging))
+    assert found.count() == 7 and not (staging / "records").exists()
+
+
+def test_half_written_tables_are_not_published(spark, tmp_path):
+    root, df = str(tmp_path), spark.range(3)
+    publish(df, root, "t", {"a": "1", "b": "2"})
+    assert is_published(spark, root, "t") and read_properties(spark, root, "t") == {"a": "1", "b": "2"}
+    publish(df.withColumn("x", F.lit(1)), root, "t", {"a": "3"}, mode="ignore")
+    assert spark.read.parquet(f"{root}/t.parquet").columns == ["id"]
+    assert read_properties(spark, root, "t") == {"a": "1", "b": "2"} and read_column_catalog(spark, root, "t").count() == 1
+    publish(df.withColumn("x", F.lit(1)), root, "t", {"a": "3"})
+    assert read_properties(spark, root, "t") == {"a": "3", "b": "2"} and read_column_catalog(spark, root, "t").count() == 2
+    with pytest.raises(Exception, match="broken"):
+        publish(spark.range(3).select(F.raise_error(F.lit("broken")).cast("int").alias("z")), root, "t")
+    assert is_published(spark, root, "t") and spark.read.parquet(f"{root}/t.parquet").count() == 3  # the old one is whole
+    (tmp_path / "t.parquet" / "_SUCCESS").unlink()
+    assert not is_published(spark, root, "t")
+
+
+def test_profiles_of_what_can_be_read(spark, tmp_path):
+    root = str(tmp_path)
+    for name in ("good", "other", "torn"):
+        publish(spark.range(100), root, name)
+    part = next((tmp_path / "torn.parquet").glob("part-*.parquet"))
+    body = part.read_bytes()
+    part.write_bytes(body[:4] + b"\0" * 60 + body[64:])
+    (part.parent / f".{part.name}.crc").unlink()
+    with pytest.warns(UserWarning, match="torn"):
+        found = summarize(spark, root, DEFAULT_REGISTRY, ("id",)).collect()
+    assert [(r.dataset, r.rows) for r in found] == [("good", 100), ("other", 100)]
+
+
+def test_archives_beyond_the_file_sources_limit(spark, tmp_path):
+    root = tmp_path / "raw"
+    root.mkdir()
+    (root / "small_csv_relationships.zip").write_bytes(zip_bytes({"r.csv": "a\n1\n"}))
+    (root / "large_csv_relationships.zip").write_bytes(zip_bytes({"r.csv": "a\n" + "".join(f"{k * k}\n" for k in range(5000))}))
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(limit, "1000")
+    try:
+        incremental_ingest(spark, str(root), str(tmp_path / "out"), str(tmp_path / "seen"), DEFAULT_REGISTRY,
+                           publish_to=str(tmp_path / "published")).awaitTermination()
+        found = {r.path.rsplit("/", 1)[-1]: (r.status, r.rows) for r in landed(spark, str(tmp_path / "out")).collect()}
+    finally:
+        spark.conf.unset(limit)
+    assert found == {"small_csv_relationships.zip": ("success", 1), "large_csv_relationships.zip": ("success", 5000)}
+    assert spark.read.parquet(str(tmp_path / "published" / "relationships.parquet")).count() == 5001
+
+
 def test_nothing_to_ingest(spark, tmp_path):
     assert ingest(spark, str(tmp_path / "none"), str(tmp_path / "out"), DEFAULT_REGISTRY).count() == 0
 

@@ -45,6 +45,20 @@ def test_query(spark, duck, name):
     assert found == sorted(tuple(_plain(r[i]) for i in order) for r in result.fetchall())
 
 
+@pytest.mark.parametrize("name, by", [
+    ("profile_tables", ["dataset"]), ("profile_sizes", ["dataset"]), ("variable_keep_first", ["variable"]),
+    ("clean_tables", ["doc", "variable"]), ("ingest_report", ["status", "dataset"]), ("published_profile", ["dataset"])])
+def test_order(spark, name, by):
+    """What is sorted comes out sorted."""
+    found = [tuple(r[c] for c in by) for r in QUERIES[name](spark, SF).collect()]
+    assert found == sorted(found) and len(found) > 1
+
+
+def test_preview_is_the_first_rows(spark, duck):
+    want = duck.execute(ORACLES["dictionary_preview"]).fetchall()
+    assert [tuple(r) for r in QUERIES["dictionary_preview"](spark, SF).collect()] == want
+
+
 def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.count() == len(TABLES)

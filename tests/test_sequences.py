@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from drydock.operators.pages import assemble_pages
+from drydock.operators import sequences
 from drydock.operators.sequences import Running, explode_lines, forward_fill, scan, segment
 
 
@@ -53,7 +54,7 @@ def test_lines_are_stripped_of_all_blanks(spark):
         line.strip() for line in text.split("\n")]
 
 
-@pytest.mark.parametrize("part_chars, parts", [(10**6, 1), (10, 3)])
+@pytest.mark.parametrize("part_chars, parts", [(None, 1), (10**6, 1), (10, 3)])
 def test_pages_in_order_and_in_parts(spark, part_chars, parts):
     pages = [("d", 3, "third"), ("d", 1, "first"), ("d", 2, ""), ("d", 4, None), ("d", 5, "fifth\n"), ("d", 9, "ninth"),
              ("d", 11, "x"), ("e", 1, "only")]
@@ -61,4 +62,14 @@ def test_pages_in_order_and_in_parts(spark, part_chars, parts):
     out = assemble_pages(df, "d", "n", "t", part_chars=part_chars).orderBy("d", "part_no").collect()
     texts = [r.text for r in out if r.d == "d"]
     assert "\n\n".join(texts) == "first\n\nthird\n\nfifth\n\n\nninth\n\nx"
-    assert len(texts) == parts and all(r.n_chars == len(r.text) for r in out)
+    assert len(texts) == parts and all(r.n_chars == len("\n\n".join(t.text for t in out if t.d == r.d)) for r in out)
+
+
+@pytest.mark.parametrize("scale, start", [(1, 0), (1_000_000, 1_700_000_000_000_000), (7, -50)])
+def test_sparse_orders_are_cut_by_rows(spark, monkeypatch, scale, start):
+    monkeypatch.setattr(sequences, "BLOCK_ROWS", 10)
+    df = spark.range(95).select((F.col("id") % 2).alias("k"), (F.col("id") * scale + start).alias("at"), F.col("id").alias("v"))
+    blocks = sequences.with_blocks(df, ["k"], "at").groupBy("k").agg(F.countDistinct("_block").alias("n")).collect()
+    assert all(4 <= r.n <= 6 for r in blocks)
+    filled = sequences.forward_fill(df, ["k"], "at", F.when(F.col("v") % 10 < 2, F.col("v")), "last").collect()
+    assert all(r["last"] == r.v - (r.v % 10) + r.k for r in filled)

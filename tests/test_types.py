@@ -113,3 +113,19 @@ def test_metadata_survives_order(spark):
     df = spark.createDataFrame([(1, 2)], "b int, a int")
     tagged = df.select(df.b.alias("b", metadata={"description": "B"}), "a")
     assert order_columns(tagged, ColumnRoles((), ())).schema["b"].metadata == {"description": "B"}
+
+
+@pytest.mark.parametrize("text", ["5\u2028", "1.5\u0085", "7\u2029", "1e3\n\u2028"])
+def test_line_separators_are_no_blanks(spark, text):
+    """Such a text is no number, so its column stays text and keeps it."""
+    df = spark.createDataFrame([(text,), ("6",)], "a string")
+    assert inferred(df) == {"a": "string"}
+    assert sorted(r.a for r in apply_types(df, inferred(df), proven=True).collect()) == sorted([text, "6"])
+
+
+def test_a_broken_proof_fails(spark):
+    df = spark.createDataFrame([("x",)], "a string")
+    with pytest.raises(Exception, match="not bigint after all"):
+        apply_types(df, {"a": "bigint"}, proven=True).collect()
+    assert apply_types(spark.createDataFrame([(None,), ("NA",), (" 3 ",)], "a string"), {"a": "bigint"}, proven=True).collect() == [
+        (None,), (None,), (3,)]
