@@ -14,7 +14,14 @@ from drydock.config import GridRoles
 from drydock.functions.text import contains_any, strip
 from drydock.operators.distinct import keep_first
 from drydock.operators.lookups import lookup
-from drydock.operators.sequences import segment
+from drydock.operators.sequences import BLOCK_ROWS, segment
+
+
+def _numbered(grids: DataFrame, doc: str) -> DataFrame:
+    """Number the grids of each document from 1. A grid is one row here, and
+    ``table_id`` counts a document's tables, so blocks are cut by it."""
+    cut = grids.withColumn("_block", F.floor(F.col("table_id") / F.lit(BLOCK_ROWS)).cast("bigint"))
+    return segment(cut, [doc], "table_id", F.lit(True), "grid_no", "_block").drop("_block")
 
 
 def non_trivial_grids(cells: DataFrame, doc: str) -> DataFrame:
@@ -22,30 +29,38 @@ def non_trivial_grids(cells: DataFrame, doc: str) -> DataFrame:
     grids = (cells.groupBy(doc, "table_id")
              .agg(F.max("row_no").alias("_last"), F.min("row_no").alias("_first"))
              .filter(F.col("_last") > F.col("_first")))
-    return segment(grids, [doc], "table_id", F.lit(True), "grid_no").select(doc, "table_id", "grid_no")
+    return _numbered(grids, doc).select(doc, "table_id", "grid_no")
+
+
+def _header(text, col_no):
+    """A header cell: stripped, a blank one named by its column."""
+    filled = F.coalesce(text, F.lit("")) != ""
+    return F.when(filled, strip(text)).otherwise(F.concat(F.lit("col_"), col_no.cast("string")))
 
 
 def promote_header(cells: DataFrame, doc: str) -> DataFrame:
     """Headers ``(doc, table_id, col_no, header)``: stripped, blank ones named."""
-    text = strip(F.coalesce("text", F.lit("")))
-    blank = F.concat(F.lit("col_"), F.col("col_no").cast("string"))
     return cells.filter(F.col("row_no") == 0).select(
-        doc, "table_id", "col_no", F.when(F.coalesce("text", F.lit("")) != "", text).otherwise(blank).alias("header"))
+        doc, "table_id", "col_no", _header(F.col("text"), F.col("col_no")).alias("header"))
 
 
-def detect_column_roles(headers: DataFrame, doc: str, roles: GridRoles = GridRoles()) -> DataFrame:
-    """Per grid, the columns holding names and texts: the last header with a
-    fitting word, else the first and the second column."""
-    tagged = headers.withColumn("header", strip(F.upper("header")))
-    lowered = F.lower("header")
+def _roles(header, col_no, roles: GridRoles) -> list:
+    """Aggregates over header cells; ``header`` and ``col_no`` are null for others."""
+    lowered = F.lower(header)
     is_name = contains_any(lowered, roles.name_words)
     is_text = ~is_name & contains_any(lowered, roles.text_words)
-    col_no = F.col("col_no")
-    return tagged.groupBy(doc, "table_id").agg(
+    tagged = strip(F.upper(header))
+    return [
         F.coalesce(F.max(F.when(is_name, col_no)), F.min(col_no)).alias("name_col"),
         F.coalesce(F.max(F.when(is_text, col_no)), F.min(F.when(col_no > 0, col_no))).alias("text_col"),
-        F.coalesce(F.max_by("header", F.when(is_name, col_no)), F.min_by("header", col_no)).alias("name_header"),
-    ).filter(F.col("text_col").isNotNull())
+        F.coalesce(F.max_by(tagged, F.when(is_name, col_no)), F.min_by(tagged, col_no)).alias("name_header")]
+
+
+def detect_column_roles(headers: DataFrame, doc: str, roles: GridRoles = GridRoles()) -> DataFrame:
+    """Per grid, the columns holding names and texts: the last header with a
+    fitting word, else the first and the second column."""
+    return headers.groupBy(doc, "table_id").agg(*_roles(F.col("header"), F.col("col_no"), roles)).filter(
+        F.col("text_col").isNotNull())
 
 
 def looks_like_variable(df: DataFrame, name: str, text: str, header: str | None = None,
@@ -58,15 +73,16 @@ def looks_like_variable(df: DataFrame, name: str, text: str, header: str | None
 
 def grid_kinds(cells: DataFrame, doc: str, roles: GridRoles = GridRoles()) -> DataFrame:
     """Grids with a header and at least one row: their roles, and their number per
-    document from 1. Headers and row numbers are read in one pass over the cells."""
-    header = F.when(F.col("row_no") == 0, F.struct("col_no", "text"))
-    grids = (cells.groupBy(doc, "table_id")
-             .agg(F.max("row_no").alias("_last"), F.min("row_no").alias("_first"), F.collect_list(header).alias("_head"))
-             .filter(F.col("_last") > F.col("_first")))
-    numbered = segment(grids, [doc], "table_id", F.lit(True), "grid_no")
-    heads = numbered.select(doc, "table_id", "grid_no", F.lit(0).alias("row_no"), F.inline("_head"))
-    found = detect_column_roles(promote_header(heads, doc), doc, roles)
-    return found.join(numbered.select(doc, "table_id", "grid_no"), [doc, "table_id"])
+    document from 1. One aggregation over the cells tells all of it."""
+    is_head = F.col("row_no") == 0
+    header = F.when(is_head, _header(F.col("text"), F.col("col_no")))
+    marked = cells.select(doc, "table_id", "row_no", header.alias("_head"),
+                          F.when(is_head, F.col("col_no")).alias("_col"))
+    grids = (marked.groupBy(doc, "table_id")
+             .agg(F.max("row_no").alias("_last"), F.min("row_no").alias("_first"),
+                  *_roles(F.col("_head"), F.col("_col"), roles))
+             .filter(F.col("_last") > F.col("_first")).drop("_last", "_first"))
+    return _numbered(grids, doc).filter(F.col("text_col").isNotNull())
 
 
 def grid_rows(cells: DataFrame, doc: str, roles: GridRoles = GridRoles()) -> DataFrame:
