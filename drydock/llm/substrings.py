@@ -4,7 +4,9 @@ A suffix is worth sorting only if its first bytes occur again. Each window of
 ``length`` bytes is owned by its anchor, the least of its hashed grams; equal
 windows have equal anchors at the same place. So grams are exchanged first, and
 only suffixes at anchors whose gram occurs twice, with different text around
-them, are cut into sorted runs, front-coded, exchanged and merged.
+them, are cut into sorted runs, front-coded, exchanged and merged. A gram which
+a large share of all documents holds would bring too many suffixes to one task:
+its windows are compared one by one instead, as hashes in a grouping by Spark.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ LENGTH = 100
 GRAM = 32
 BATCH_BYTES = 2 << 20
 BUCKET_BYTES = 16 << 20
+HOT_ANCHORS = 32
 
 _KEY = T.StructType([T.StructField("id", T.LongType()), T.StructField("text_hash", T.LongType())])
 
@@ -39,6 +42,19 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(least[:n], least[width - size:width - size + n])
 
 
+def window_hashes(data: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of the windows of ``length`` bytes at the given places."""
+    twice = rolled(mixed(data.astype(np.uint64) + np.uint64(977)))
+    return spans_hash(rolled(data), start, start + length), spans_hash(twice, start, start + length)
+
+
+def spread(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which interval, and which place in it, for all places of lo..hi."""
+    n = hi - lo + 1
+    which = np.repeat(np.arange(len(n)), n)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + lo[which]
+
+
 def find_anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> dict[str, np.ndarray]:
     """Anchors of the texts: ``doc, at, lo, hi, gram, chunk``.
 
@@ -92,9 +108,10 @@ def unpack(blob: bytes, dtypes: list) -> list[np.ndarray]:
     return out
 
 
-def later_copies(place: np.ndarray, lo: np.ndarray, gram: np.ndarray, chunk: np.ndarray):
+def later_copies(place: np.ndarray, lo: np.ndarray, gram: np.ndarray, chunk: np.ndarray, heads: bool = False):
     """Sort by gram, chunk and place. Gives the order, whether each (in it) is a later
-    copy of its chunk, and whether it is the first of a chunk whose gram has several."""
+    copy of its chunk, and whether it is the first of a chunk whose gram has several
+    (with ``heads`` also whether it is the first of any)."""
     order = np.lexsort((lo, place, chunk, gram))
     g, c, p, x = gram[order], chunk[order], place[order], lo[order]
     new_gram, new_chunk = np.ones(len(g), dtype=bool), np.ones(len(g), dtype=bool)
@@ -104,12 +121,14 @@ def later_copies(place: np.ndarray, lo: np.ndarray, gram: np.ndarray, chunk: np.
     later = (p != p[head]) | (x != x[head])  # a repeated row is not its own copy
     which = np.cumsum(new_gram) - 1
     several = np.bincount(which, new_chunk)[which] > 1 if len(g) else np.zeros(0, bool)
-    return order, later, new_chunk & several
+    return (order, later, new_chunk & several, new_chunk) if heads else (order, later, new_chunk & several)
 
 
 _DOCS = [np.uint8, np.int64, np.int64]
 _ANCHORS = _DOCS + [np.uint32, np.uint32, np.uint8, np.uint8, np.uint64, np.uint64]
 _DONE = _DOCS + [np.uint32, np.uint32, np.uint32]
+_WINDOWS = _DOCS + [np.uint32, np.uint32, np.uint64, np.uint64]
+_ANCHOR, _SETTLED, _WINDOW, _HOT = 0, 1, 2, 3
 
 
 def _ids(column: pa.Array) -> list[np.ndarray]:
@@ -134,8 +153,23 @@ def merged(place: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarra
     return place[first], lo[first], np.maximum.reduceat(hi, first) if len(first) else hi[:0]
 
 
-def _scanner(buckets: int, length: int, gram: int):
-    """Anchors of each batch, dealt by gram; copies inside the batch are settled at once."""
+def _hot_windows(pieces: list, found: dict, own: np.ndarray, length: int):
+    """All windows of some anchors: document, start and hash."""
+    sizes = np.array([len(p[2]) for p in pieces], dtype=np.int64)
+    offset = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+    which, start = spread(found["lo"][own], found["hi"][own])
+    piece = found["doc"][own][which]
+    low, high = window_hashes(np.frombuffer(b"".join(p[2] for p in pieces), np.uint8), start + offset[piece], length)
+    doc, base = (np.array([p[k] for p in pieces])[piece] for k in (0, 1))
+    return doc, start + base, low, high
+
+
+def _scanner(buckets: int, length: int, gram: int, hot: int):
+    """Anchors of each batch, dealt by gram; copies inside the batch are settled at once.
+
+    A gram at ``hot`` anchors of the batch, with other text around each, is dealt
+    by its windows, and its name is sent to its bucket.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = _ids(batch.column(0))
@@ -154,25 +188,46 @@ def _scanner(buckets: int, length: int, gram: int):
                 at, lo, hi = (found[n] + base for n in ("at", "lo", "hi"))
                 where, later, _ = later_copies(order[doc], lo, found["gram"], found["chunk"])
                 out_bucket, out_kind, out_blob = [], [], []
+
+                def deal(kind: int, bucket: int, blob: bytes) -> None:
+                    out_kind.append(kind)
+                    out_bucket.append(bucket)
+                    out_blob.append(blob)
+
+                def anywhere(owners: list[np.ndarray]) -> int:
+                    return int(mixed(owners[2][:1].view(np.uint64))[0] % np.uint64(buckets))
+
                 gone = where[later]
-                if len(gone):
-                    place, a, b = merged(doc[gone], lo[gone], hi[gone])
-                    owners = _own_docs(ids, place)
-                    out_bucket.append(int(mixed(owners[2][:1].view(np.uint64))[0] % np.uint64(buckets)))
-                    out_kind.append(1)
-                    out_blob.append(pack(*owners, a.astype(np.uint32), b.astype(np.uint32)))
+                done = [(doc[gone], lo[gone], hi[gone])]
                 keep = np.sort(where[~later])
+                names, which, times = np.unique(found["gram"][keep], return_inverse=True, return_counts=True)
+                is_hot = times >= hot
+                if is_hot.any():
+                    owner, start, low, high = _hot_windows(some, found, keep[is_hot[which]], length)
+                    sort, repeated, _ = later_copies(order[owner], start, low, high)
+                    own = sort[repeated]
+                    done.append((owner[own], start[own], start[own]))
+                    own = np.sort(sort[~repeated])
+                    for x in range(0, len(own), 100_000):
+                        part = own[x:x + 100_000]
+                        owners = _own_docs(ids, owner[part])
+                        deal(_WINDOW, anywhere(owners), pack(*owners, start[part].astype(np.uint32), low[part], high[part]))
+                    for name in names[is_hot]:
+                        deal(_HOT, int(mixed(name[None])[0] % np.uint64(buckets)), pack(name[None]))
+                    keep = keep[~is_hot[which]]
+                place, a, b = merged(*(np.concatenate(x) for x in zip(*done, strict=True)))
+                if len(place):
+                    owners = _own_docs(ids, place)
+                    deal(_SETTLED, anywhere(owners), pack(*owners, a.astype(np.uint32), b.astype(np.uint32)))
                 bucket = (mixed(found["gram"][keep]) % np.uint64(buckets)).astype(np.int64)
                 sort = np.argsort(bucket, kind="stable")
                 keep, bucket = keep[sort], bucket[sort]
                 edges = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
                 for x, y in zip(edges[:-1], edges[1:], strict=True):
                     own = keep[x:y]
-                    out_bucket.append(int(bucket[x]))
-                    out_kind.append(0)
-                    out_blob.append(pack(*_own_docs(ids, doc[own]), at[own].astype(np.uint32),
-                                         (at[own] - lo[own]).astype(np.uint8), (at[own] - hi[own]).astype(np.uint8),
-                                         found["gram"][own], found["chunk"][own]))
+                    deal(_ANCHOR, int(bucket[x]), pack(
+                        *_own_docs(ids, doc[own]), at[own].astype(np.uint32), (at[own] - lo[own]).astype(np.uint8),
+                        (at[own] - hi[own]).astype(np.uint8), found["gram"][own], found["chunk"][own]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out_bucket, pa.int32()), pa.array(out_kind, pa.int32()), pa.array(out_blob, pa.binary())],
                     names=["bucket", "kind", "blob"])
@@ -202,15 +257,28 @@ def doc_ranks(none: np.ndarray, ids: np.ndarray, ties: np.ndarray) -> np.ndarray
     return rank
 
 
-_FOUND = "key struct<id: bigint, text_hash: bigint>, at long, lo long, hi long"
+#: at: -1 for windows lo..hi that are repeats, -2 for one with its hash, else that of an open anchor.
+_FOUND = "key struct<id: bigint, text_hash: bigint>, at long, lo long, hi long, hot boolean, low long, high long"
 
 
-def _found(docs: list[np.ndarray], place: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
+def _found(docs: list[np.ndarray], place: np.ndarray, at, lo: np.ndarray, hi: np.ndarray, hot=False,
+           low=0, high=0) -> pa.RecordBatch:
     none, ids, ties = (x[place] for x in docs)
     key = pa.StructArray.from_arrays([pa.array(ids, pa.int64(), mask=none.astype(bool)), pa.array(ties, pa.int64())],
                                      names=["id", "text_hash"])
-    return pa.RecordBatch.from_arrays([key, *(pa.array(x.astype(np.int64)) for x in (at, lo, hi))],
-                                      names=["key", "at", "lo", "hi"])
+    def column(values, kind) -> pa.Array:
+        return pa.array(np.broadcast_to(np.asarray(values).astype(kind), place.shape))
+
+    return pa.RecordBatch.from_arrays(
+        [key, *(column(x, np.int64) for x in (at, lo, hi)), column(hot, bool),
+         *(column(x, np.uint64).view(pa.int64()) for x in (low, high))],
+        names=["key", "at", "lo", "hi", "hot", "low", "high"])
+
+
+def _told_windows(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+    for blob in blobs:
+        none, ids, ties, place, start, low, high = unpack(blob, _WINDOWS)
+        yield _found([none, ids, ties], place, -2, start, start, False, low, high)
 
 
 def _settler():
@@ -218,21 +286,24 @@ def _settler():
     which first ones must be compared with other text around the same gram."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, ("bucket",), 1, 1):
-            blobs, kinds = rows.column("blob").to_pylist(), rows.column("kind").to_pylist()
-            none, ids, ties, place, a, b = _joined([x for x, k in zip(blobs, kinds, strict=True) if k == 1], _DONE)
+            by: list[list[bytes]] = [[], [], [], []]
+            for blob, kind in zip(rows.column("blob").to_pylist(), rows.column("kind").to_pylist(), strict=True):
+                by[kind].append(blob)
+            yield from _told_windows(by[_WINDOW])
+            none, ids, ties, place, a, b = _joined(by[_SETTLED], _DONE)
             if len(place):
-                yield _found([none, ids, ties], place, np.full(len(place), -1), a, b)
-            none, ids, ties, place, at, left, right, gram, chunk = _joined(
-                [x for x, k in zip(blobs, kinds, strict=True) if k == 0], _ANCHORS)
+                yield _found([none, ids, ties], place, -1, a, b)
+            none, ids, ties, place, at, left, right, gram, chunk = _joined(by[_ANCHOR], _ANCHORS)
+            hot = np.isin(gram, np.array([unpack(x, [np.uint64])[0][0] for x in by[_HOT]], dtype=np.uint64))
             at = at.astype(np.int64)
             lo, hi = at - left, at - right
-            order, later, first = later_copies(doc_ranks(none, ids, ties)[place], lo, gram, chunk)
-            gone, open_ = order[later], order[first]
+            order, later, first, head = later_copies(doc_ranks(none, ids, ties)[place], lo, gram, chunk, heads=True)
+            gone, open_ = order[later], order[first | (head & hot[order])]
             if len(gone):
                 docs, x, y = merged(place[gone], lo[gone], hi[gone])
-                yield _found([none, ids, ties], docs, np.full(len(docs), -1), x, y)
+                yield _found([none, ids, ties], docs, -1, x, y)
             if len(open_):
-                yield _found([none, ids, ties], place[open_], at[open_], lo[open_], hi[open_])
+                yield _found([none, ids, ties], place[open_], at[open_], lo[open_], hi[open_], hot[open_])
     return run
 
 
@@ -388,7 +459,18 @@ def _runner(buckets: int, length: int, gram: int):
             ids = _ids(batch.column(0))
             doc, at, rights, lefts = [], [], [], []
             for k, (text, spans) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                own = [s for s in spans or () if s["hot"]]
+                if own:
+                    _, start = spread(*(np.array([s[n] for s in own]) for n in ("lo", "hi")))
+                    low, high = window_hashes(np.frombuffer(text, np.uint8), start, length)
+                    table = _own_docs(ids, np.full(len(start), k))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([int(low[0] % np.uint64(buckets))], pa.int32()), pa.array([_WINDOW], pa.int32()),
+                         pa.array([pack(*table, start.astype(np.uint32), low, high)], pa.binary())],
+                        names=["bucket", "kind", "blob"])
                 for s in spans or ():
+                    if s["hot"]:
+                        continue
                     doc.append(k)
                     at.append(s["at"])
                     rights.append(text[s["at"]:s["hi"] + length])
@@ -408,8 +490,9 @@ def _runner(buckets: int, length: int, gram: int):
                 *table, place = _own_docs(ids, doc[own])
                 blobs.append(front_code(table, place, at[own], [rights[k] for k in own], [lefts[k] for k in own]))
                 names.append(int(bucket[own[0]]))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())],
-                                             names=["bucket", "blob"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.int32()), pa.array([_ANCHOR] * len(names), pa.int32()), pa.array(blobs, pa.binary())],
+                names=["bucket", "kind", "blob"])
     return run
 
 
@@ -417,7 +500,9 @@ def _merger(length: int, gram: int):
     """Merge the runs of a bucket and tell the repeated windows of its anchors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, ("bucket",), 1, 1):
-            blobs = rows.column("blob").to_pylist()
+            told, kinds = rows.column("blob").to_pylist(), rows.column("kind").to_pylist()
+            yield from _told_windows([b for b, k in zip(told, kinds, strict=True) if k == _WINDOW])
+            blobs = [b for b, k in zip(told, kinds, strict=True) if k == _ANCHOR]
             strings, known, base = [], [], [0]
             for blob in blobs:
                 _, _, _, _, _, shared, size, tails, _, _ = unpack(blob, _RUN)
@@ -432,18 +517,28 @@ def _merger(length: int, gram: int):
             none, ids, ties, place, at, _, size, _, left_size, left = _joined(blobs, _RUN)
             begin = np.concatenate(([0], np.cumsum(left_size.astype(np.int64))))
             sorted_size = left_size[order].astype(np.int64)
-            spread = (np.arange(int(sorted_size.sum())) - np.repeat(np.cumsum(sorted_size) - sorted_size, sorted_size)
-                      + np.repeat(begin[order], sorted_size))
+            bytes_at = (np.arange(int(sorted_size.sum())) - np.repeat(np.cumsum(sorted_size) - sorted_size, sorted_size)
+                        + np.repeat(begin[order], sorted_size))
             at, place = at[order].astype(np.int64), place[order]
             which, far, near = repeated_windows(
-                doc_ranks(none, ids, ties)[place], at, size[order], left[spread], left_size[order],
+                doc_ranks(none, ids, ties)[place], at, size[order], left[bytes_at], left_size[order],
                 np.array(common, dtype=np.int64), length, gram)
             if len(which):
                 docs, lo, hi = merged(place[which], at[which] - far, at[which] - near)
-                yield _found([none, ids, ties], docs, np.full(len(docs), -1), lo, hi)
+                yield _found([none, ids, ties], docs, -1, lo, hi)
     return run
 
 
+def repeated_by_hash(windows: DataFrame) -> DataFrame:
+    """Of windows with equal hashes all but the first in the order of documents.
+    Grouped in Spark, so a window that very many share is combined before the shuffle."""
+    place = F.struct(F.col("key.id").isNull().alias("none"), "key.id", "key.text_hash", "lo")
+    own = windows.select("key", "at", "lo", "hi", "hot", "low", "high", place.alias("place"))
+    first = own.groupBy("low", "high").agg(F.min("place").alias("first"), F.max("place").alias("last")).filter(
+        F.col("first") != F.col("last"))
+    return own.join(first, ["low", "high"]).filter(F.col("place") != F.col("first"))
+
+
 # -- removal ------------------------------------------------------------------
 
 
@@ -497,7 +592,9 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Copies are settled inside each batch first, then by gram over all batches;
     of a chunk that very many documents share, each batch sends one anchor. A
-    text is read in pieces of bounded size, however long.
+    gram with ``HOT_ANCHORS`` different chunks in one batch is hot: wherever it
+    occurs, its windows are grouped by hash. A text is read in pieces of bounded
+    size, however long.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     if not 2 <= gram <= length <= 255:
@@ -509,20 +606,22 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     total = own.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()[0]
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / BUCKET_BYTES))
 
-    dealt = own.mapInArrow(_scanner(buckets, length, gram), "bucket int, kind int, blob binary")
+    dealt = own.mapInArrow(_scanner(buckets, length, gram, HOT_ANCHORS), "bucket int, kind int, blob binary")
     settled = staged(dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket")
                      .mapInArrow(_settler(), _FOUND), "settled")
 
     def listed(found: DataFrame) -> DataFrame:
-        return found.groupBy("key").agg(F.collect_list(F.struct("at", "lo", "hi")).alias("found"))
+        return found.groupBy("key").agg(F.collect_list(F.struct("at", "lo", "hi", "hot")).alias("found"))
 
     open_ = listed(settled.filter("at >= 0"))
     runs_ = own.join(open_, "key").select("key", "body", "found").mapInArrow(
-        _runner(buckets, length, gram), "bucket int, blob binary")
+        _runner(buckets, length, gram), "bucket int, kind int, blob binary")
     repeats = staged(runs_.repartition(buckets, "bucket").sortWithinPartitions("bucket")
                      .mapInArrow(_merger(length, gram), _FOUND), "repeats")
 
-    gone = listed(settled.filter("at < 0").union(repeats))
+    windows = settled.filter("at = -2").union(repeats.filter("at = -2"))
+    gone = listed(settled.filter("at = -1").union(repeats.filter("at = -1")).unionByName(
+        repeated_by_hash(windows).select(*settled.columns)))
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])
     schema = T.StructType([T.StructField("key", _KEY), T.StructField("n_bytes", T.LongType()),
                            T.StructField("removed", T.ArrayType(span)), T.StructField("kept_sha256", T.StringType())]

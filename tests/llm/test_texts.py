@@ -134,9 +134,10 @@ def brute_repeats(rows, length):
     return out
 
 
-@pytest.mark.parametrize("length,gram", [(100, 32), (24, 8), (12, 12)])
-def test_repeats(spark, monkeypatch, length, gram):
+@pytest.mark.parametrize("length,gram,hot", [(100, 32, 32), (24, 8, 32), (12, 12, 32), (100, 32, 3), (24, 8, 2), (12, 3, 1)])
+def test_repeats(spark, monkeypatch, length, gram, hot):
     monkeypatch.setattr(substrings, "BUCKET_BYTES", 2000)
+    monkeypatch.setattr(substrings, "HOT_ANCHORS", hot)
     rng = random.Random(length)
     shared = [prose(rng, 40) for _ in range(3)]
     rows = [(r[0], r[1]) for r in awkward() if r[0] not in (20, 21)]
