@@ -18,6 +18,8 @@ SAMPLE_CHARS = 20_000
 PASSES = 25
 SEGMENT = 12
 BATCH_CHARS = 2_000_000
+LEARN_CHARS = 250_000
+LEARN_WORDS = 50_000
 
 
 @dataclass(frozen=True)
@@ -160,6 +162,40 @@ def forward_backward(scores: np.ndarray, start: np.ndarray, length: np.ndarray,
 # -- learning -----------------------------------------------------------------
 
 
+def _joined_words(texts: list[str]) -> Words:
+    """``split_words`` of many texts, a part of them in memory at a time."""
+    docs, hashes, seen, letters, spans, before = [], [], np.zeros(0, np.uint64), [], [], 0
+    for some in chunks(texts, [len(t) for t in texts], LEARN_CHARS):
+        words = split_words(some)
+        docs.append(words.doc.astype(np.int32) + before)
+        before += len(some)
+        hashes.append(words.hashes[words.which])
+        new = np.flatnonzero(~np.isin(words.hashes, seen))
+        seen = np.concatenate((seen, words.hashes[new]))
+        n = words.end[new] - words.start[new]
+        spans.append(n)
+        inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        letters.append(words.points[np.repeat(words.start[new], n) + inner])
+    n = np.concatenate(spans) if spans else np.zeros(0, np.int64)
+    end, order = np.cumsum(n), np.argsort(seen)
+    known = seen[order]
+    return Words(np.concatenate(docs) if docs else np.zeros(0, np.int32),
+                 np.searchsorted(known, np.concatenate(hashes)).astype(np.int32) if hashes else np.zeros(0, np.int32),
+                 np.concatenate(letters) if letters else np.zeros(0, np.uint32), (end - n)[order], end[order], known)
+
+
+def _all_features(words: Words, most: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+    """``word_features`` of many distinct words, a part of them at a time."""
+    features, counts = [], []
+    for at in range(0, len(words.hashes), most):
+        part = slice(at, at + most)
+        feature, starts = word_features(Words(words.doc, words.which, words.points, words.start[part], words.end[part],
+                                              words.hashes[part]))
+        features.append(feature.astype(np.int32))
+        counts.append(np.diff(np.append(starts, len(feature))).astype(np.int32))
+    return np.concatenate(features), np.concatenate(counts)
+
+
 def fit(rows: list[tuple[str, str]], passes: int = PASSES, seed: int = 4, rate: float = 0.3,
         decay: float = 1e-4) -> Model:
     """Learn from ``(text, label)``.
@@ -167,52 +203,62 @@ def fit(rows: list[tuple[str, str]], passes: int = PASSES, seed: int = 4, rate:
     Segments of a few words from different texts are strung together, so
     sequences switch language and the transitions are learned with the rest.
     All weights climb the regularised log-likelihood by Adam on all sequences;
-    the gradient is observed minus expected counts from forward-backward.
+    the gradient is observed minus expected counts from forward-backward, summed
+    over parts of the sequences, which bounds the memory of the driver.
     """
     rows = sorted(rows)
     labels = sorted({label for _, label in rows})
     n_labels = len(labels)
-    words = split_words([text for text, _ in rows])
-    truth = np.array([labels.index(label) for _, label in rows], dtype=np.int64)[words.doc]
+    words = _joined_words([text for text, _ in rows])
+    truth = np.array([labels.index(label) for _, label in rows], dtype=np.int8)[words.doc]
     empty = Model(labels, np.zeros((1 << FEATURE_BITS, n_labels), np.float32), np.zeros(0, np.uint64),
                   np.zeros((0, n_labels), np.float32), np.zeros((n_labels, n_labels)), np.zeros((n_labels, n_labels)))
     if not len(truth) or n_labels < 2:
         return empty
     # words which one label uses at least nine times in ten, and more than once, form its lexicon
-    seen = np.zeros((len(words.hashes), n_labels))
-    np.add.at(seen, (words.which, truth), 1)
+    n_words = len(words.hashes)
+    seen = np.stack([np.bincount(words.which, truth == k, n_words) for k in range(n_labels)], axis=1)
     entries = ((seen >= 0.9 * seen.sum(axis=1, keepdims=True)) & (seen >= 2)).astype(np.float32)
     held = np.flatnonzero(entries.any(axis=1))
     base = Model(labels, empty.weights, words.hashes[held], entries[held], empty.lexicon_weights, empty.transitions)
+    lexical = lexicon_rows(words.hashes, base)
     # segments of one text in order; shuffled; three at a time make a sequence
     within = np.arange(len(truth)) - np.searchsorted(words.doc, words.doc)
-    segment = np.cumsum((within % SEGMENT == 0)) - 1
     first = np.flatnonzero(within % SEGMENT == 0)
     sizes = np.diff(np.append(first, len(truth)))
     shuffled = np.random.default_rng(seed).permutation(len(first))
-    picked = np.concatenate([np.arange(first[s], first[s] + sizes[s]) for s in shuffled])
-    assert len(segment) == len(picked)
-    length = np.add.reduceat(sizes[shuffled], np.arange(0, len(shuffled), 3))
+    size = sizes[shuffled]
+    picked = np.arange(len(truth)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first[shuffled], size)
+    length = np.add.reduceat(size, np.arange(0, len(size), 3))
     start = np.concatenate(([0], np.cumsum(length)[:-1]))
     which, truth = words.which[picked], truth[picked]
     inside = np.ones(len(truth), dtype=bool)
     inside[start] = False
     observed_pairs = np.zeros((n_labels, n_labels))
     np.add.at(observed_pairs, (truth[np.flatnonzero(inside) - 1], truth[inside]), 1)
-    feature, starts = word_features(words)
-    owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(feature))))
-    lexical = lexicon_rows(words.hashes, base)
-    used, compact = np.unique(feature, return_inverse=True)
-    params = [np.zeros((len(used), n_labels)), np.zeros((n_labels, n_labels)), np.zeros((n_labels, n_labels))]
+    feature, counts = _all_features(words)
+    del words, picked, within
+    starts = np.cumsum(counts) - counts
+    owner = np.repeat(np.arange(n_words, dtype=np.int32), counts)
+    used = np.flatnonzero(np.bincount(feature, minlength=1 << FEATURE_BITS))
+    place = np.zeros(1 << FEATURE_BITS, dtype=np.int32)
+    place[used] = np.arange(len(used))
+    compact = place[feature]
+    del feature
+    params = [np.zeros((n_labels, len(used))), np.zeros((n_labels, n_labels)), np.zeros((n_labels, n_labels))]
     first_moment, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for turn in range(1, passes + 1):
-        scores = np.add.reduceat(params[0][compact], starts, axis=0) + lexical @ params[1]
-        marginal, pairs, _ = forward_backward(scores[which], start, length, params[2], pairs=True)
-        miss = -marginal
-        miss[np.arange(len(truth)), truth] += 1
-        by_word = np.stack([np.bincount(which, miss[:, k], len(scores)) for k in range(n_labels)], axis=1)
-        gradient = [np.stack([np.bincount(compact, by_word[owner, k], len(used)) for k in range(n_labels)], axis=1),
-                    lexical.T @ by_word, observed_pairs - pairs]
+        scores = np.stack([np.add.reduceat(params[0][k][compact], starts) for k in range(n_labels)], axis=1)
+        scores += lexical @ params[1]
+        by_word, pairs = np.zeros((n_labels, n_words)), np.zeros((n_labels, n_labels))
+        for some in chunks(np.arange(len(start)), length, LEARN_WORDS):
+            a, b = start[some[0]], start[some[-1]] + length[some[-1]]
+            marginal, met, _ = forward_backward(scores[which[a:b]], start[some] - a, length[some], params[2], pairs=True)
+            pairs += met
+            for k in range(n_labels):
+                by_word[k] += np.bincount(which[a:b], (truth[a:b] == k) - marginal[:, k], n_words)
+        gradient = [np.stack([np.bincount(compact, by_word[k][owner], len(used)) for k in range(n_labels)]),
+                    lexical.T @ by_word.T, observed_pairs - pairs]
         for k, g in enumerate(gradient):
             g = g / len(truth) - decay * params[k]
             first_moment[k] = 0.9 * first_moment[k] + 0.1 * g
@@ -220,7 +266,7 @@ def fit(rows: list[tuple[str, str]], passes: int = PASSES, seed: int = 4, rate:
             params[k] = params[k] + rate * (first_moment[k] / (1 - 0.9 ** turn)) / (
                 np.sqrt(second[k] / (1 - 0.999 ** turn)) + 1e-8)
     weights = np.zeros((1 << FEATURE_BITS, n_labels), np.float32)
-    weights[used] = params[0]
+    weights[used] = params[0].T
     return Model(labels, weights, base.lexicon, base.entries, params[1], params[2])
 
 
