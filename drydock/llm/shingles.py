@@ -82,8 +82,9 @@ def _signer(length: int, ngram: int, seed: int):
                 high = spans_hash(twice, start[:-1], start[1:]) ^ n_words.astype(np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(at, len(some)), pa.array(low.view(np.int64)), pa.array(high.view(np.int64)),
-                     pa.array(n_words.astype(np.int64)), pa.array([r.tobytes() for r in signature], pa.binary())],
-                    names=["id", "low", "high", "n_words", "signature"])
+                     pa.array(n_words.astype(np.int64)), pa.array([r.tobytes() for r in signature], pa.binary()),
+                     pa.array([r.tobytes() for r in signature.astype(np.uint8)], pa.binary())],
+                    names=["id", "low", "high", "n_words", "signature", "sketch"])
                 at += len(some)
     return run
 
@@ -124,7 +125,7 @@ def _estimator(length: int, least: float):
     """Who is near whom by signature among the items of each bucket, as a spanning forest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, MET, 20_000, 32 << 20):
-            values = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32).reshape(-1, length)
+            values = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, length)
             items, node = np.unique(rows.column("item").to_numpy(), return_inverse=True)
             block, first, second = (rows.column(c).to_numpy() for c in ("block", "first", "second"))
             starts = group_starts(rows, MET)
@@ -159,10 +160,11 @@ def cut_blocks(rows: DataFrame, key: str, cuts: DataFrame) -> DataFrame:
 
 
 def candidate_edges(signed: DataFrame, depth: int, trees: int, full: int, least: float) -> DataFrame:
-    """Edges ``(a, b)`` that connect items ``(item, signature)`` sharing a prefix of
-    ``depth`` in some tree and looking similar enough by the whole signature.
+    """Edges ``(a, b)`` that connect items ``(item, signature, sketch)`` sharing a prefix
+    of ``depth`` in some tree and looking similar enough by the whole sketch, which
+    is the low byte of each value: it agrees wherever the signature does.
 
-    Only keys travel at first; signatures follow to keys that two items share. A
+    Only keys travel at first; sketches follow to keys that two items share. A
     key shared by many is met in blocks, and each pair of blocks gives no more
     edges than it has items.
     """
@@ -170,9 +172,9 @@ def candidate_edges(signed: DataFrame, depth: int, trees: int, full: int, least:
     counts = keys.groupBy("key").agg(F.count("*").alias("_n")).filter("_n > 1").select(
         F.col("key").alias("_key"), F.ceil(F.col("_n") / BLOCK_ROWS).cast("int").alias("_cuts"))
     met = cut_blocks(keys, "key", counts)
-    with_signature = met.join(signed.select("item", "signature"), "item")
-    # in a bucket everyone shares the prefix; the whole signature decides who is a candidate
-    return _sorted_groups(with_signature.select(*MET, "block", "item", "signature"), MET).mapInArrow(
+    with_sketch = met.join(signed.select("item", "sketch"), "item")
+    # in a bucket everyone shares the prefix; the whole sketch decides who is a candidate
+    return _sorted_groups(with_sketch.select(*MET, "block", "item", "sketch"), MET).mapInArrow(
         _estimator(full * trees, least), "a long, b long")
 
 
@@ -206,7 +208,7 @@ def exact_links(sets: list[np.ndarray], rows: np.ndarray, columns: np.ndarray,
         common = counted.astype(np.int64)
     common = common[np.ix_(rows, columns)]
     union = size[rows][:, None] + size[columns][None, :] - common
-    i, j = np.nonzero((common >= similarity * union) & (common > 0))
+    i, j = np.nonzero((common >= similarity * union - 1e-9) & (common > 0))  # 4 of 5 is 0.8, however it rounds
     jaccard = common[i, j] / union[i, j]
     i, j = rows[i], columns[j]
     once = i != j
@@ -257,7 +259,10 @@ def _verifier(similarity: float, ngram: int, depth: int, trees: int):
 
 def _verified(own: DataFrame, items: DataFrame, edges: DataFrame, similarity: float, ngram: int, depth: int,
               trees: int) -> DataFrame:
-    """Exact links inside the groups that candidates connect; texts travel to their group, block by block."""
+    """Exact links inside the groups that candidates connect; texts travel to their group, block by block.
+
+    Members grow with the documents, so their join is a shuffle at every size.
+    """
     groups = components(edges).withColumnRenamed("id", "item").withColumnRenamed("root", "group")
     members = staged(items.join(groups, "item").select(
         "item", "copies", "least_id", "least_text", "group", "n_bytes"), "members")
@@ -266,7 +271,7 @@ def _verified(own: DataFrame, items: DataFrame, edges: DataFrame, similarity: fl
         .cast("int").alias("_cuts"))
     known = members.join(cuts, "group")
     texts = own.select("id", "text", F.xxhash64("text").alias("text_hash")).join(
-        known, F.col("id").eqNullSafe(F.col("least_id")) & (F.col("text_hash") == F.col("least_text")))
+        known.hint("merge"), F.col("id").eqNullSafe(F.col("least_id")) & (F.col("text_hash") == F.col("least_text")))
     met = (texts.withColumn("block", F.pmod(F.xxhash64("item"), F.col("_cuts")))
            .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_cuts") - 1)))
            .select("group", F.least("block", "_other").alias("first"), F.greatest("block", "_other").alias("second"),
@@ -309,18 +314,17 @@ def near_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simi
                         .alias("id"))
     signed = staged(tagged.mapInArrow(
         _signer(length, ngram, seed), "id struct<id: bigint, text_hash: bigint, n_bytes: bigint>, low long, high long, "
-        "n_words long, signature binary").select("id.*", "low", "high", "n_words", "signature"), "signed")
+        "n_words long, signature binary, sketch binary").select("id.*", "low", "high", "n_words", "signature", "sketch"),
+        "signed")
     worded = signed.filter("n_words > 0")
     classes = worded.groupBy("low", "high").agg(
         F.count("*").alias("copies"), F.min(F.struct(
-            F.col("id").isNull().alias("none"), "id", "text_hash", "n_bytes")).alias("least"))
-    classes = staged(classes.select("low", "high", "copies", F.col("least.id").alias("least_id"),
-                                    F.col("least.text_hash").alias("least_text"),
-                                    F.col("least.n_bytes").alias("n_bytes"))
-                     .withColumn("item", F.monotonically_increasing_id()), "classes")
-    first = worded.join(classes.select("low", "high", "item", "least_id", "least_text"), ["low", "high"]).filter(
-        F.col("id").eqNullSafe(F.col("least_id")) & (F.col("text_hash") == F.col("least_text")))
-    by_item = staged(first.groupBy("item").agg(F.min("signature").alias("signature")), "signatures")
+            F.col("id").isNull().alias("none"), "id", "text_hash", "n_bytes", "signature", "sketch")).alias("least"))
+    with_signature = staged(classes.select(
+        "low", "high", "copies", F.col("least.id").alias("least_id"), F.col("least.text_hash").alias("least_text"),
+        "least.n_bytes", "least.signature", "least.sketch").withColumn("item", F.monotonically_increasing_id()), "classes")
+    classes = with_signature.drop("signature", "sketch")
+    by_item = with_signature.select("item", "signature", "sketch")
 
     reach = depth
     while reach > 1 and recall_at(similarity, reach, trees) < recall:
