@@ -207,14 +207,14 @@ def fit(rows: list[tuple[str, str]], passes: int = PASSES, seed: int = 4, rate:
     over parts of the sequences, which bounds the memory of the driver.
     """
     rows = sorted(rows)
-    labels = sorted({label for _, label in rows})
-    n_labels = len(labels)
     words = _joined_words([text for text, _ in rows])
-    truth = np.array([labels.index(label) for _, label in rows], dtype=np.int8)[words.doc]
+    labels = sorted({label for _, label in rows}) if len(words.doc) else []  # without a word nothing is learned
+    n_labels = len(labels)
     empty = Model(labels, np.zeros((1 << FEATURE_BITS, n_labels), np.float32), np.zeros(0, np.uint64),
                   np.zeros((0, n_labels), np.float32), np.zeros((n_labels, n_labels)), np.zeros((n_labels, n_labels)))
-    if not len(truth) or n_labels < 2:
+    if n_labels < 2:
         return empty
+    truth = np.array([labels.index(label) for _, label in rows], dtype=np.int8)[words.doc]
     # words which one label uses at least nine times in ten, and more than once, form its lexicon
     n_words = len(words.hashes)
     seen = np.stack([np.bincount(words.which, truth == k, n_words) for k in range(n_labels)], axis=1)
@@ -272,17 +272,25 @@ def fit(rows: list[tuple[str, str]], passes: int = PASSES, seed: int = 4, rate:
 
 def training_rows(docs: DataFrame, text: str, label: str, eligible: Column, per_label: int = SAMPLE_PER_LABEL,
                   most_chars: int = SAMPLE_CHARS, seed: int = 4) -> list[tuple[str, str]]:
-    """About ``per_label`` texts of each label, drawn by hash from the eligible rows
-    of at most ``most_chars`` characters: the documented bound of what is learned from."""
+    """About ``per_label`` distinct texts of each label, drawn by hash from the eligible rows:
+    the documented bound of what is learned from.
+
+    Copies count once, so a label with up to ``per_label`` distinct texts is
+    learned from all of them. Of a text longer than ``most_chars`` that many
+    characters are taken, from a place drawn by hash.
+    """
     own = docs.select(F.col(text).cast("string").alias("text"), F.col(label).cast("string").alias("label"),
-                      eligible.alias("eligible")).filter(
-        "eligible AND label IS NOT NULL AND text IS NOT NULL").filter(F.length("text") <= most_chars)
-    counts = {r[0]: r[1] for r in own.groupBy("label").agg(F.count("*")).collect()}
+                      eligible.alias("eligible")).filter("eligible AND label IS NOT NULL AND text IS NOT NULL").select(
+        "text", "label", F.xxhash64(F.lit(seed), "text").alias("hash"))
+    counts = {r[0]: r[1] for r in own.groupBy("label").agg(F.countDistinct("hash")).collect()}
     if not counts:
         return []
     wanted = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, per_label / n))])
-    draw = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    rows = own.filter(draw < F.element_at(wanted, F.col("label"))).select("text", "label").distinct().collect()
+    draw = F.pmod(F.col("hash"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    places = F.greatest(F.length("text") - most_chars, F.lit(0)) + 1
+    begin = (F.pmod(F.xxhash64("hash"), places.cast("long")) + 1).cast("int")
+    rows = own.filter(draw < F.element_at(wanted, F.col("label"))).select(
+        F.col("text").substr(begin, F.lit(most_chars)).alias("text"), "label").distinct().collect()
     return sorted((r[0], r[1]) for r in rows)
 
 
@@ -364,7 +372,10 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: st
 
 def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = 0.0) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose language could be told
-    (not ``und``, score at least ``least``)."""
+    (not ``und``, score at least ``least``). Where nothing could be learned, those with a letter."""
+    if not model.labels:  # one label for whatever has a word
+        model = Model([""], np.zeros((1 << FEATURE_BITS, 1), np.float32), np.zeros(0, np.uint64),
+                      np.zeros((0, 1), np.float32), np.zeros((1, 1)), np.zeros((1, 1)))
     name = fresh(docs, "row")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(name))
     found = predict(whole.select(F.col(f"{name}.`{text}`").alias("text"), F.col(name).alias("row")), model, "row")

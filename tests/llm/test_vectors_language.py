@@ -134,6 +134,23 @@ def test_language_awkward(spark):
     assert language.training_rows(df, "text", "lang", df["doc_id"] == 12) == []
 
 
+def test_sample_counts_distinct_texts(spark):
+    """Copies take no label out of the sample, long texts give a part, and no row goes where nothing is learned."""
+    rows = [(k, f"wort haus baum {k % 5}", "de", "s", 1) for k in range(5000)]
+    rows += [(6000 + k, f"casa perro {k} " + "gato luna " * 4000, "es", "s", 1) for k in range(3)]
+    rows += [(7000 + k, f"word house tree {k}", "en", "s", 1) for k in range(2000)]
+    df = frame(spark, rows)
+    found = language.training_rows(df, "text", "lang", df["doc_id"].isNotNull())
+    count = {k: sum(label == k for _, label in found) for k in ("de", "es", "en")}
+    assert count["de"] == 5 and count["es"] == 3 and 200 < count["en"] < 400
+    assert max(len(t) for t, _ in found) == language.SAMPLE_CHARS
+    predicted = {r["doc_id"]: r["lang_pred"] for r in language.predict(df, language.learn(df)).collect()}
+    assert predicted[0] == "de" and predicted[6001] == "es" and predicted[7001] == "en"
+    unlabelled = frame(spark, [(1, "some words", None, "s", 1), (2, "12", None, "s", 1), (3, None, None, "s", 1)])
+    assert [r["doc_id"] for r in language.accepted(unlabelled, language.learn(unlabelled)).collect()] == [1]
+    assert language.fit([("12", "en"), ("3", "de")]).labels == []
+
+
 # -- tokens -------------------------------------------------------------------
 
 
