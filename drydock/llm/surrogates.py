@@ -100,9 +100,25 @@ def _after(words, low: str, text: str, rest: re.Pattern) -> Iterator[tuple[str,
             at = low.find(word, end)
 
 
+def _keep(kept: list[Entity], e: Entity) -> None:
+    """Put an entity in its place unless it overlaps another."""
+    at = bisect.bisect_left(kept, e.start, key=lambda k: k.start)
+    if (at == 0 or kept[at - 1].stop <= e.start) and (at == len(kept) or kept[at].start >= e.stop):
+        kept.insert(at, e)
+
+
+def _gaps(kept: list[Entity], length: int) -> list[tuple[int, int]]:
+    """The spans of the text between the entities."""
+    edges = [0, *(x for e in kept for x in (e.start, e.stop)), length]
+    return [(a, b) for a, b in zip(edges[::2], edges[1::2], strict=True) if a < b]
+
+
 def detect(text: str | None) -> list[Entity]:
     """Entities of a text, left to right without overlaps; earlier kinds win.
 
+    A later kind is searched for in the gaps that earlier ones leave, so an
+    overlap shortens a match and does not discard it.
+
     Plain searches for ``@``, a digit and the naming words come first, so a text
     without them is read at the speed of a string search.
     """
@@ -121,25 +137,35 @@ def detect(text: str | None) -> list[Entity]:
     low = text.lower()
     if len(low) != len(text):  # a letter whose small form is longer: keep the places
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    kept: list[Entity] = []
+    for e in found:
+        _keep(kept, e)
     for _, match in _after(_SECRET_WORDS, low, text, _SECRET_REST):
-        kind = "hex" if _HEX.fullmatch(match[1]) else "secret"
-        found.append(Entity(match.start(1), match.end(1), kind, match[1]))
+        start, stop = match.span(1)
+        at = bisect.bisect_left(kept, start, key=lambda k: k.start)
+        if at < len(kept) and kept[at].start < stop and kept[at].kind == "email":  # the secret runs into an address
+            stop, last = kept[at].start, kept[at].stop
+            if 0 < stop - start < 8:  # too little to be told from others: one entity with the address
+                kept[at] = Entity(start, last, "email", text[start:last].lower())
+                continue
+        value = text[start:stop]
+        if value:
+            _keep(kept, Entity(start, stop, "hex" if _HEX.fullmatch(value) else "secret", value))
     if _DIGIT.search(text):
         for kind, pattern in _NUMBERS:
-            for match in pattern.finditer(text):
-                value = match[1]
-                if kind in ("phone", "card", "iban", "ssn"):
-                    value = "".join(c for c in value if c.isalnum()).upper()
-                found.append(Entity(match.start(1), match.end(1), kind, value))
+            for begin, end in _gaps(kept, len(text)):
+                for match in pattern.finditer(text, begin, end):
+                    value = match[1]
+                    if kind in ("phone", "card", "iban", "ssn"):
+                        value = "".join(c for c in value if c.isalnum()).upper()
+                    _keep(kept, Entity(match.start(1), match.end(1), kind, value))
     for title, match in _after(TITLES, low, text, _NAME_REST):
-        found += _names(TITLES[title], match)
-    if not found:
-        return []
-    kept: list[Entity] = []
-    for e in found:  # in the order of kinds
-        at = bisect.bisect_left(kept, e.start, key=lambda k: k.start)
-        if (at == 0 or kept[at - 1].stop <= e.start) and (at == len(kept) or kept[at].start >= e.stop):
-            kept.insert(at, e)
+        for e in _names(TITLES[title], match):
+            at = bisect.bisect_left(kept, e.start, key=lambda k: k.start)
+            if at < len(kept) and e.start < kept[at].start < e.stop:
+                stop = kept[at].start
+                e = Entity(e.start, stop, e.kind, text[e.start:stop].casefold())
+            _keep(kept, e)
     return kept
 
 

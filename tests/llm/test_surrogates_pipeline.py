@@ -31,6 +31,20 @@ def test_detection():
         assert kinds(clean) == []
 
 
+def test_overlaps_shorten():
+    phone = "+1 (826) 555-4081"
+    for kind, other in (("ip", "190.137.223.204"), ("ssn", "078-05-1120"), ("card", "4111111111111111"),
+                        ("card", "4111 1111 1111 1111")):
+        assert kinds(f"{phone} {other}") == [("phone", phone), (kind, other)]
+        assert kinds(f"{other} {phone} {other} 555-123-4567") == [
+            (kind, other), ("phone", phone), (kind, other), ("phone", "555-123-4567")]
+    assert kinds("password=abcdefghij/klmn@mail.example.com") == [
+        ("secret", "abcdefghij/"), ("email", "klmn@mail.example.com")]
+    assert kinds("password=abc/defghijk@mail.example.com") == [("email", "abc/defghijk@mail.example.com")]
+    assert kinds("Mr. John O'Brien@mail.example.com") == [
+        ("given_m_latin", "John"), ("family_latin", "O'"), ("email", "Brien@mail.example.com")]
+
+
 @pytest.mark.parametrize("text", ["+49 30 1234567", "4111111111111111", "4689387053447877", "DE89370400440532013000",
                                   "a.b-9@x1.example.org", "JOHN.D@EXAMPLE.COM", "078-05-1120", "10.1.2.3"])
 def test_surrogates_keep_kind_and_format(text):
