@@ -42,7 +42,7 @@ FAMILY = {
                 .split(),
 }
 
-_LOCAL = re.compile(r"[\w.%+-]+\Z")
+_LOCAL = re.compile(r"[\w.%+-]*")
 _DOMAIN = re.compile(r"[^\W_](?:[\w-]*[^\W_])?(?:\.[^\W_](?:[\w-]*[^\W_])?)+")
 _SECRET_WORDS = ("api_key", "api-key", "apikey", "access_key", "access-key", "accesskey", "auth", "bearer", "passwd",
                  "password", "pwd", "secret", "token")
@@ -100,6 +100,17 @@ def _after(words, low: str, text: str, rest: re.Pattern) -> Iterator[tuple[str,
             at = low.find(word, end)
 
 
+def _local_part(text: str, at: int) -> str:
+    """The characters of a local part that stand before ``at``, however many."""
+    size = 128
+    while True:
+        back = text[max(0, at - size):at][::-1]
+        n = _LOCAL.match(back).end()
+        if n < size:
+            return back[:n][::-1]
+        size *= 4
+
+
 def _keep(kept: list[Entity], e: Entity) -> None:
     """Put an entity in its place unless it overlaps another."""
     at = bisect.bisect_left(kept, e.start, key=lambda k: k.start)
@@ -127,10 +138,10 @@ def detect(text: str | None) -> list[Entity]:
     found: list[Entity] = []
     at = text.find("@")
     while at >= 0:
-        local = _LOCAL.search(text, max(0, at - 128), at)
         domain = _DOMAIN.match(text, at + 1)
-        if local and domain:
-            start = local.start() + (len(local[0]) - len(local[0].lstrip(".-%")))
+        if domain:
+            local = _local_part(text, at)
+            start = at - len(local.lstrip(".-%"))
             if start < at:
                 found.append(Entity(start, domain.end(), "email", text[start:domain.end()].lower()))
         at = text.find("@", at + 1)

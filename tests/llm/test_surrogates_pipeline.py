@@ -45,6 +45,12 @@ def test_overlaps_shorten():
         ("given_m_latin", "John"), ("family_latin", "O'"), ("email", "Brien@mail.example.com")]
 
 
+@pytest.mark.parametrize("size", [1, 127, 128, 129, 511, 512, 513, 5000])
+def test_long_local_parts(size):
+    mail = "n" * size + "@mail.example.com"
+    assert kinds(mail) == kinds(f"to {mail}, now") == kinds(f"..{mail}") == [("email", mail)]
+
+
 @pytest.mark.parametrize("text", ["+49 30 1234567", "4111111111111111", "4689387053447877", "DE89370400440532013000",
                                   "a.b-9@x1.example.org", "JOHN.D@EXAMPLE.COM", "078-05-1120", "10.1.2.3"])
 def test_surrogates_keep_kind_and_format(text):
