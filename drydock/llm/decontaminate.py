@@ -23,9 +23,15 @@ def normal(text: str | None) -> str:
     return " ".join((text or "").lower().split())
 
 
-def budget(length: int, q: int = Q, error_rate: float = ERROR_RATE) -> int:
-    """Edits allowed for an item: its share, but so few that one shared q-gram is still implied."""
-    return max(0, min(int(length * error_rate), (length - q) // q))
+def budget(length: int, error_rate: float = ERROR_RATE) -> int:
+    """Edits allowed for an item: its share."""
+    return int(length * error_rate)
+
+
+def gram_size(length: int, q: int = Q, error_rate: float = ERROR_RATE) -> int:
+    """The size of grams an item is found by: q, or as many characters fewer as
+    leave one shared gram implied when all its edits are made."""
+    return max(1, min(q, length // (budget(length, error_rate) + 1)))
 
 
 @dataclass(frozen=True)
@@ -44,7 +50,7 @@ class GramIndex:
 
 
 def build_index(rows: list[tuple], q: int = Q, error_rate: float = ERROR_RATE) -> GramIndex:
-    """Items given as ``(id, normal text)``, each of at least q characters."""
+    """Items given as ``(id, normal text)``, each of a ``gram_size`` of q at least."""
     grams, items, places = [], [], []
     for at, (_, text) in enumerate(rows):
         prefix = rolled(code_points(text))
@@ -57,7 +63,7 @@ def build_index(rows: list[tuple], q: int = Q, error_rate: float = ERROR_RATE) -
     seen = np.zeros(1 << _MASK_BITS, dtype=bool)
     seen[(hashes >> np.uint64(64 - _MASK_BITS)).astype(np.int64)] = True
     lengths = np.array([len(t) for _, t in rows], dtype=np.int64)
-    edits = np.array([budget(int(n), q, error_rate) for n in lengths], dtype=np.int64)
+    edits = np.array([budget(int(n), error_rate) for n in lengths], dtype=np.int64)
     return GramIndex([i for i, _ in rows], [t for _, t in rows], hashes[order],
                      np.concatenate(items)[order] if items else np.zeros(0, np.int64),
                      np.concatenate(places)[order] if places else np.zeros(0, np.int64),
@@ -189,12 +195,12 @@ def _finder(block, own: T.StructType):
                               ("edits", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = block.value
         for batch in batches:
             texts = [normal(t) for t in batch.column(0).to_pylist()]
             matches: list = []
             for some in chunks(texts, [len(t) for t in texts], BATCH_CHARS):
-                matches += find(some, index)
+                for each in zip(*(find(some, index) for index in block.value), strict=True):
+                    matches.append([m for found in each for m in found])
             rows = [[{"item_id": i, "start": b, "stop": e, "edits": c} for i, b, e, c in sorted(m, key=str)]
                     for m in matches]
             yield pa.RecordBatch.from_arrays([batch.column(1).cast(schema.field(0).type), pa.array(rows, hit)],
@@ -250,8 +256,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
 
 def _pass(own: DataFrame, block: DataFrame, schema: T.StructType, q: int, error_rate: float) -> DataFrame:
     rows = [(r["item_id"], normal(r["text"])) for r in block.collect()]  # one block, of bounded size
-    index = build_index(sorted({r for r in rows if len(r[1]) >= q}, key=str), q, error_rate)
-    return own.mapInArrow(_finder(own.sparkSession.sparkContext.broadcast(index), schema), schema)
+    sizes: dict[int, set] = {q: set()}
+    for row in rows:
+        if len(row[1]) >= q:
+            sizes.setdefault(gram_size(len(row[1]), q, error_rate), set()).add(row)
+    indexes = [build_index(sorted(items, key=str), size, error_rate) for size, items in sorted(sizes.items())]
+    return own.mapInArrow(_finder(own.sparkSession.sparkContext.broadcast(indexes), schema), schema)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:

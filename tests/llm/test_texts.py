@@ -255,6 +255,23 @@ def test_matches(spark, block_chars):
     assert sorted(repr((r["doc_id"], [])) for r in kept.collect()) == sorted(w for w in want if w.endswith("[])"))
 
 
+def test_short_items_have_their_edits(spark):
+    """Items of 20 to 23 characters may have one edit, wherever it is."""
+    item = "quick brown foxes jump!"
+    rows, want = [], {}
+    for size in (19, 20, 21, 22, 23, 24):
+        for at in range(size):
+            body = item.ljust(24, "z")[:size]
+            key = 100 * size + at
+            rows.append((key, f"before {body[:at]}#{body[at + 1:]} after", None, None, None))
+            want[key] = [size] if size >= 20 else []
+    for size in (19, 20, 21, 22, 23, 24):
+        bench = spark.createDataFrame([(size, item.ljust(24, "z")[:size])], "item_id long, text string")
+        own = [r for r in rows if r[0] // 100 == size]
+        found = decontaminate.matches(frame(spark, own), bench).collect()
+        assert {r["doc_id"]: [m["item_id"] for m in r["matches"]] for r in found} == {r[0]: want[r[0]] for r in own}
+
+
 def test_planted_items_are_found(spark):
     docs, bench = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "benchmark"))
     found = {r["doc_id"]: set(r["item_ids"]) for r in decontaminate.leaked(spark, docs, bench).collect()}
