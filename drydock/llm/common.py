@@ -7,7 +7,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from drydock.session import scratch
+from drydock.session import remove_path, scratch
 
 #: A run of characters other than blank, tab, line feed to carriage return.
 BLANK_SEPARATED = r"[^\x20\x09-\x0D]+"
@@ -25,6 +25,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unstaged(df: DataFrame) -> None:
+    """Delete what ``staged`` has written, when nothing reads it any more."""
+    for folder in {path.rsplit("/", 1)[0] for path in df.inputFiles()}:
+        remove_path(df.sparkSession, folder)
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that does not occur, whatever columns the caller brings."""
     taken, name = {c.lower() for c in df.columns}, f"_{stem}"

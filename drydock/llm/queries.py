@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from drydock.llm import (
-    decontaminate, language, mixing, sharding, shingles, substrings, surrogates, tokens, vectors, warc)
+    decontaminate, infill, language, mixing, sharding, shingles, substrings, surrogates, tokens, variants, vectors, warc)
 from drydock.llm.common import table
 from drydock.session import ship_package
 
@@ -67,6 +67,16 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         .alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.rearranged(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -77,6 +87,7 @@ def _shipped(query):
 
 QUERIES = {q.__name__: _shipped(q) for q in (
     op1_vector_forest, op2_mix_sources, op3_jaccard_forest, op4_language_id, op5_warc_records,
-    op6_pii_surrogates, op7_token_counts, op8_decontaminate, op9_shard_documents, op10_suffix_dedup)}
+    op6_pii_surrogates, op7_token_counts, op8_decontaminate, op9_shard_documents, op10_suffix_dedup,
+    op12_fill_middle, op13_spelling_variants)}
 
-ORACLES = {"op2_mix_sources": mixing.SQL}
+ORACLES = {"op2_mix_sources": mixing.SQL, "op12_fill_middle": infill.SQL, "op13_spelling_variants": variants.SQL}
