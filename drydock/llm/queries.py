@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from drydock.llm import (
-    decontaminate, infill, language, mixing, sharding, shingles, substrings, surrogates, tokens, variants, vectors, warc)
+    decontaminate, infill, language, mixing, secrets, sharding, shingles, substrings, surrogates, tokens, variants,
+    vectors, warc)
 from drydock.llm.common import table
 from drydock.session import ship_package
 
@@ -67,6 +68,16 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         .alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: ~s["learned"])
+    counts = [F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+              for kind in secrets.KINDS]
+    return found.select("doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+                        secrets.listed(F.col("spans")).alias("spans"),
+                        F.size(F.filter("spans", lambda s: s["learned"])).cast("long").alias("n_learned"))
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = infill.rearranged(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
@@ -88,6 +99,6 @@ def _shipped(query):
 QUERIES = {q.__name__: _shipped(q) for q in (
     op1_vector_forest, op2_mix_sources, op3_jaccard_forest, op4_language_id, op5_warc_records,
     op6_pii_surrogates, op7_token_counts, op8_decontaminate, op9_shard_documents, op10_suffix_dedup,
-    op12_fill_middle, op13_spelling_variants)}
+    op11_secret_scan, op12_fill_middle, op13_spelling_variants)}
 
 ORACLES = {"op2_mix_sources": mixing.SQL, "op12_fill_middle": infill.SQL, "op13_spelling_variants": variants.SQL}
