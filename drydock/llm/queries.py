@@ -71,8 +71,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: ~s["learned"])
-    counts = [F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-              for kind in secrets.KINDS]
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, F.lit(kind).eqNullSafe)).cast("long").alias(f"n_{kind}") for kind in secrets.KINDS]
     return found.select("doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"),
                         secrets.listed(F.col("spans")).alias("spans"),
                         F.size(F.filter("spans", lambda s: s["learned"])).cast("long").alias("n_learned"))

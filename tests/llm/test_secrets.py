@@ -1,5 +1,6 @@
 """Secret scans against brute force, and the inference of formats."""
 
+import hashlib
 import random
 import re
 
@@ -7,7 +8,8 @@ import numpy as np
 import pytest
 
 from cases import CLASHES, awkward, frame, prose
-from drydock.llm import secrets
+from conftest import SF
+from drydock.llm import queries, secrets
 
 # The base patterns as the contract gives them.
 BASE = [("assign", re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
@@ -60,6 +62,18 @@ def test_base_spans_equal_brute_force_and_stay(spark):
         assert set(filter(None, base.split(","))) <= set(filter(None, every.split(",")))
 
 
+def test_query(spark):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = queries.QUERIES["op11_secret_scan"](spark, SF).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        base = brute(docs[r["doc_id"]])
+        text = ",".join(f"{name}:{a}:{b}" for a, _, b, name in base)
+        assert r["base_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(s[3] == k for s in base) for k in secrets.KINDS]
+        assert set(filter(None, text.split(","))) <= set(r["spans"].split(","))
+
+
 def test_learned_formats_find_bare_credentials_and_leave_prose_alone(spark):
     rng = random.Random(7)
     rows, bare = planted(rng)
