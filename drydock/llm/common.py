@@ -39,6 +39,13 @@ def fresh(df: DataFrame, stem: str) -> str:
     return name
 
 
+def hashable(values: Sequence[Column], df: DataFrame) -> list[Column]:
+    """Columns of ``df`` as Spark can hash them: as JSON where a type holds a map or variant."""
+    kinds = [kind for _, kind in df.select(*[v.alias(f"_{k}") for k, v in enumerate(values)]).dtypes]
+    return [F.to_json(F.struct(v.alias("value"))) if "map<" in kind or "variant" in kind else v
+            for v, kind in zip(values, kinds, strict=True)]
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(BLANK_SEPARATED)), F.lit(0)).cast("long")
 
@@ -166,6 +173,13 @@ def chunks(rows: Sequence, sizes: Sequence[int], most: int):
         yield rows[start:]
 
 
+def slices(texts, rows: int = 256):
+    """The texts of an Arrow array as lists of a few rows each (null: empty), so that
+    no more than those are held a second time as Python strings."""
+    for at in range(0, len(texts), rows):
+        yield [t or "" for t in texts.slice(at, rows).to_pylist()]
+
+
 def whole_groups(batches, keys: Sequence[str], most_rows: int, most_bytes: int):
     """Arrow tables of whole groups from batches that are sorted by ``keys`` (no nulls).
 

@@ -8,8 +8,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.functions import arrow_udf
 
-from drydock.llm.common import chunks, code_points, fresh, rolled, spans_hash, staged
+from drydock.llm.common import chunks, code_points, rolled, slices, spans_hash, staged
 
 Q = 12
 ERROR_RATE = 0.05
@@ -191,27 +192,28 @@ def _bands(part, maybe, left, count, doc, offsets, points, lengths, index, found
 def _finder(block, own: T.StructType):
     from pyspark.sql.pandas.types import to_arrow_schema
     schema = to_arrow_schema(own)
-    hit = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()),
-                              ("edits", pa.int64())]))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [normal(t) for t in batch.column(0).to_pylist()]
-            matches: list = []
-            for some in chunks(texts, [len(t) for t in texts], BATCH_CHARS):
-                for each in zip(*(find(some, index) for index in block.value), strict=True):
-                    matches.append([m for found in each for m in found])
             rows = [[{"item_id": i, "start": b, "stop": e, "edits": c} for i, b, e, c in sorted(m, key=str)]
-                    for m in matches]
-            yield pa.RecordBatch.from_arrays([batch.column(1).cast(schema.field(0).type), pa.array(rows, hit)],
-                                             names=[schema.field(0).name, "matches"])
+                    for m in _found(batch.column(0), block.value)]
+            yield pa.RecordBatch.from_arrays([batch.column(1).cast(schema.field(0).type),
+                                              pa.array(rows, schema.field(1).type)], schema=schema)
     return run
 
 
+def _found(texts: pa.Array, indexes: list[GramIndex]) -> Iterator[list]:
+    """The matches of each text, a few texts at a time."""
+    for some in slices(texts):
+        bodies = [normal(t) for t in some]
+        for part in chunks(bodies, [len(t) for t in bodies], BATCH_CHARS):
+            for each in zip(*(find(part, index) for index in indexes), strict=True):
+                yield [m for found in each for m in found]
+
+
 def benchmark_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", q: int = Q,
                      block_chars: int = BLOCK_CHARS) -> list[DataFrame]:
     """The items cut into blocks of about ``block_chars`` characters, whatever their number."""
-    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text")).filter(
+    items = benchmark.select(F.col(f"`{item_id}`").alias("item_id"), F.col(f"`{text}`").alias("text")).filter(
         "text IS NOT NULL").distinct()
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_chars))
@@ -237,10 +239,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     benchmark matches nothing. Other columns are left aside.
     """
     spark = docs.sparkSession
-    own = docs.select(F.col(text).cast("string").alias("text"), F.col(doc_id).alias("doc_id"))
+    own = docs.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{doc_id}`").alias("doc_id"))
     schema = T.StructType([T.StructField("doc_id", own.schema["doc_id"].dataType),
                            T.StructField("matches", T.ArrayType(T.StructType([
-                               T.StructField(n, T.LongType()) for n in ("item_id", "start", "stop", "edits")])))])
+                               T.StructField("item_id", benchmark.schema[item_id].dataType)] + [
+                               T.StructField(n, T.LongType()) for n in ("start", "stop", "edits")])))])
     blocks = benchmark_blocks(benchmark, item_id, item_text, q, block_chars)
     if len(blocks) > 1:  # several passes: fix what a document is by its row in a written table
         own = staged(own.withColumn("_row", F.monotonically_increasing_id()), "decontaminate")
@@ -254,23 +257,38 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     return _pass(own, blocks[0], schema, q, error_rate)
 
 
-def _pass(own: DataFrame, block: DataFrame, schema: T.StructType, q: int, error_rate: float) -> DataFrame:
+def _indexes(block: DataFrame, q: int, error_rate: float) -> list[GramIndex]:
     rows = [(r["item_id"], normal(r["text"])) for r in block.collect()]  # one block, of bounded size
     sizes: dict[int, set] = {q: set()}
     for row in rows:
         if len(row[1]) >= q:
             sizes.setdefault(gram_size(len(row[1]), q, error_rate), set()).add(row)
-    indexes = [build_index(sorted(items, key=str), size, error_rate) for size, items in sorted(sizes.items())]
-    return own.mapInArrow(_finder(own.sparkSession.sparkContext.broadcast(indexes), schema), schema)
+    return [build_index(sorted(items, key=str), size, error_rate) for size, items in sorted(sizes.items())]
+
 
+def _pass(own: DataFrame, block: DataFrame, schema: T.StructType, q: int, error_rate: float) -> DataFrame:
+    shared = own.sparkSession.sparkContext.broadcast(_indexes(block, q, error_rate))
+    return own.mapInArrow(_finder(shared, schema), schema)
 
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item occurs, with all their columns."""
-    name = fresh(docs, "row")
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(name))
-    found = matches(whole.select(F.col(f"{name}.{text}").alias("text"), F.col(name).alias("doc_id")), benchmark,
-                    "doc_id", "text", **options)
-    return found.filter(F.size("matches") == 0).select("doc_id.*")
+
+def _free(shared):
+    def free(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([not m for m in _found(texts, shared.value)], pa.bool_())
+    return arrow_udf(free, T.BooleanType())
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
+          q: int = Q, error_rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs`` in which no benchmark item occurs, with all their columns.
+
+    Only the text goes to Python, and only the answer comes back. A further block
+    of the benchmark looks at what the ones before it have left, in the same pass.
+    """
+    for block in benchmark_blocks(benchmark, item_id, item_text, q, block_chars):
+        shared = docs.sparkSession.sparkContext.broadcast(_indexes(block, q, error_rate))
+        docs = docs.filter(_free(shared)(F.col(f"`{text}`").cast("string")))
+    return docs
 
 
 def leaked(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:

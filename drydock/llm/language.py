@@ -8,8 +8,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.functions import arrow_udf
 
-from drydock.llm.common import chunks, code_points, fresh, is_kind, mixed, rolled, runs, spans_hash
+from drydock.llm.common import chunks, code_points, is_kind, mixed, rolled, runs, slices, spans_hash
 
 UNKNOWN = "und"
 FEATURE_BITS = 18
@@ -17,7 +18,7 @@ SAMPLE_PER_LABEL = 300
 SAMPLE_CHARS = 20_000
 PASSES = 25
 SEGMENT = 12
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 LEARN_CHARS = 250_000
 LEARN_WORDS = 50_000
 
@@ -325,15 +326,15 @@ def label_texts(texts: list[str], model: Model) -> tuple[list[str], np.ndarray,
 def _labeller(shared, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
             labels: list[str] = []
             scores: list[np.ndarray] = [np.zeros(0)]
             spans: list = []
-            for some in chunks(texts, [len(t) for t in texts], BATCH_CHARS):
-                a, b, c = label_texts(some, shared.value)
-                labels += a
-                scores.append(b)
-                spans += c
+            for texts in slices(batch.column(0)):
+                for some in chunks(texts, [len(t) for t in texts], BATCH_CHARS):
+                    a, b, c = label_texts(some, shared.value)
+                    labels += a
+                    scores.append(b)
+                    spans += c
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1).cast(schema.field(0).type), pa.array(labels, pa.string()),
                  pa.array(np.concatenate(scores)),
@@ -370,13 +371,24 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: st
     return fit(training_rows(docs, text, label, ~held_out(doc_id) & F.col(doc_id).isNotNull(), **options))
 
 
+def _teller(shared, least: float):
+    def told(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            good: list[bool] = []
+            for texts in slices(batch):
+                for some in chunks(texts, [len(t) for t in texts], BATCH_CHARS):
+                    labels, scores, _ = label_texts(some, shared.value)
+                    good += [label != UNKNOWN and score >= least for label, score in zip(labels, scores, strict=True)]
+            yield pa.array(good, pa.bool_())
+    return arrow_udf(told, T.BooleanType())
+
+
 def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = 0.0) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose language could be told
-    (not ``und``, score at least ``least``). Where nothing could be learned, those with a letter."""
+    (not ``und``, score at least ``least``). Where nothing could be learned, those with a letter.
+    Only the text goes to Python, and only the answer comes back."""
     if not model.labels:  # one label for whatever has a word
         model = Model([""], np.zeros((1 << FEATURE_BITS, 1), np.float32), np.zeros(0, np.uint64),
                       np.zeros((0, 1), np.float32), np.zeros((1, 1)), np.zeros((1, 1)))
-    name = fresh(docs, "row")
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(name))
-    found = predict(whole.select(F.col(f"{name}.`{text}`").alias("text"), F.col(name).alias("row")), model, "row")
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
+    told = _teller(docs.sparkSession.sparkContext.broadcast(model), least)
+    return docs.filter(told(F.col(f"`{text}`").cast("string")))

@@ -7,7 +7,7 @@ import random
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from drydock.llm.common import fresh, staged
+from drydock.llm.common import fresh, hashable, staged
 
 PIECE_ROWS = 50_000
 
@@ -86,7 +86,7 @@ def place(df: DataFrame, keys: list[Column], shards: int = 24, seed: int = 9,
         "key", "piece", "rank", "bounds", "second", "part", "local"))
     total = df.count()
     pieces = max(1, math.ceil(total / piece_rows))
-    known = [x for k in keys for x in (k, k.isNull())]
+    known = [x for k in hashable(keys, df) for x in (k, k.isNull())]
     dealt = df.select(*own, F.xxhash64(F.lit(seed), *known).alias(key)).withColumn(
         piece, F.pmod(F.xxhash64(F.lit("piece"), key), F.lit(pieces)))
     sizes = {r[0]: r[1] for r in dealt.groupBy(piece).agg(F.count("*")).collect()}

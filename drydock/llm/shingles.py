@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from drydock.llm.common import (
-    chunks, code_points, components, fresh, group_starts, is_kind, mixed, rolled, runs, spans_hash, staged, whole_groups)
+    chunks, code_points, components, fresh, group_starts, hashable, is_kind, mixed, rolled, runs, spans_hash, staged,
+    whole_groups)
 from drydock.llm.vectors import spanning
 
 NGRAM = 5
@@ -359,7 +360,7 @@ def distinct_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     The row with the least id (then text hash) stays; where rows repeat both, one
     of them. Rows without words are in no group, and all stay.
     """
-    whole, key, once = (fresh(docs, n) for n in ("whole", "key", "once"))
+    whole, key, once, content = (fresh(docs, n) for n in ("whole", "key", "once", "content"))
     names = ("doc_id", "text_hash")
     found = near_texts(docs, doc_id, text, **options).select("group", F.struct(*names).alias(key), F.struct(
         F.col("doc_id").isNull().alias("none"), *names).alias("order"))
@@ -367,8 +368,9 @@ def distinct_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.struct(*[F.col(f"order.{n}") for n in names]).alias(key), F.lit(True).alias(once))
     alone = found.filter("group IS NULL").select(key, F.lit(False).alias(once)).distinct()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole), F.struct(
-        F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("text_hash")).alias(key))
+        F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("text_hash")).alias(key),
+        F.xxhash64(*hashable([F.col(f"`{c}`") for c in docs.columns], docs)).alias(content))
     kept = rows.join(chosen.union(alone), key)
-    order = Window.partitionBy(key).orderBy(F.xxhash64(whole))
+    order = Window.partitionBy(key).orderBy(content)
     return kept.withColumn("_place", F.row_number().over(order)).filter(
         ~F.col(once) | (F.col("_place") == 1)).select(f"{whole}.*")

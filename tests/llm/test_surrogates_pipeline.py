@@ -129,6 +129,16 @@ def test_stages_on_awkward_rows(spark, tmp_path):
         assert docs.filter("text IS NULL OR text = ''").count() == 0
 
 
+def test_stages_take_columns_of_any_type(spark):
+    df = frame(spark).selectExpr("*", "map('a', n_chars) AS tags", "array(named_struct('x', map(1, text))) AS deep",
+                                 "CAST(text AS binary) AS raw")
+    docs = staged(df, "any")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = staged(stage(spark, docs, SF), name)
+        assert docs.columns == df.columns, name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count() > 0
+
+
 def test_pipeline_stage_by_stage(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = staged(corpus_pipeline.identify_language(spark, docs, SF), "one")

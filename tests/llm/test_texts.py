@@ -255,6 +255,15 @@ def test_matches(spark, block_chars):
     assert sorted(repr((r["doc_id"], [])) for r in kept.collect()) == sorted(w for w in want if w.endswith("[])"))
 
 
+def test_items_keep_the_type_of_their_id(spark):
+    bench = spark.createDataFrame([("math/1", "what is the sum of two and three apples"), ("math/2", "an item nobody has copied")],
+                                  "item_id string, text string")
+    rows = [(1, "so: What is the sum of two and three  apples?", None, None, None), (2, "clean", None, None, None)]
+    found = {r["doc_id"]: r["item_ids"] for r in decontaminate.leaked(spark, frame(spark, rows), bench).collect()}
+    assert found == {1: ["math/1"], 2: []}
+    assert [r["doc_id"] for r in decontaminate.clean(frame(spark, rows), bench).collect()] == [2]
+
+
 def test_short_items_have_their_edits(spark):
     """Items of 20 to 23 characters may have one edit, wherever it is."""
     item = "quick brown foxes jump!"
