@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from drydock.config import WHITESPACE, ColumnRoles
 from drydock.functions import numbers
@@ -88,6 +88,34 @@ def coercion_report(df: DataFrame, ids: Iterable[str], mode: str = "bigint") ->
     return counts.select(F.inline(F.array(*counts.columns)))
 
 
+def counted_losses(df: DataFrame, roles: ColumnRoles = ColumnRoles(), mode: str = "bigint"
+                   ) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """A table with its identifiers coerced from text and its rows counted on their way, and what to call for
+    the counts when it has been written.
+
+    The counts are ``rows`` and, by name, the values of each identifier that
+    coercion has lost. They come from the job that writes the table: nothing is
+    read or parsed a second time.
+    """
+    ids = [n for n in df.columns if n.upper().strip(WHITESPACE) in roles.id_columns
+           and isinstance(df.schema[n].dataType, T.StringType)]
+    made = [f"_made of {n}" for n in ids]
+    coerced = _with_parsed(df, ids).select(*[column(n) for n in df.columns],
+                                           *[_coerced(df, n, mode).alias(m) for n, m in zip(ids, made, strict=True)])
+    losses = [F.count_if(column(n).isNotNull() & column(m).isNull()).alias(f"lost_{i}")
+              for i, (n, m) in enumerate(zip(ids, made, strict=True))]
+    seen = Observation()
+    counted = coerced.observe(seen, F.count(F.lit(1)).alias("rows"), *losses)
+    new = dict(zip(ids, made, strict=True))
+
+    def told() -> dict[str, int]:
+        found = seen.get
+        return {"rows": found.get("rows", 0)} | {
+            n.upper().strip(WHITESPACE): found.get(f"lost_{i}", 0) for i, n in enumerate(ids)}
+
+    return counted.select(*[column(new.get(n, n)).alias(n, metadata=df.schema[n].metadata) for n in df.columns]), told
+
+
 def ordered_names(names: Iterable[str], roles: ColumnRoles = ColumnRoles()) -> list[str]:
     """Identifiers, then dates, both in role order; the rest by code point."""
     present = list(names)

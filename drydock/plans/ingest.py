@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from drydock.config import ColumnRoles, Dataset, Provenance, Registry
 from drydock.functions.text import file_name
-from drydock.operators.columns import normalized_names, standardize
+from drydock.operators.columns import counted_losses, normalized_names, standardize
 from drydock.operators.describe import attach_descriptions, descriptions_for
 from drydock.operators.distinct import keep_first
 from drydock.operators.infer import apply_types, inferred
@@ -24,7 +24,7 @@ from drydock.sources.listing import list_archives
 # Datasets published at the same time.
 PARALLEL_DATASETS = 8
 
-OUTCOME_SCHEMA = "path string, status string, dataset string, message string"
+OUTCOME_SCHEMA = "path string, status string, dataset string, message string, lost map<string, bigint>"
 
 
 def plan_work(files: DataFrame, published: DataFrame, registry: Registry, force: bool = False,
@@ -60,11 +60,15 @@ def typed_table(rows: DataFrame, roles: ColumnRoles = ColumnRoles(), mode: str =
 
     Identifiers skip inference: they are made numeric straight from their text.
     """
+    return standardize(_typed_texts(rows, roles, string_columns, headers), roles, mode)
+
+
+def _typed_texts(rows: DataFrame, roles: ColumnRoles, string_columns=(), headers: DataFrame | None = None) -> DataFrame:
     texts = assemble_table(rows, headers)
     clean = normalized_names(texts.columns)  # refuses names which would collide
     ids = [n for n, c in zip(texts.columns, clean) if c in roles.id_columns]
     types = inferred(texts, string_columns=[*string_columns, *ids])
-    return standardize(apply_types(texts, types, proven=True), roles, mode)
+    return apply_types(texts, types, proven=True)
 
 
 def published_of(spark: SparkSession, root: str, registry: Registry) -> DataFrame:
@@ -84,7 +88,9 @@ def ingest(spark: SparkSession, root: str, out: str, registry: Registry,
     files, and survives the loss of an executor without unpacking again. Records
     are removed when all datasets are done. Whatever goes wrong with one dataset
     becomes the outcome of its archives, and the others go on.
-    Returns the outcomes ``(path, status, dataset, message)``.
+    Returns the outcomes ``(path, status, dataset, message, lost)``; ``lost`` tells
+    how many values of each identifier of the dataset were no numbers and became
+    null, counted by the job that published it.
     """
     work, settled = plan_work(list_archives(spark, root), published_of(spark, out, registry), registry, force, collisions)
     staged_at = staging or scratch(spark, "ingest")
@@ -154,21 +160,25 @@ def publish_staged(records: DataFrame, work: DataFrame, out: str, dataset: Datas
     if sound.isEmpty():
         return failed
     rows = records if failed.isEmpty() else include(records, sound, ["path"])
-    status, message = publish_records(rows, out, dataset, dictionary, roles, provenance, mode, string_columns)
+    status, message, lost = publish_records(rows, out, dataset, dictionary, roles, provenance, mode, string_columns)
+    counts = F.create_map(*[F.lit(x) for pair in sorted(lost.items()) for x in pair]).cast("map<string, bigint>")
     return failed.unionByName(sound.select(
-        "path", F.lit(status).alias("status"), "dataset", F.lit(message).alias("message")))
+        "path", F.lit(status).alias("status"), "dataset", F.lit(message).alias("message"), counts.alias("lost")),
+        allowMissingColumns=True)
 
 
 def publish_records(rows: DataFrame, out: str, dataset: Dataset, dictionary: DataFrame | None = None,
                     roles: ColumnRoles = ColumnRoles(), provenance: Provenance = Provenance(),
-                    mode: str = "bigint", string_columns=()) -> tuple[str, str]:
-    """Type, describe and publish the records of one dataset; status and message."""
+                    mode: str = "bigint", string_columns=()) -> tuple[str, str, dict[str, int]]:
+    """Type, describe and publish the records of one dataset; status, message, and the values of each
+    identifier that coercion lost. Rows and losses are counted by the job that writes the table."""
     try:
-        table = typed_table(rows, roles, mode, string_columns)
+        typed = _typed_texts(rows, roles, string_columns)
     except ValueError as clash:  # names which collide once upper-cased
-        return "error", f"Error processing {dataset.name}: {clash}"
+        return "error", f"Error processing {dataset.name}: {clash}", {}
+    counted, told = counted_losses(typed, roles, mode)
+    table = standardize(counted, roles, mode)
     texts = {} if dictionary is None else descriptions_for(table, dictionary, dataset.dict_table)
-    path = publish(attach_descriptions(table, texts), out, dataset.name,
-                   provenance.properties(dataset.description))
-    count = rows.sparkSession.read.parquet(path).count()
-    return "success", f"{count:,} rows, {len(table.columns)} columns, {len(texts)} descriptions"
+    publish(attach_descriptions(table, texts), out, dataset.name, provenance.properties(dataset.description))
+    lost = told()
+    return "success", f"{lost.pop('rows'):,} rows, {len(table.columns)} columns, {len(texts)} descriptions", lost

@@ -68,6 +68,46 @@ def replace_path(spark: SparkSession, new: str, old: str) -> None:
         raise OSError(f"cannot move {new} to {old}")
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder, sorted; none if it is missing."""
+    system, place = _path(spark, path)
+    if not system.exists(place):
+        return []
+    return sorted(found.getPath().getName() for found in system.listStatus(place))
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, place = _path(spark, path)
+    system.mkdirs(place)
+
+
+def move_file(spark: SparkSession, old: str, new: str) -> bool:
+    """Rename within a store; false if the new name is taken."""
+    system, place = _path(spark, new)
+    return system.rename(_path(spark, old)[1], place)
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file; fails if there is one already."""
+    system, place = _path(spark, path)
+    system.mkdirs(place.getParent())
+    out = system.create(place, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """A small file as a whole."""
+    system, place = _path(spark, path)
+    into = system.open(place)
+    try:
+        return bytes(into.readAllBytes()).decode()
+    finally:
+        into.close()
+
+
 _SHIPPED: set[str] = set()
 
 

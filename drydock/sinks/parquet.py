@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from drydock.session import path_exists, remove_path, replace_path
-from drydock.sources.listing import column_catalog
+from drydock.sources.listing import column_catalog, described_columns
 
 
 def is_published(spark: SparkSession, root: str, dataset: str) -> bool:
@@ -43,11 +43,22 @@ def publish(df: DataFrame, root: str, dataset: str, properties: Mapping[str, str
     df.write.option("compression", "snappy").parquet(incoming)
     remove_path(spark, mark)
     replace_path(spark, incoming, path)
+    describe_published(df, base, dataset, properties, existing)
+    return path
+
+
+def describe_published(df: DataFrame, root: str, dataset: str, properties: Mapping[str, str] | None = None,
+                       existing: Mapping[str, str] | None = None) -> int:
+    """Write the metadata beside a published table, the properties, which mark it as complete, last;
+    returns the number of described columns."""
+    spark, base = df.sparkSession, root.rstrip("/")
+    if existing is None:
+        existing = read_properties(spark, base, dataset) if is_published(spark, base, dataset) else {}
     column_catalog(df, dataset).coalesce(1).write.mode("overwrite").parquet(f"{base}/_columns/{dataset}")
     rows = [(dataset, k, v) for k, v in sorted({**existing, **(properties or {})}.items())]
     (spark.createDataFrame(rows, "dataset string, property string, value string")
-     .coalesce(1).write.mode("overwrite").parquet(mark))
-    return path
+     .coalesce(1).write.mode("overwrite").parquet(f"{base}/_datasets/{dataset}"))
+    return described_columns(df.schema)
 
 
 def publish_table(df: DataFrame, table: str, description: str, properties: Mapping[str, str],

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from drydock.config import FILE_CLASSES, Registry
 from drydock.functions.text import file_name, glob_to_regex
+from drydock.sinks.versions import folder_of, read_manifest, scan_versioned
 
 LISTING_SCHEMA = "path string, modified timestamp, length bigint"
 
@@ -76,7 +77,10 @@ def dataset_catalog(spark: SparkSession, registry: Registry, base_url: str = "")
 
 
 def scan_published(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/{dataset}.parquet")
+    """A published table; of one that is kept in versions, the current version and nothing else."""
+    folder = folder_of(root, dataset)
+    manifest = read_manifest(spark, folder)
+    return spark.read.parquet(folder) if manifest is None else scan_versioned(spark, folder, manifest)
 
 
 def published_name(path: Column) -> Column:

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from drydock.config import ColumnRoles, Provenance, Registry
-from drydock.operators.lookups import classify, include
-from drydock.plans.ingest import publish_records
+from drydock.operators.lookups import classify, lookup
+from drydock.operators.states import column_states
 from drydock.sources.archives import ROW_SCHEMA, archive_faults, expand_archives, open_path
 from drydock.sources.listing import is_archive
+from drydock.streaming.deliveries import described_in, profile_states, publish_delivery
 
+PUBLISHED_SCHEMA = "dataset string, status string, message string, lost map<string, bigint>"
 ARCHIVE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -22,9 +24,12 @@ def incremental_ingest(spark: SparkSession, root: str, out: str, checkpoint: str
     """Expand all new archives of a folder into ``{out}/records`` and
     ``{out}/outcomes``, then stop.
 
-    With a registry and ``publish_to``, each dataset that got new archives is
-    typed anew over all its records so far, and published there; what became of
-    it is told in ``{out}/published``. The stream
+    With a registry and ``publish_to``, the new records of each dataset are a
+    delivery that is added to what is published there. What is known of a
+    dataset's columns is kept as states in ``{out}/states`` and joined with that
+    of the new records, so history is not typed again; earlier deliveries are
+    written again only where a column they hold has become wider. What became of
+    a dataset is told in ``{out}/published``. The stream
     itself carries only paths: archives of any size are opened by the tasks. The
     checkpoint remembers which archives are done. Each micro-batch writes its
     own folder and overwrites it when it is repeated after a failure, so a
@@ -47,21 +52,22 @@ def incremental_ingest(spark: SparkSession, root: str, out: str, checkpoint: str
         outcomes.write.mode("overwrite").parquet(told_at)
         if registry is None or publish_to is None:
             return
-        new = session.read.parquet(told_at).filter("status = 'success'").select("dataset").distinct()
-        names = {r["dataset"] for r in new.collect()}  # registered ones
-        done = []
+        sound = sound_records(session, out, batch_id)
+        column_states(sound, roles).write.mode("overwrite").parquet(f"{out}/states/batch={batch_id}")
+        states = landed(session, out, "states")
+        new = states.filter(F.col("batch") == batch_id).select("dataset").distinct()
+        names, done = {r["dataset"] for r in new.collect()}, []  # registered ones
         for dataset in registry:
             if dataset.name in names:
-                sound = landed(session, out).filter(
-                    (F.col("status") == "success") & (F.col("dataset") == dataset.name))
-                rows = include(landed(session, out, "records"), sound, ["path"])
+                def records(number: int, name: str = dataset.name) -> DataFrame:
+                    return sound_records(session, out, number).filter(F.col("dataset") == name).drop("dataset")
                 try:
-                    told = publish_records(rows, publish_to, dataset, dictionary, roles, provenance)
+                    told = publish_delivery(session, records, states, publish_to, dataset, batch_id, dictionary, roles,
+                                            provenance)
                 except Exception as fault:  # the other datasets, and the stream, go on
-                    told = "error", f"Error processing {dataset.name}: {type(fault).__name__}: {fault}"
+                    told = "error", f"Error processing {dataset.name}: {type(fault).__name__}: {fault}", {}
                 done.append((dataset.name, *told))
-        session.createDataFrame(done, "dataset string, status string, message string").write.mode(
-            "overwrite").parquet(f"{out}/published/batch={batch_id}")
+        session.createDataFrame(done, PUBLISHED_SCHEMA).write.mode("overwrite").parquet(f"{out}/published/batch={batch_id}")
 
     return (archives.writeStream.foreachBatch(land)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -70,3 +76,17 @@ def incremental_ingest(spark: SparkSession, root: str, out: str, checkpoint: str
 def landed(spark: SparkSession, out: str, kind: str = "outcomes") -> DataFrame:
     """Everything landed so far, over all micro-batches."""
     return spark.read.parquet(f"{out}/{kind}")
+
+
+def sound_records(spark: SparkSession, out: str, batch: int) -> DataFrame:
+    """The records of a micro-batch's sound archives, with their dataset."""
+    sound = landed(spark, out).filter((F.col("batch") == batch) & (F.col("status") == "success") & F.col("dataset").isNotNull())
+    rows = landed(spark, out, "records").filter(F.col("batch") == batch).drop("batch")
+    return lookup(rows, sound.select("path", "dataset"), ["path"], "inner")
+
+
+def landed_profiles(spark: SparkSession, out: str, registry: Registry, roles: ColumnRoles = ColumnRoles(),
+                    published: str | None = None) -> DataFrame:
+    """Profiles of all that has landed, from the states of the micro-batches: no record is read."""
+    described = described_in(spark, published, registry) if published else {}
+    return profile_states(landed(spark, out, "states"), registry, roles, described)
