@@ -20,8 +20,8 @@ from drydock.session import remove_path, scratch
 from drydock.sinks.parquet import publish
 from drydock.sources.archives import errors_by_archive, expand_archives, list_members
 from drydock.sources.listing import (
-    dataset_catalog, list_files, match_files, published_names, union_distinct_paths)
-from drydock.streaming.incremental import incremental_ingest, landed
+    dataset_catalog, list_files, match_files, published_names, scan_published, union_distinct_paths)
+from drydock.streaming.incremental import incremental_ingest, landed, landed_profiles
 
 ORDER_ROLES = ColumnRoles(("O_ORDERKEY", "O_CUSTKEY"), ("O_ORDERDATE",))
 
@@ -316,6 +316,59 @@ def published_incrementally(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/published/orders.parquet")
 
 
+CUSTOMER_ROLES = ColumnRoles(("C_CUSTKEY", "C_PARTNER"), ())
+
+
+def _customer_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in three deliveries: whole balances and no segments; segments, and balances with cents;
+    partners, of which every seventh has no number."""
+    customers = table(spark, sf_dir, "customer").withColumn("part", F.col("c_custkey") % 3)
+    cents = F.col("c_acctbal").cast("decimal(18,2)")
+    partner = F.when(F.col("c_custkey") % 7 == 0, F.concat(F.lit("no. "), "c_nationkey")).otherwise(F.col("c_nationkey").cast("string"))
+    own = customers.select(
+        "part", "c_custkey", "c_name", F.when(F.col("part") == 0, F.floor(cents).cast("string")).otherwise(cents.cast("string"))
+        .alias("balance"), F.when(F.col("part") > 0, F.col("c_mktsegment")).alias("segment"), partner.alias("c_partner"))
+    path = F.concat(F.lit("/landing/CSV_CUSTOMER_"), F.col("part").cast("string"), F.lit("_"),
+                    block_of("c_custkey", 5000).cast("string"), F.lit(".ZIP"))
+    columns = ["c_custkey", "c_name", "balance", "segment"]
+    first = csv_members(own.filter("part < 2"), path, F.lit("all.csv"), "c_custkey", columns)
+    last = csv_members(own.filter("part = 2"), path, F.lit("all.csv"), "c_custkey", [*columns, "c_partner"])
+    return zip_members(first.unionByName(last))
+
+
+def widened_incrementally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries: the second turns whole balances into fractions and fills a column that had no
+    value, the third brings a new column."""
+    base = scratch(spark, "stream")
+    archives = _staged(spark, _customer_archives(spark, sf_dir))
+    for part in range(3):
+        write_archives(archives.filter(F.contains("path", F.lit(f"CUSTOMER_{part}_"))), f"{base}/landing")
+        incremental_ingest(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", TABLE_REGISTRY,
+                           publish_to=f"{base}/published", roles=CUSTOMER_ROLES).awaitTermination()
+    return scan_published(spark, f"{base}/published", "customer")
+
+
+def profiled_incrementally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of landed orders from the states of two micro-batches, without a look at a record."""
+    base = scratch(spark, "stream")
+    archives = _staged(spark, order_archives(spark, sf_dir))
+    half = F.pmod(F.xxhash64("path"), F.lit(2))
+    for run in (0, 1):
+        write_archives(archives.filter(half == run), f"{base}/landing")
+        incremental_ingest(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", TABLE_REGISTRY,
+                           publish_to=f"{base}/published", roles=ORDER_ROLES).awaitTermination()
+    return landed_profiles(spark, f"{base}/out", TABLE_REGISTRY, ORDER_ROLES).select(
+        "dataset", "description", "rows", "variables", "date_min", "date_max")
+
+
+def lost_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identifiers which were no numbers, as the outcomes of an ingest tell them."""
+    landing, out = scratch(spark, "landing"), scratch(spark, "out")
+    write_archives(_customer_archives(spark, sf_dir), landing)
+    outcomes = ingest(spark, landing, out, TABLE_REGISTRY, roles=CUSTOMER_ROLES, collisions="union")
+    return outcomes.select("dataset", F.explode("lost").alias("column", "lost")).distinct()
+
+
 def catalog_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalogue of registered sources against the files which are there."""
     registry = select_datasets(Registry(tuple(
@@ -346,6 +399,9 @@ QUERIES = {
     "published_properties": published_properties,
     "incremental_ingest": ingested_incrementally,
     "incremental_publish": published_incrementally,
+    "incremental_widening": widened_incrementally,
+    "incremental_profile": profiled_incrementally,
+    "coerced_identifiers": lost_identifiers,
     "landing_reconcile": landing_reconcile,
     "forced_reconcile": forced_reconcile,
     "skip_or_force": work_left,
@@ -437,6 +493,17 @@ ORACLES = {
     "ingest_publish": _ORDERS,
     "resume_publish": _ORDERS,
     "incremental_publish": _ORDERS,
+    "incremental_widening": (
+        'SELECT c_custkey AS "C_CUSTKEY", CASE WHEN c_custkey % 3 = 2 AND c_custkey % 7 <> 0 '
+        'THEN c_nationkey::BIGINT END AS "C_PARTNER", (CASE WHEN c_custkey % 3 = 0 '
+        'THEN floor(c_acctbal::DECIMAL(18,2)) ELSE c_acctbal::DECIMAL(18,2) END)::DOUBLE AS "BALANCE", '
+        'c_name AS "C_NAME", CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS "SEGMENT" FROM customer'),
+    "incremental_profile": (
+        "SELECT 'orders' AS dataset, 'Orders' AS description, count(*) AS rows, 6::INTEGER AS variables, "
+        "min(o_orderdate) AS date_min, max(o_orderdate) AS date_max FROM orders"),
+    "coerced_identifiers": (
+        "SELECT 'customer' AS dataset, 'C_CUSTKEY' AS \"column\", 0::BIGINT AS lost UNION ALL "
+        "SELECT 'customer', 'C_PARTNER', count(*) FROM customer WHERE c_custkey % 3 = 2 AND c_custkey % 7 = 0"),
     "published_properties": (
         "SELECT 'part' AS dataset, 'source' AS property, 'second' AS value UNION ALL "
         "SELECT 'part', 'kind', 'parts' UNION ALL SELECT 'part', 'largest', max(p_size)::VARCHAR FROM part UNION ALL "

@@ -13,7 +13,7 @@ from drydock.operators.infer import apply_types
 from drydock.operators.profile import PROFILE_COLUMNS, description_of
 from drydock.operators.states import MINUS_ZERO, joined_states
 from drydock.operators.union import assemble_table
-from drydock.session import create_file, path_exists
+from drydock.session import create_file, path_exists, remove_path
 from drydock.sinks.parquet import describe_published
 from drydock.sinks.versions import (
     Delivery, Manifest, add_files, folder_of, read_manifest, sweep, write_manifest, write_schema_file)
@@ -75,7 +75,8 @@ def publish_delivery(spark: SparkSession, records: Callable[[int], DataFrame], s
     has values of has become wider meanwhile: from its own Parquet where a cast
     gives what its text would have given, else from its records. Everything
     else stays in the files it is in. The result equals one ingest of all
-    deliveries. A delivery that comes again replaces what it had added.
+    deliveries. A delivery that comes again replaces what it had added. Schema,
+    descriptions and properties are written where the schema has changed.
     """
     folder = folder_of(out, dataset.name)
     types, total = known_columns(states, dataset.name)
@@ -111,15 +112,20 @@ def publish_delivery(spark: SparkSession, records: Callable[[int], DataFrame], s
         else:
             kept.append(retyped(old.number))
     added = retyped(number)
+    mark = f"{folder}/_SUCCESS"
+    settled = current is not None and current.schema == schema and path_exists(spark, mark)
+    if not settled:  # what stands beside the data is written again, and the mark comes last
+        remove_path(spark, mark)
     manifest = Manifest(current.version + 1 if current else 1, schema, (*kept, added))
     write_manifest(spark, folder, manifest)
-    write_schema_file(spark, folder, schema)
+    if not settled:
+        write_schema_file(spark, folder, schema)
+        describe_published(spark.createDataFrame([], schema), out, dataset.name,
+                           provenance.properties(dataset.description))
+        create_file(spark, mark, "")
     sweep(spark, folder, manifest)
-    if not path_exists(spark, f"{folder}/_SUCCESS"):
-        create_file(spark, f"{folder}/_SUCCESS", "")
-    texts = describe_published(spark.createDataFrame([], schema), out, dataset.name,
-                               provenance.properties(dataset.description))
-    return "success", f"{total:,} rows, {len(schema)} columns, {texts} descriptions", dict(added.lost)
+    return ("success", f"{total:,} rows, {len(schema)} columns, {described_columns(schema)} descriptions",
+            dict(added.lost))
 
 
 def published_deliveries(spark: SparkSession, out: str, dataset: str) -> DataFrame:

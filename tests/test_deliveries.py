@@ -79,15 +79,14 @@ def test_nothing_widens_and_files_stay(zone):
                            ("success", "5 rows, 4 columns, 0 descriptions", {})]
 
 
-@pytest.mark.parametrize("wider", ["1.5", "text", "18446744073709551615", "", "True"])
-def test_a_type_widens(zone, wider):
-    zone.deliver("CSV_THINGS", "key,n,other\n1,007,u\n2,-0,v\n3,9007199254740993,w\n")
-    zone.deliver("CSV_THINGS", "key,m\n3,007\n")
+def test_types_widen(zone):
+    old, new = "007,-0,9007199254740993,4,1,x", "1.5,text,18446744073709551615,True,,y"
+    zone.deliver("CSV_THINGS", f"key,a,b,c,d,e,f\n1,{old}\n2,-0,1,2,3,,z\n")
+    zone.deliver("CSV_THINGS", "key,e,m\n3,5,007\n")
     first, second = zone.files(0), zone.files(1)
-    zone.deliver("CSV_THINGS", f"key,n\n4,{wider}\n")
+    zone.deliver("CSV_THINGS", f"key,a,b,c,d,e,f\n4,{new}\n")
     same(zone.table(), zone.whole())
-    assert zone.files(1) == second  # holds no such column
-    assert (zone.files(0) == first) == (wider == "")
+    assert zone.files(1) == second and not set(zone.files(0)) & set(first)  # the second holds no column that widened
 
 
 def test_a_cast_serves_where_it_gives_what_the_text_gives(zone, monkeypatch):
@@ -112,8 +111,8 @@ def test_no_records_and_clashing_names(zone):
     zone.deliver("CSV_THINGS", "key,n\n")
     same(zone.table(), zone.whole())
     zone.deliver("CSV_THINGS", "key,n\n1,2\n")
-    same(zone.table(), zone.whole())
     before = zone.table().collect()
+    assert [tuple(r) for r in before] == [(1, 2)]
     zone.deliver("CSV_THINGS", "key,N\n1,2\n")
     assert zone.told()[-1][0] == "error" and "once upper-cased" in zone.told()[-1][1]
     assert zone.table().collect() == before
@@ -122,7 +121,7 @@ def test_no_records_and_clashing_names(zone):
 def test_random_deliveries_equal_one_ingest(zone):
     rng = random.Random(8)
     values = ["1", "22", "-3", "1.5", "x", "", "NA", "True", "false", "007", "18446744073709551615", "20240131", "1e3"]
-    for k in range(5):
+    for k in range(4):
         names = rng.sample(["key", "a", "b", " seen ", "c", "made"], rng.randint(2, 5))
         some = rng.sample(values, 3)
         rows = [",".join(rng.choice(some) for _ in names) for _ in range(rng.randint(0, 6))]
@@ -142,7 +141,7 @@ def test_a_delivery_that_comes_again_replaces_itself(zone):
     assert len([n for n in child_names(spark, str(zone.path / "published/things.parquet")) if n.endswith(".parquet")]) == 1
 
 
-@pytest.mark.parametrize("step", ["write_manifest", "write_schema_file", "describe_published"])
+@pytest.mark.parametrize("step", ["write_manifest", "write_schema_file"])
 def test_a_writer_that_stops_leaves_a_whole_version(zone, monkeypatch, step):
     zone.deliver("CSV_THINGS", "key,n\n1,2\n")
 
