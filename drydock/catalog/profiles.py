@@ -128,6 +128,22 @@ def published_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[c for c in PROFILE_COLUMNS if c != "size_mb"], (F.col("size_mb") > 0).alias("has_size"))
 
 
+def footer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers as days, days as dates and no dates at all, told by file footers; a sentinel and
+    timestamps beside them, which are scanned."""
+    out = scratch(spark, "published")
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    day = F.date_format("l_shipdate", "yyyyMMdd").cast("bigint")
+    for name, df in {
+            "lineitem": lines.select("l_orderkey", F.when(F.col("l_returnflag") != "R", day).alias("DT_START")),
+            "orders": orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("DT_START")),
+            "part": table(spark, sf_dir, "part"),
+            "supplier": lines.select(F.when(F.col("l_returnflag") == "R", 99991231).otherwise(day).alias("DT_START")),
+            "events": table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("DT_START"))}.items():
+        publish(df, out, name)
+    return summarize(spark, out, TABLE_REGISTRY).select("dataset", "rows", "date_min", "date_max")
+
+
 def _published_sql() -> str:
     described = {"events": 1, "orders": 2, "part": 0}
     return " UNION ALL ".join(
@@ -147,6 +163,7 @@ QUERIES = {
     "profile_export_dates": export_dates,
     "date_coverage": coverage,
     "published_profile": published_profile,
+    "profile_footers": footer_profile,
 }
 
 ORACLES = {
@@ -181,4 +198,12 @@ ORACLES = {
         "SELECT dataset, strftime(date_min, '%Y-%m-%d') AS date_min, "
         f"strftime(date_max, '%Y-%m-%d') AS date_max FROM ({PROFILES_SQL}) WHERE date_min IS NOT NULL"),
     "published_profile": _published_sql(),
+    "profile_footers": (
+        "SELECT 'lineitem' AS dataset, count(*)::BIGINT AS rows, min(l_shipdate) FILTER (WHERE l_returnflag <> 'R') "
+        "AS date_min, max(l_shipdate) FILTER (WHERE l_returnflag <> 'R') AS date_max FROM lineitem UNION ALL "
+        "SELECT 'orders', count(*), min(o_orderdate::DATE)::TIMESTAMP, max(o_orderdate::DATE)::TIMESTAMP FROM orders "
+        "UNION ALL SELECT 'part', count(*), NULL, NULL FROM part UNION ALL "
+        "SELECT 'supplier', count(*), min(l_shipdate) FILTER (WHERE l_returnflag <> 'R'), "
+        "max(l_shipdate) FILTER (WHERE l_returnflag <> 'R') FROM lineitem UNION ALL "
+        "SELECT 'events', count(*), min(ts), max(ts) FROM events"),
 }

@@ -11,6 +11,7 @@ from drydock.config import DATE_COLUMNS, UNKNOWN_DATASET, DateRules, Registry
 from drydock.functions.dates import date_text, to_date_time
 from drydock.functions.text import megabytes
 from drydock.operators.columns import column
+from drydock.operators.footers import FooterFacts
 from drydock.sources.listing import described_columns
 
 PROFILE_COLUMNS = ("dataset", "description", "rows", "variables", "with_descriptions",
@@ -41,34 +42,45 @@ def _candidate_dates(df: DataFrame, dataset: str, width: int, date_columns, rule
     return df.select(F.lit(dataset).alias("dataset"), *[d.alias(f"d{i}") for i, d in enumerate(dates)])
 
 
+def _measured(tables: Mapping[str, DataFrame], date_columns, rules) -> DataFrame:
+    """``dataset, rows, range`` of each dataset, of which every row is looked at."""
+    width = max(sum(n in df.columns for n in date_columns) for df in tables.values())
+    facts = reduce(DataFrame.unionByName, [
+        _candidate_dates(df, name, width, date_columns, rules) for name, df in tables.items()])
+    found = facts.groupBy("dataset").agg(
+        F.count("*").alias("rows"),
+        *[F.struct(F.min(f"d{i}").alias("low"), F.max(f"d{i}").alias("high")).alias(f"d{i}")
+          for i in range(width)])
+    ranges = [F.when(F.col(f"d{i}")["low"].isNotNull(), F.col(f"d{i}")) for i in range(width)]
+    nothing = F.lit(None).cast("struct<low:timestamp_ntz,high:timestamp_ntz>")
+    return found.select("dataset", "rows", F.coalesce(*ranges, nothing).alias("range"))
+
+
 def profile_all(tables: Mapping[str, DataFrame], registry: Registry = Registry(()),
                 date_columns: Sequence[str] = DATE_COLUMNS, rules: DateRules = DateRules(),
-                files: DataFrame | None = None) -> DataFrame:
+                files: DataFrame | None = None, known: Mapping[str, FooterFacts] | None = None) -> DataFrame:
     """Profiles of several datasets, sorted by name.
 
     The date range of a dataset is that of its first date column with any valid
     date. All datasets and all candidate columns are measured in one pass which
     reads nothing but the date columns; each task sends one small row per
-    dataset it met. ``files`` (``dataset, length``) gives the sizes.
+    dataset it met. ``files`` (``dataset, length``) gives the sizes, and
+    ``known`` the facts of datasets that need not be measured.
     """
     spark = next(iter(tables.values())).sparkSession
-    width = max(sum(n in df.columns for n in date_columns) for df in tables.values())
-    facts = reduce(DataFrame.unionByName, [
-        _candidate_dates(df, name, width, date_columns, rules) for name, df in tables.items()])
-    measured = facts.groupBy("dataset").agg(
-        F.count("*").alias("rows"),
-        *[F.struct(F.min(f"d{i}").alias("low"), F.max(f"d{i}").alias("high")).alias(f"d{i}")
-          for i in range(width)])
-    ranges = [F.when(F.col(f"d{i}")["low"].isNotNull(), F.col(f"d{i}")) for i in range(width)]
-    nothing = F.lit(None).cast("struct<low:timestamp_ntz,high:timestamp_ntz>")
-    known = spark.createDataFrame(
+    told = {name: facts for name, facts in (known or {}).items() if name in tables}
+    measured = spark.createDataFrame([(name, f.rows, (f.low, f.high)) for name, f in sorted(told.items())],
+                                     "dataset string, rows bigint, range struct<low:timestamp_ntz,high:timestamp_ntz>")
+    open_ = {name: df for name, df in tables.items() if name not in told}
+    if open_:
+        measured = _measured(open_, date_columns, rules).unionByName(measured)
+    listed = spark.createDataFrame(
         [(name, description_of(name, registry), len(df.columns), described_columns(df.schema),
           f"{name}.parquet") for name, df in tables.items()],
         "dataset string, description string, variables int, with_descriptions int, file string")
     # An empty dataset has no measured row, so the list of datasets leads.
     profiles = (
-        known.join(measured, "dataset", "left")
-        .withColumn("range", F.coalesce(*ranges, nothing))
+        listed.join(measured, "dataset", "left")
         .select("dataset", "description", F.coalesce("rows", F.lit(0)).alias("rows"), "variables",
                 "with_descriptions", F.lit(None).cast("double").alias("size_mb"),
                 F.col("range")["low"].alias("date_min"), F.col("range")["high"].alias("date_max"), "file"))

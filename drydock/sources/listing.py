@@ -83,6 +83,15 @@ def scan_published(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     return spark.read.parquet(folder) if manifest is None else scan_versioned(spark, folder, manifest)
 
 
+def published_files(spark: SparkSession, root: str, dataset: str) -> list[list[str]]:
+    """The paths of a published table in groups whose files were written alike: those of each delivery, or all."""
+    folder = folder_of(root, dataset)
+    manifest = read_manifest(spark, folder)
+    if manifest is None:
+        return [[folder]]
+    return [[f"{folder}/{name}" for name in d.files] for d in manifest.deliveries if d.files]
+
+
 def published_name(path: Column) -> Column:
     """The dataset a Parquet file, or a file in a Parquet folder, belongs to."""
     name = F.regexp_extract(path, r"([^/]+)\.parquet(?:/.*)?\z", 1)
