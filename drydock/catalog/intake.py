@@ -69,6 +69,16 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(documents.select("doc_id", path.alias("path")), SOURCE_REGISTRY)
 
 
+#: Ten thousand patterns of four digits to the base of 16, scattered, so that many occur in a stem and the first wins.
+LARGE_REGISTRY = Registry(tuple(
+    Dataset(f"d{i}", f"{i * 40503 % 65536:04X}", f"T{i % 7}", f"Set {i}") for i in range(10_000)))
+
+
+def classified_by_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = F.concat(F.lit("/landing/"), F.md5(F.col("doc_id").cast("string").cast("binary")), F.lit(".zip"))
+    return classify(table(spark, sf_dir, "documents").select("doc_id", path.alias("path")), LARGE_REGISTRY)
+
+
 def stems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File names and stems of page addresses."""
     url = F.col("url")
@@ -383,6 +393,7 @@ def catalog_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "decode_text": decoded,
     "classify_dataset": classified,
+    "classify_large_registry": classified_by_many,
     "file_stems": stems,
     "archive_roundtrip": orders_from_archives,
     "archive_documents": documents_from_archives,
@@ -452,6 +463,12 @@ ORACLES = {
         f"FROM (SELECT *, {_SOURCE_CASE} AS dataset FROM (SELECT doc_id, "
         "'/landing/SRC3.d/' || lang || '_' || source || '.' || doc_id || '.zip' AS path, "
         "upper(lang || '_' || source || '.' || doc_id) AS base FROM documents))"),
+    "classify_large_registry": (
+        "WITH found AS (SELECT doc_id, '/landing/' || md5(doc_id::VARCHAR) || '.zip' AS path, "
+        "(SELECT min(i) FROM range(10000) t(i) WHERE contains(upper(md5(d.doc_id::VARCHAR)), "
+        "format('{:04X}', i * 40503 % 65536))) AS i FROM documents d) "
+        "SELECT doc_id, path, 'd' || i AS dataset, coalesce('T' || i % 7, 'UNKNOWN') AS dict_table, "
+        "coalesce('Set ' || i, 'Unknown dataset') AS description FROM found"),
     "file_stems": (
         "SELECT page_id, name, CASE WHEN regexp_matches(name, '^.+\\.[^.]+$') "
         "THEN regexp_replace(name, '\\.[^.]+$', '') ELSE name END AS stem "

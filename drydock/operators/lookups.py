@@ -8,11 +8,12 @@ spread the large side over ``salts`` copies of the small one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from drydock.config import UNKNOWN_DATASET, UNKNOWN_TABLE, Registry
+from drydock.functions.patterns import first_word
 from drydock.functions.text import contains_any, stem, upper_strip
 
 
@@ -58,21 +59,41 @@ def described(columns: DataFrame, dictionary: DataFrame, salts: int = 1) -> Data
     return include(keyed, dictionary, ["table", "variable"], salts).drop("variable")
 
 
-def _by_dataset(dataset, registry: Registry, attribute: str, default: str):
-    value = F.lit(default)
-    for d in reversed(registry.datasets):
-        value = F.when(dataset == d.name, F.lit(getattr(d, attribute))).otherwise(value)
-    return value
+#: Up to so many datasets a registry is written into the plan, as a projection; a larger one is an automaton or a join.
+DATASETS_IN_PLAN = 64
+
+
+def _with_attributes(df: DataFrame, registry: Registry, dataset: str, attributes: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Add to each row attributes of its dataset, ``{column: (attribute, default)}``."""
+    if len(registry.datasets) <= DATASETS_IN_PLAN:
+        for name, (attribute, default) in attributes.items():
+            value = F.lit(default)
+            for d in reversed(registry.datasets):
+                value = F.when(F.col(dataset) == d.name, F.lit(getattr(d, attribute))).otherwise(value)
+            df = df.withColumn(name, value)
+        return df
+    first = {d.name: d for d in reversed(registry.datasets)}
+    rows = [(name, *[getattr(d, attribute) for attribute, _ in attributes.values()]) for name, d in first.items()]
+    dims = df.sparkSession.createDataFrame(
+        rows, ", ".join(f"{n} string" for n in ("_name", *[f"_{a}" for a in attributes])))
+    joined = df.join(dims, F.col(dataset) == dims["_name"], "left")
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in attributes]
+    return joined.select(*kept, *[F.coalesce(F.col(f"_{name}"), F.lit(default)).alias(name)
+                                  for name, (_, default) in attributes.items()])
+
+
+_TABLE = {"dict_table": ("dict_table", UNKNOWN_TABLE)}
+_TEXT = {"description": ("description", UNKNOWN_DATASET)}
 
 
 def with_dictionary_table(df: DataFrame, registry: Registry, dataset: str = "dataset") -> DataFrame:
     """Add ``dict_table``, the dictionary table of each row's dataset."""
-    return df.withColumn("dict_table", _by_dataset(F.col(dataset), registry, "dict_table", UNKNOWN_TABLE))
+    return _with_attributes(df, registry, dataset, _TABLE)
 
 
 def with_dataset_description(df: DataFrame, registry: Registry, dataset: str = "dataset") -> DataFrame:
     """Add ``description``, the registered text of each row's dataset."""
-    return df.withColumn("description", _by_dataset(F.col(dataset), registry, "description", UNKNOWN_DATASET))
+    return _with_attributes(df, registry, dataset, _TEXT)
 
 
 def dataset_of(base, registry: Registry):
@@ -86,10 +107,20 @@ def dataset_of(base, registry: Registry):
 def classify(files: DataFrame, registry: Registry, path: str = "path") -> DataFrame:
     """Files with ``dataset`` (null if unrecognised), its table and description.
 
-    The registry is a short list in code, so this is a projection: no join, no
-    shuffle, and the first pattern in registry order wins. The stem is taken in
-    a projection of its own, once for all patterns.
+    The first pattern in registry order wins. A short registry is a projection:
+    no join, no shuffle, the stem taken once for all patterns. A long one is an
+    automaton over the stems, which meets all patterns in one pass whatever
+    their number, and a join with the registry's rows.
     """
-    named = (files.withColumn("_stem", F.upper(stem(F.col(path))))
-             .withColumn("dataset", dataset_of(F.col("_stem"), registry)).drop("_stem"))
-    return with_dataset_description(with_dictionary_table(named, registry), registry)
+    named = files.withColumn("_stem", F.upper(stem(F.col(path))))
+    if len(registry.datasets) <= DATASETS_IN_PLAN:
+        named = named.withColumn("dataset", dataset_of(F.col("_stem"), registry)).drop("_stem")
+        return _with_attributes(named, registry, "dataset", _TABLE | _TEXT)
+    spark = files.sparkSession
+    found = named.withColumn("_first", first_word(spark, F.col("_stem"), [d.archive_pattern for d in registry]))
+    dims = spark.createDataFrame([(k, d.name, d.dict_table, d.description) for k, d in enumerate(registry)],
+                                 "_place int, _dataset string, _dict_table string, _description string")
+    added = {"dataset": F.col("_dataset"), "dict_table": F.coalesce("_dict_table", F.lit(UNKNOWN_TABLE)),
+             "description": F.coalesce("_description", F.lit(UNKNOWN_DATASET))}
+    return found.join(dims, found["_first"] == dims["_place"], "left").select(
+        *[F.col(f"`{c}`") for c in files.columns if c not in added], *[c.alias(n) for n, c in added.items()])
