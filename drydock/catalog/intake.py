@@ -20,7 +20,7 @@ from drydock.session import remove_path, scratch
 from drydock.sinks.parquet import publish
 from drydock.sources.archives import errors_by_archive, expand_archives, list_members
 from drydock.sources.listing import (
-    dataset_catalog, list_files, match_files, published_names, scan_published, union_distinct_paths)
+    dataset_catalog, list_archives, list_files, match_files, published_names, scan_published, union_distinct_paths)
 from drydock.streaming.incremental import incremental_ingest, landed, landed_profiles
 
 ORDER_ROLES = ColumnRoles(("O_ORDERKEY", "O_CUSTKEY"), ("O_ORDERDATE",))
@@ -100,6 +100,16 @@ def documents_from_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_table(records, ColumnRoles(("DOC_ID",), ()), string_columns=("text",))
 
 
+def documents_from_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as members of many blocks each, which are parsed side by side."""
+    documents, landing = table(spark, sf_dir, "documents"), scratch(spark, "landing")
+    path = F.concat(F.lit("/landing/csv_documents_"), block_of("doc_id", 500).cast("string"), F.lit(".zip"))
+    write_archives(zip_members(csv_members(documents, path, F.lit("all.csv"), "doc_id",
+                                           ["doc_id", "text", "lang", "source", "n_chars"])), landing)
+    rows = expand_archives(list_archives(spark, landing), split_above=0, block_bytes=65_536)
+    return typed_table(stage_records(rows, scratch(spark, "records")), ColumnRoles(("DOC_ID",), ()), string_columns=("text",))
+
+
 def headers_of_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headers alone, told without reading the records."""
     headers = expand_archives(order_archives(spark, sf_dir), header_only=True)
@@ -397,6 +407,7 @@ QUERIES = {
     "file_stems": stems,
     "archive_roundtrip": orders_from_archives,
     "archive_documents": documents_from_archives,
+    "archive_blocks": documents_from_blocks,
     "archive_headers": headers_of_archives,
     "archive_latin1": latin1_archives,
     "csv_members": members,
@@ -477,6 +488,9 @@ ORACLES = {
     "archive_documents": (
         'SELECT doc_id AS "DOC_ID", text AS "TEXT", lang AS "LANG", source AS "SOURCE", n_chars AS "N_CHARS" '
         "FROM documents"),
+    "archive_blocks": (
+        'SELECT doc_id AS "DOC_ID", text AS "TEXT", lang AS "LANG", source AS "SOURCE", n_chars AS "N_CHARS" '
+        "FROM documents"),
     "archive_headers": (
         "SELECT DISTINCT 'CSV_ORDERS_' || (o_orderkey // 5000) || '.ZIP' AS file, "
         "CASE WHEN o_orderstatus = 'F' THEN 'filled.csv' ELSE 'OTHER.CSV' END AS member, "

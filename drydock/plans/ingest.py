@@ -18,7 +18,7 @@ from drydock.operators.lookups import classify, exclude, include
 from drydock.operators.union import assemble_table
 from drydock.session import remove_path, scratch
 from drydock.sinks.parquet import is_published, publish
-from drydock.sources.archives import ROW_SCHEMA, archive_faults, expand_archives, open_path
+from drydock.sources.archives import ROW_SCHEMA, SPLIT_ABOVE, archive_faults, expand_archives, open_path
 from drydock.sources.listing import list_archives
 
 # Datasets published at the same time.
@@ -80,7 +80,8 @@ def published_of(spark: SparkSession, root: str, registry: Registry) -> DataFram
 def ingest(spark: SparkSession, root: str, out: str, registry: Registry,
            dictionary: DataFrame | None = None, roles: ColumnRoles = ColumnRoles(),
            provenance: Provenance = Provenance(), force: bool = False, collisions: str = "first",
-           mode: str = "bigint", string_columns=(), staging: str | None = None, opener=open_path) -> DataFrame:
+           mode: str = "bigint", string_columns=(), staging: str | None = None, opener=open_path,
+           split_above: int | None = SPLIT_ABOVE) -> DataFrame:
     """Expand, unite, type, standardise, describe and publish all new archives.
 
     The expanded records are staged once as Parquet in the shared folder, which
@@ -103,7 +104,8 @@ def ingest(spark: SparkSession, root: str, out: str, registry: Registry,
     def run(dataset: Dataset) -> DataFrame:
         paths, place = work.filter(F.col("dataset") == dataset.name), f"{staged_at}/outcomes/{dataset.name}"
         try:
-            records = stage_records(expand_archives(paths.select("path"), opener=opener),
+            records = stage_records(expand_archives(paths.select("path"), opener=opener,
+                                                                    split_above=split_above),
                                     f"{staged_at}/records/{dataset.name}")
             outcome = publish_staged(records, paths, out, dataset, dictionary, roles, provenance, mode, string_columns,
                                      f"{staged_at}/archives/{dataset.name}")

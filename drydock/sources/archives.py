@@ -24,23 +24,28 @@ import pyarrow.csv as pacsv
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
+from drydock.session import scratch
+
 ROW_SCHEMA = ("path string, member string, row_no bigint, layout bigint, "
               "fields array<string>, error string")
-MEMBER_SCHEMA = "path string, member string, error string"
+MEMBER_SCHEMA = "path string, member string, error string, length bigint"
 
 _ROWS = pa.schema([
     ("path", pa.string()), ("member", pa.string()), ("row_no", pa.int64()),
     ("layout", pa.int64()), ("fields", pa.list_(pa.string())), ("error", pa.string())])
-_MEMBERS = pa.schema([("path", pa.string()), ("member", pa.string()), ("error", pa.string())])
+_MEMBERS = pa.schema([("path", pa.string()), ("member", pa.string()), ("error", pa.string()), ("length", pa.int64())])
 
 # Faults of the data itself. Faults of the file system are left to Spark, which
 # retries the task: a lost connection must not mark an archive as broken.
-_BAD_DATA = (zipfile.BadZipFile, zlib.error, EOFError, csv.Error, ValueError,
+BAD_DATA = (zipfile.BadZipFile, zlib.error, EOFError, csv.Error, ValueError,
              NotImplementedError, RuntimeError)
 
 _LIST = pa.list_(pa.string())
 _BLOCK = 4 << 20
 MAX_RECORD_BYTES = 1 << 30
+# A member beyond the first bound is cut into blocks of the second, parsed side by side.
+SPLIT_ABOVE = 1 << 30
+BLOCK_BYTES = 8 << 20
 # A member up to this size is decompressed once and read from memory, a larger
 # one is streamed twice: for its encoding, and for its records.
 _HELD_BYTES = 16 << 20
@@ -197,7 +202,7 @@ def _batch(path, member, row_no, layout, fields, error) -> pa.RecordBatch:
         fields, pa.array(error, pa.string())], schema=_ROWS)
 
 
-def _error(path, member, row_no, layout, message) -> pa.RecordBatch:
+def error_row(path, member, row_no, layout, message) -> pa.RecordBatch:
     return _batch(path, member, [row_no], layout, pa.array([None], _LIST), [message])
 
 
@@ -235,11 +240,21 @@ def _expand_member(path, archive, name, header_only, most) -> Iterator[pa.Record
         return
     encoding = member.encoding()
     names = column_names(member.header(encoding))
-    layout, width = _layout(names), len(names)
+    layout = _layout(names)
     yield _batch(path, name, [0], layout, pa.array([names], _LIST), [None])
-    header_seen = False
-    for numbers, batch, odd in _blocks(member, encoding, width, most):
-        mended = _mended(path, name, layout, width, odd)
+    yield from parse_records(path, name, member, encoding, names, layout, most)
+
+
+def parse_records(path, name, source, encoding, names, layout, most, first: int = 0,
+                  skip_header: bool = True) -> Iterator[pa.RecordBatch]:
+    """The records of a member, or of a part of it which begins with record ``first``.
+
+    ``source.open()`` gives the bytes, as often as they are asked for. Record 0
+    of a whole member is the header, and left out.
+    """
+    width, header_seen = len(names), not skip_header
+    for numbers, batch, odd in _blocks(source, encoding, width, most):
+        mended = _mended(path, name, layout, width, [(n + first, actual, text) for n, actual, text in odd])
         if mended is not None:
             yield mended
         if batch is None:
@@ -255,7 +270,7 @@ def _expand_member(path, archive, name, header_only, most) -> Iterator[pa.Record
         if not keep.all():
             numbers, batch = numbers[keep], batch.filter(pa.array(keep))
         if batch.num_rows:
-            yield _batch(path, name, numbers, layout, _as_lists(batch), [None] * batch.num_rows)
+            yield _batch(path, name, numbers + first, layout, _as_lists(batch), [None] * batch.num_rows)
 
 
 # -- Spark stages ------------------------------------------------------------
@@ -287,8 +302,8 @@ def _expander(opener, header_only: bool, most: int):
                                 raise ValueError("no CSV members in the archive")
                             for member in members:
                                 yield from _expand_member(path, archive, member, header_only, most)
-                    except _BAD_DATA as fault:
-                        yield _error(path, member, None, None, f"{type(fault).__name__}: {fault}")
+                    except BAD_DATA as fault:
+                        yield error_row(path, member, None, None, f"{type(fault).__name__}: {fault}")
     return expand
 
 
@@ -300,14 +315,16 @@ def _member_lister(opener):
                     try:
                         with zipfile.ZipFile(handle) as archive:
                             members, message = _csv_members(archive), None
+                            sizes = [archive.getinfo(name).file_size for name in members]
                         if not members:
                             message = "ValueError: no CSV members in the archive"
-                    except _BAD_DATA as fault:
+                    except BAD_DATA as fault:
                         members, message = [], f"{type(fault).__name__}: {fault}"
                 path, rows = batch.column("path")[i].as_py(), members or [None]
+                lengths = sizes if members else [None]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([path] * len(rows), pa.string()), pa.array(rows, pa.string()),
-                    pa.array([message] * len(rows), pa.string())], schema=_MEMBERS)
+                    pa.array([message] * len(rows), pa.string()), pa.array(lengths, pa.int64())], schema=_MEMBERS)
     return listed
 
 
@@ -316,12 +333,13 @@ def _carried(archives: DataFrame) -> list[str]:
 
 
 def list_members(archives: DataFrame, opener: Callable = open_path) -> DataFrame:
-    """CSV members ``(path, member, error)``; reads only each archive's index."""
+    """CSV members ``(path, member, error, length)``, with their inflated length; reads only each archive's index."""
     return archives.select(*_carried(archives)).mapInArrow(_member_lister(opener), MEMBER_SCHEMA)
 
 
 def expand_archives(archives: DataFrame, header_only: bool = False, opener: Callable = open_path,
-                    max_record_bytes: int = MAX_RECORD_BYTES) -> DataFrame:
+                    max_record_bytes: int = MAX_RECORD_BYTES, split_above: int | None = None,
+                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Records of all CSV members: ``(path, member, row_no, layout, fields, error)``.
 
     Record 0 is the header as column names; ``layout`` identifies it. A broken
@@ -333,12 +351,29 @@ def expand_archives(archives: DataFrame, header_only: bool = False, opener: Call
     into a seekable binary file; the one given here knows the schemes Arrow
     knows, and a caller with another store passes one for it. A table with a
     ``content`` column brings the bytes along, one archive a unit of work.
+
+    Members which inflate to more than ``split_above`` bytes are staged in blocks
+    of ``block_bytes`` and parsed by many tasks each (``blocks.expand_large_members``).
     """
     stage = _expander(opener, header_only, max_record_bytes)
     if "content" in archives.columns:
         return archives.select("path", F.lit(None).cast("string").alias("member"), "content").mapInArrow(
             stage, ROW_SCHEMA)
     units = list_members(archives, opener)
+    if split_above is not None and not header_only:
+        from drydock.sources.blocks import expand_large_members  # which parses by what is here
+        spark, listed = archives.sparkSession, scratch(archives.sparkSession, "members")
+        units.write.parquet(listed)  # every index is read once
+        units = spark.read.schema(MEMBER_SCHEMA).parquet(listed)
+        large = units.filter(F.col("length") > split_above).select("path", "member")
+        if not large.isEmpty():
+            small = units.filter(F.col("member").isNull() | (F.col("length") <= split_above))
+            return _members_expanded(small, stage).unionByName(expand_large_members(
+                large, opener, block_bytes, max_record_bytes))
+    return _members_expanded(units, stage)
+
+
+def _members_expanded(units: DataFrame, stage) -> DataFrame:
     rows = (units.filter(F.col("member").isNotNull())
             .repartition(F.col("path"), F.col("member")).select("path", "member").mapInArrow(stage, ROW_SCHEMA))
     failed = units.filter(F.col("member").isNull()).select(
@@ -348,6 +383,11 @@ def expand_archives(archives: DataFrame, header_only: bool = False, opener: Call
     return rows.unionByName(failed)
 
 
+def member_headers(members: DataFrame, opener: Callable = open_path) -> DataFrame:
+    """The header, or the fault, of each member ``(path, member)``."""
+    return members.select("path", "member").mapInArrow(_expander(opener, True, MAX_RECORD_BYTES), ROW_SCHEMA)
+
+
 def archive_faults(rows: DataFrame) -> DataFrame:
     """One row per archive ``(path, rows, faults, error)``: its sound records, the
     number of its faults, and the first message."""

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from drydock.config import ColumnRoles, Provenance, Registry
 from drydock.operators.lookups import classify, lookup
 from drydock.operators.states import column_states
-from drydock.sources.archives import ROW_SCHEMA, archive_faults, expand_archives, open_path
+from drydock.sources.archives import ROW_SCHEMA, SPLIT_ABOVE, archive_faults, expand_archives, open_path
 from drydock.sources.listing import is_archive
 from drydock.streaming.deliveries import described_in, profile_states, publish_delivery
 
@@ -20,7 +20,7 @@ def incremental_ingest(spark: SparkSession, root: str, out: str, checkpoint: str
                        registry: Registry | None = None, files_per_batch: int = 1000,
                        publish_to: str | None = None, dictionary: DataFrame | None = None,
                        roles: ColumnRoles = ColumnRoles(), provenance: Provenance = Provenance(),
-                       opener=open_path) -> StreamingQuery:
+                       opener=open_path, split_above: int | None = SPLIT_ABOVE) -> StreamingQuery:
     """Expand all new archives of a folder into ``{out}/records`` and
     ``{out}/outcomes``, then stop.
 
@@ -42,7 +42,7 @@ def incremental_ingest(spark: SparkSession, root: str, out: str, checkpoint: str
     def land(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         rows_at, told_at = (f"{out}/{kind}/batch={batch_id}" for kind in ("records", "outcomes"))
-        expand_archives(batch, opener=opener).write.mode("overwrite").parquet(rows_at)
+        expand_archives(batch, opener=opener, split_above=split_above).write.mode("overwrite").parquet(rows_at)
         seen = archive_faults(session.read.schema(ROW_SCHEMA).parquet(rows_at))
         outcomes = seen.select(
             "path", F.when(F.col("faults") == 0, "success").otherwise("error").alias("status"),
