@@ -15,13 +15,13 @@ from drydock.operators.grids import clean_tables
 from drydock.operators.infer import blank_null_tokens
 from drydock.operators.lookups import exclude
 from drydock.operators.stanzas import parse_stanzas
+from drydock.session import scratch
 
 # Column order of the dictionary file, and of its preview.
 DICTIONARY_COLUMNS = ("variable", "table", "data_type", "description", "full_description")
 PREVIEW_COLUMNS = ("variable", "table", "data_type", "description")
 
 _EMPTY = "table string, variable string, data_type string, description string"
-_SALTS = 16
 
 
 def load_dictionary(raw: DataFrame, order: Column, table_map: dict[str, str] | None = None) -> DataFrame:
@@ -81,11 +81,18 @@ def section_counts(definitions: DataFrame, by: str, seq: str) -> DataFrame:
 def build_dictionary(cells: DataFrame, pages: DataFrame, doc: str, page: str, text: str,
                      grammar: DictionaryGrammar = DictionaryGrammar(), roles: GridRoles = GridRoles(),
                      table_map: dict[str, str] | None = None) -> DataFrame:
-    """Definitions per document: from its grids if they give any, else its text."""
-    from_grids = clean_tables(cells, doc, roles, table_map).select(
+    """Definitions per document: from its grids if they give any, else its text.
+
+    What the grids give is needed twice, so it is staged in the shared folder
+    and the cells are gone through once. Spark splits the pages of a long document itself.
+    """
+    found = clean_tables(cells, doc, roles, table_map).select(
         doc, "variable", "table", "data_type", "description",
         F.lit(None).cast("string").alias("full_description"), F.lit("grid").alias("route"))
-    others = exclude(pages, from_grids, [doc], _SALTS, [page])
+    staged_at = scratch(cells.sparkSession, "grids")
+    found.write.parquet(staged_at)
+    from_grids = cells.sparkSession.read.schema(found.schema).parquet(staged_at)
+    others = exclude(pages, from_grids, [doc])
     from_text = parse_stanzas(others, doc, page, text, grammar).select(
         doc, "variable", "table", "data_type", "description", "full_description",
         F.lit("text").alias("route"))
@@ -94,4 +101,4 @@ def build_dictionary(cells: DataFrame, pages: DataFrame, doc: str, page: str, te
 
 def without_definitions(pages: DataFrame, definitions: DataFrame, doc: str, page: str) -> DataFrame:
     """Pages of documents neither route could read, kept for a human reader."""
-    return exclude(pages, definitions, [doc], _SALTS, [page])
+    return exclude(pages, definitions, [doc])

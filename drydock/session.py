@@ -59,15 +59,6 @@ def remove_path(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
-def replace_path(spark: SparkSession, new: str, old: str) -> None:
-    """Put a whole new folder in the place of an old one."""
-    system, place = _path(spark, old)
-    system.mkdirs(place.getParent())
-    system.delete(place, True)
-    if not system.rename(_path(spark, new)[1], place):
-        raise OSError(f"cannot move {new} to {old}")
-
-
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of what lies directly in a folder, sorted; none if it is missing."""
     system, place = _path(spark, path)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from drydock.session import path_exists, remove_path, replace_path
+from drydock.session import create_file, path_exists, remove_path
+from drydock.sinks.versions import WHOLE, Delivery, Manifest, add_files, read_manifest, sweep, write_manifest
 from drydock.sources.listing import column_catalog, described_columns
 
 
@@ -22,7 +22,9 @@ def publish(df: DataFrame, root: str, dataset: str, properties: Mapping[str, str
             existing: Mapping[str, str] | None = None, mode: str = "overwrite") -> str:
     """Write ``{root}/{dataset}.parquet`` (snappy) and its metadata.
 
-    The new data is written beside the old and takes its place once it is whole.
+    The new files are written beside the old ones, and a manifest makes them the
+    current version once they are whole; then the old ones are deleted. Wherever
+    a writer stops, ``scan_published`` reads the old version or the new one.
     Column descriptions travel in the schema; they and the dataset's properties
     are also written to ``_columns`` and ``_datasets``, which any tool can read.
     Properties that are there already stay unless new ones replace them
@@ -39,10 +41,20 @@ def publish(df: DataFrame, root: str, dataset: str, properties: Mapping[str, str
         raise ValueError(f"{dataset} is published already")
     if existing is None:
         existing = read_properties(spark, base, dataset) if there else {}
-    incoming = f"{base}/_incoming/{dataset}-{uuid.uuid4().hex}.parquet"
-    df.write.option("compression", "snappy").parquet(incoming)
+    current = read_manifest(spark, path)
+    if current:  # what a writer that stopped has left
+        sweep(spark, path, current)
+    rows = Observation()
+    files = add_files(spark, df.observe(rows, F.count(F.lit(1)).alias("rows")), path)
+    remove_path(spark, f"{path}/_SUCCESS")
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    manifest = Manifest(current.version + 1 if current else 1, df.schema,
+                        (Delivery(WHOLE, files, rows.get.get("rows", 0), types),))
+    write_manifest(spark, path, manifest)
+    remove_path(spark, f"{path}/_common_metadata")  # all files have the schema
+    sweep(spark, path, manifest)
+    create_file(spark, f"{path}/_SUCCESS", "")
     remove_path(spark, mark)
-    replace_path(spark, incoming, path)
     describe_published(df, base, dataset, properties, existing)
     return path
 

@@ -26,6 +26,9 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from drydock.session import (
     child_names, create_file, make_folder, move_file, path_exists, read_file, remove_path)
 
+#: The number of the one delivery of a dataset that was published as a whole.
+WHOLE = -1
+
 
 @dataclass(frozen=True)
 class Delivery:
@@ -88,7 +91,7 @@ def scan_versioned(spark: SparkSession, folder: str, manifest: Manifest, deliver
     return spark.read.schema(manifest.schema).parquet(*files)
 
 
-def add_files(spark: SparkSession, df: DataFrame, folder: str, delivery: int) -> tuple[str, ...]:
+def add_files(spark: SparkSession, df: DataFrame, folder: str, delivery: int | None = None) -> tuple[str, ...]:
     """Write a table beside the data files and move its files among them; no version knows them yet."""
     incoming = f"{folder}/_incoming-{uuid.uuid4().hex}"
     make_folder(spark, folder)
@@ -96,7 +99,7 @@ def add_files(spark: SparkSession, df: DataFrame, folder: str, delivery: int) ->
     moved = []
     for name in child_names(spark, incoming):
         if name.endswith(".parquet"):
-            moved.append(f"d{delivery:06d}-{name}")
+            moved.append(name if delivery is None else f"d{delivery:06d}-{name}")
             if not move_file(spark, f"{incoming}/{name}", f"{folder}/{moved[-1]}"):
                 raise OSError(f"cannot move {name} into {folder}")
     remove_path(spark, incoming)

@@ -95,7 +95,7 @@ def published_files(spark: SparkSession, root: str, dataset: str) -> list[list[s
 def published_name(path: Column) -> Column:
     """The dataset a Parquet file, or a file in a Parquet folder, belongs to."""
     name = F.regexp_extract(path, r"([^/]+)\.parquet(?:/.*)?\z", 1)
-    return F.when(~path.contains("/_incoming/"), F.nullif(name, F.lit("")))
+    return F.when(~path.contains("/_incoming"), F.nullif(name, F.lit("")))
 
 
 def published_names(files: DataFrame) -> DataFrame:

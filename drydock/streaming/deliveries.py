@@ -16,7 +16,7 @@ from drydock.operators.union import assemble_table
 from drydock.session import create_file, path_exists, remove_path
 from drydock.sinks.parquet import describe_published
 from drydock.sinks.versions import (
-    Delivery, Manifest, add_files, folder_of, read_manifest, sweep, write_manifest, write_schema_file)
+    WHOLE, Delivery, Manifest, add_files, folder_of, read_manifest, sweep, write_manifest, write_schema_file)
 from drydock.sources.listing import described_columns
 
 #: What a stored column can be cast to, so that its records need not be read again.
@@ -75,7 +75,8 @@ def publish_delivery(spark: SparkSession, records: Callable[[int], DataFrame], s
     has values of has become wider meanwhile: from its own Parquet where a cast
     gives what its text would have given, else from its records. Everything
     else stays in the files it is in. The result equals one ingest of all
-    deliveries. A delivery that comes again replaces what it had added. Schema,
+    deliveries. A delivery that comes again replaces what it had added, and one
+    that is known by its states but was never published is published now. Schema,
     descriptions and properties are written where the schema has changed.
     """
     folder = folder_of(out, dataset.name)
@@ -98,9 +99,9 @@ def publish_delivery(spark: SparkSession, records: Callable[[int], DataFrame], s
 
     kept = []
     for old in current.deliveries if current else ():
-        wider = {(n, t, types[n]) for n, t in old.types.items() if types[n] != t}
-        if old.number == number:
+        if old.number in (number, WHOLE):
             continue
+        wider = {(n, t, types[n]) for n, t in old.types.items() if types[n] != t}
         if not wider:
             kept.append(old)
         elif _castable(wider, kinds_in(old.number)):
@@ -111,6 +112,9 @@ def publish_delivery(spark: SparkSession, records: Callable[[int], DataFrame], s
                                  {n: types[n] for n in old.types}, old.lost))
         else:
             kept.append(retyped(old.number))
+    landed = states.filter(F.col("dataset") == dataset.name).select("batch").distinct().collect()
+    missing = {r["batch"] for r in landed} - {d.number for d in kept} - {number}
+    kept += [retyped(n) for n in sorted(missing)]  # of a writer that stopped before its version was there
     added = retyped(number)
     mark = f"{folder}/_SUCCESS"
     settled = current is not None and current.schema == schema and path_exists(spark, mark)

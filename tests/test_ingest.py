@@ -12,8 +12,9 @@ from drydock.operators.lookups import classify
 from drydock.plans import ingest as plan
 from drydock.plans.ingest import ingest
 from drydock.plans.summarize import summarize
+from drydock.sinks import parquet
 from drydock.sinks.parquet import is_published, publish, read_column_catalog, read_properties
-from drydock.sources.listing import column_catalog, dataset_catalog, list_files, match_files
+from drydock.sources.listing import column_catalog, dataset_catalog, list_files, match_files, scan_published
 from drydock.streaming.incremental import incremental_ingest, landed
 
 
@@ -113,6 +114,27 @@ def test_half_written_tables_are_not_published(spark, tmp_path):
     assert not is_published(spark, root, "t")
 
 
+@pytest.mark.parametrize("step", ["add_files", "write_manifest", "sweep", "describe_published"])
+def test_a_publication_that_stops_leaves_a_version_to_read(spark, tmp_path, monkeypatch, step):
+    root = str(tmp_path)
+    publish(spark.range(3), root, "t", {"a": "1"})
+
+    def stop(*_):
+        raise OSError("the power went")
+
+    real, calls = getattr(parquet, step), []
+    monkeypatch.setattr(parquet, step, stop if step != "sweep" else lambda *a: calls.append(1) or (real(*a) if len(calls) < 2 else stop()))
+    with pytest.raises(OSError, match="power"):
+        publish(spark.range(5).selectExpr("CAST(id AS string) AS id"), root, "t")
+    monkeypatch.undo()
+    new = step in ("sweep", "describe_published")
+    assert scan_published(spark, root, "t").count() == (5 if new else 3)
+    assert is_published(spark, root, "t") == (step == "add_files")  # else the next run makes it anew
+    publish(spark.range(7), root, "t")
+    assert scan_published(spark, root, "t").count() == 7 == spark.read.parquet(f"{root}/t.parquet").count()
+    assert is_published(spark, root, "t")
+
+
 def test_profiles_of_what_can_be_read(spark, tmp_path):
     root = str(tmp_path)
     for name in ("good", "other", "torn"):
