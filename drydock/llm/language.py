@@ -19,6 +19,7 @@ SAMPLE_CHARS = 20_000
 PASSES = 25
 SEGMENT = 12
 BATCH_CHARS = 1_000_000
+ROWS = 2048
 LEARN_CHARS = 250_000
 LEARN_WORDS = 50_000
 
@@ -329,7 +330,7 @@ def _labeller(shared, schema: pa.Schema):
             labels: list[str] = []
             scores: list[np.ndarray] = [np.zeros(0)]
             spans: list = []
-            for texts in slices(batch.column(0)):
+            for texts in slices(batch.column(0), ROWS):
                 for some in chunks(texts, [len(t) for t in texts], BATCH_CHARS):
                     a, b, c = label_texts(some, shared.value)
                     labels += a
@@ -375,7 +376,7 @@ def _teller(shared, least: float):
     def told(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             good: list[bool] = []
-            for texts in slices(batch):
+            for texts in slices(batch, ROWS):
                 for some in chunks(texts, [len(t) for t in texts], BATCH_CHARS):
                     labels, scores, _ = label_texts(some, shared.value)
                     good += [label != UNKNOWN and score >= least for label, score in zip(labels, scores, strict=True)]
