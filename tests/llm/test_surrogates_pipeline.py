@@ -81,6 +81,84 @@ def test_assignment_is_distinct(spark):
     assert sorted(map(tuple, found)) == sorted(map(tuple, again))
 
 
+def brute_assign(values, key=KEY):
+    """Draw for all values that are open; of those with one draw the least keeps it, unless it occurs or is given."""
+    given, todo, attempt = {}, sorted(set(values)), 0
+    taken = set(todo)
+    while todo:
+        drawn = {}
+        for kind, value in todo:
+            drawn.setdefault((kind, surrogates.propose(key, kind, value, attempt)), (kind, value))
+        won = {who: new for new, who in drawn.items() if new not in taken}
+        given |= {who: new[1] for who, new in won.items()}
+        taken |= set(won.values())
+        todo, attempt = [v for v in todo if v not in won], attempt + 1
+    return given
+
+
+def test_crowded_kinds_get_longer_forms(spark):
+    """Nearly all two-letter addresses occur, texts without letters, and a full range of short numbers."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    values = [("email", f"{a}@{b}.co") for a in letters for b in letters] + [("secret", "-" * n) for n in range(8, 12)]
+    values += [("phone", f"1{k:02d}") for k in range(100)] + [("given_f_thai", "ก"), ("given_f_thai", "ข")]
+    found = {(r["kind"], r["value"]): r["surrogate"] for r in surrogates.assign(
+        spark.createDataFrame(values, "kind string, value string"), KEY).collect()}
+    assert found == brute_assign(values)
+    new = [(kind, s) for (kind, _), s in found.items()]
+    assert len(set(new)) == len(values) and not set(new) & set(values)
+    text = "write to x@y.co, 103"
+    assert re.fullmatch(r"write to [a-z]+@[a-z]\.co, 103", surrogates.replace_entities(text, found)[0])
+
+
+@pytest.mark.parametrize("text, kind, form", [
+    ("Mr. Γιώργος Παπαδόπουλος", ["given_m_greek", "family_greek"], "Mr\\. [Α-Ω][α-ω]{5}ς [Α-Ω][α-ως]+"),
+    ("Mrs. Anna", ["given_f_latin"], "Mrs\\. [A-Z][a-z]+(a|tte)"),
+    ("Mr. John Smith", ["given_m_latin", "family_latin"], "Mr\\. [A-Z][a-z]+[^aeiou] [A-Z][a-z]+"),
+    ("госпожа Анна Петрова", ["given_f_cyrillic", "family_cyrillic"], "госпожа [А-Я][а-я]+[ая] [А-Я][а-я]+а"),
+    ("Ms 김철수", ["family_hangul"], "Ms [\uac00-\ud7a3]{3}"),
+    ("call 030 1234567", ["phone"], "call 0\\d\\d \\d{7}"), ("or 0171-2345678 now", ["phone"], "or 0\\d{3}-\\d{7} now"),
+    ("at 2001:DB8:0:0:8:800:200C:417A.", ["ipv6"], "at 2001:DB8(:[0-9A-F]{0,4}){1,6}\\."),
+    ("at fe80::1ff:fe23:4567:890a", ["ipv6"], "at 2001:db8(:[0-9a-f]{0,4}){1,6}")])
+def test_script_gender_and_format(text, kind, form):
+    found = surrogates.detect(text)
+    assert [e.kind for e in found] == kind
+    for attempt in (0, 1):
+        new, _ = surrogates.replace_entities(text, {(e.kind, e.value): surrogates.propose(KEY, e.kind, e.value, attempt)
+                                                    for e in found})
+        assert re.fullmatch(form, new) and new != text
+        again = [e.kind for e in surrogates.detect(new)]
+        assert again == (["family_latin"] if text == "Mrs. Anna" else kind)  # a made-up name is not in the list
+
+
+def test_addresses_written_in_two_ways_are_one():
+    assert len({e.value for t in ("fe80::1ff:fe23:4567:890a", "FE80:0:0:0:01FF:FE23:4567:890A") for e in surrogates.detect(t)}) == 1
+    for other in ("12:30:45", "abc::def", "00:1a:2b:3c:4d:5e", "::1", "1:2:3:4:5:6:7:8:9"):
+        assert kinds(f"at {other} now") == []
+
+
+def test_one_key_gives_one_surrogate_in_two_corpora(spark):
+    """A name alone and among 118 others; distinctness and texts against brute force over both."""
+    alone = [(1, "Mr. John met Mr. Smith"), (2, "write to x@y.co")]
+    many = alone + [(k, f"Mr. Jo{chr(97 + k % 26)}{'nm'[k // 26 % 2]}{chr(97 + k // 52)} Smith or {chr(97 + k % 26)}@y.co")
+                    for k in range(3, 121)]
+    texts = []
+    for rows in (alone, many):
+        found = {r["doc_id"]: r["text"] for r in surrogates.surrogate_texts(
+            spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+        known = brute_assign([(e.kind, e.value) for _, t in rows for e in surrogates.detect(t)])
+        assert found == {k: surrogates.replace_entities(t, known)[0] for k, t in rows}
+        texts.append(found[1])
+    assert texts[0] == texts[1]
+
+
+def test_whole_table_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    known = brute_assign([(e.kind, e.value) for t in rows.values() for e in surrogates.detect(t)])
+    found = {r["doc_id"]: r["text"] for r in surrogates.surrogate_texts(docs, KEY).collect()}
+    assert len(known) > 10 and found == {k: surrogates.replace_entities(t, known)[0] for k, t in rows.items()}
+
+
 def test_texts(spark):
     rows = awkward() + [(500, "Mr. John Smith (john@a.example.com, +1 555-123-4567) met Ms Smith", "en", "s", 1),
                         (501, "JOHN@A.EXAMPLE.COM or +15551234567; Mr Smith", "en", "s", 1)]
