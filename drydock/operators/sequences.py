@@ -14,8 +14,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from drydock.functions.text import strip
+from drydock.session import scratch
 
 BLOCK_ROWS = 100_000
+#: Rows drawn from a long sequence, most splitters without further cuts, and the range of the hash that draws.
+SAMPLE_ROWS, SPLITTERS, _DRAWS = 4096, 64, 1 << 40
 
 
 @dataclass(frozen=True)
@@ -46,21 +49,63 @@ def with_blocks(df: DataFrame, keys: Sequence[str], order: str, name: str = "_bl
                 rows: int | None = None) -> DataFrame:
     """Add a block number which cuts each sequence into about one piece per ``rows`` rows.
 
-    A sequence's own count, least and greatest order give the width of a piece.
-    So its number of pieces follows its rows, be ``order`` a row number, a time
-    in microseconds or a sparse id; where rows crowd, pieces are larger, which
-    costs a sort that spills and no memory.
+    Sequences are counted first, by a job of its own; one of up to ``rows`` rows
+    stays whole, and where all do, rows are neither joined nor moved. A longer
+    one is cut at splitters: quantiles of about ``SAMPLE_ROWS`` of its rows. They
+    are written to the shared folder, so every evaluation sees the same ones; a
+    join adds them, without a shuffle of the rows while they are small enough for
+    Spark to broadcast. Up to ``SPLITTERS`` pieces lie between splitters alone,
+    however unevenly the order is filled; of a sequence of more pieces, each span
+    between two splitters is cut again into equal widths, so where many rows
+    crowd inside a span a piece may hold all of it, which costs a sort that
+    spills and no memory. Splitters stand close together near both ends, so an
+    outlier shares its span with few rows. Rows of equal order stay together;
+    those without an order are block -1.
     """
     rows = BLOCK_ROWS if rows is None else rows
     key, at = F.struct(*[F.col(f"`{k}`") for k in keys]), F.col(order).cast("decimal(38,6)")
-    spread = df.groupBy(key.alias("_of")).agg(
+    whole = F.when(at.isNull(), -1).otherwise(0).cast("bigint")
+    long = _kept(df.groupBy(key.alias("_of")).agg(
         F.min(at).alias("_least"), F.max(at).alias("_most"), F.count("*").alias("_rows"))
+        .filter(F.col("_rows") > rows), "sequences")
+    if long.isEmpty():
+        return df.withColumn(name, whole)
     pieces = F.ceil(F.col("_rows") / F.lit(rows))
-    width = F.greatest((F.col("_most") - F.col("_least") + 1) / pieces, F.lit(1)).cast("double")
-    cuts = spread.select("_of", "_least", width.alias("_width"))
-    placed = df.withColumn("_of", key).join(cuts, "_of", "left")
-    block = F.floor((at - F.col("_least")).cast("double") / F.col("_width")).cast("bigint")
-    return placed.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(block, F.lit(-1)).alias(name))
+    drawn = (df.select(key.alias("_of"), at.alias("_at")).filter(F.col("_at").isNotNull())
+             .withColumn("_draw", F.pmod(F.xxhash64("_of", "_at"), F.lit(_DRAWS)))
+             .filter(F.col("_draw") < int(_DRAWS * min(1.0, SAMPLE_ROWS / rows)))
+             .join(long.select("_of", "_rows"), "_of").filter(F.col("_draw") < F.lit(_DRAWS * SAMPLE_ROWS) / F.col("_rows"))
+             .groupBy("_of").agg(F.sort_array(F.collect_list("_at")).alias("_drawn")))
+    cuts = long.join(drawn, "_of", "left").select(
+        "_of", _splitters(F.coalesce("_drawn", F.array().cast("array<decimal(38,6)>")), pieces).alias("_inner"),
+        "_least", "_most", F.ceil(pieces / F.lit(SPLITTERS)).alias("_parts"))
+    cuts = _kept(cuts.select("_of", "_inner", "_parts",
+                             F.concat(F.array("_least"), "_inner", F.array("_most")).alias("_edges")), "splitters")
+    span = F.size(F.filter("_inner", lambda edge: edge <= at))  # splitters at or before the row
+    low, high = F.get("_edges", F.col("_span")), F.get("_edges", F.col("_span") + 1)
+    width = F.greatest((high - low).cast("double"), F.lit(1e-6)) / F.col("_parts")
+    part = F.least(F.floor((at - low).cast("double") / width), F.col("_parts") - 1)
+    block = F.col("_span") * F.col("_parts") + F.when(F.col("_parts") > 1, part).otherwise(0)
+    return (df.withColumn("_of", key).join(cuts, "_of", "left")
+            .withColumn("_span", F.when(F.col("_inner").isNotNull() & at.isNotNull(), span))
+            .select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(block.cast("bigint"), whole).alias(name)))
+
+
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    """Written to the shared folder and read again."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _splitters(drawn: Column, pieces: Column) -> Column:
+    """Values of a sorted sample which part it evenly, and in many pieces also near its ends."""
+    n, parts = F.size(drawn), F.least(pieces, F.lit(SPLITTERS)).cast("int")
+    even = F.transform(F.sequence(F.lit(1), parts), lambda k: F.floor(k * n / parts))
+    near = F.when(pieces > SPLITTERS, F.array(*[F.lit(k) for k in (1, 4, 16)], *[n - k for k in (1, 4, 16)]))
+    places = F.concat(even, F.coalesce(near, F.array().cast("array<int>")))
+    chosen = F.transform(F.filter(places, lambda k: (k > 0) & (k < n)), lambda k: F.get(drawn, k.cast("int")))
+    return F.array_sort(F.array_distinct(chosen))
 
 
 def scan(df: DataFrame, keys: Sequence[str], order: str, outputs: Mapping[str, Running],

@@ -73,3 +73,38 @@ def test_sparse_orders_are_cut_by_rows(spark, monkeypatch, scale, start):
     assert all(4 <= r.n <= 6 for r in blocks)
     filled = sequences.forward_fill(df, ["k"], "at", F.when(F.col("v") % 10 < 2, F.col("v")), "last").collect()
     assert all(r["last"] == r.v - (r.v % 10) + r.k for r in filled)
+
+
+@pytest.mark.parametrize("n", [600, 9000])
+@pytest.mark.parametrize("order", ["IF(id = 5, -9e12, id)", "IF(id = 7, 9e12, id)", "IF(id % 300 = 7, id * 9e9, id)",
+                                   "POWER(1.01, id % 900) * 1000 + id", "CAST(id / 40 AS INT)"])
+def test_uneven_orders_are_cut_by_rows(spark, monkeypatch, n, order):
+    """Outliers, orders that crowd, and ties: blocks hold at most twice the rows asked for, and follow the order.
+    Where outliers or ties meet more pieces than splitters, a block is about a span between splitters."""
+    rows = 50
+    most = 200 if n == 9000 and ("300" in order or "40" in order) else 100
+    monkeypatch.setattr(sequences, "BLOCK_ROWS", rows)
+    df = spark.range(n).selectExpr(f"CAST({order} AS DECIMAL(30, 3)) AS at", "'hot' AS k", "id AS v").union(
+        spark.range(rows).selectExpr("CAST(id AS DECIMAL(30, 3))", "NULL", "id"))
+    blocks = sequences.with_blocks(df, ["k"], "at").groupBy("k", "_block").agg(
+        F.count("*").alias("n"), F.min("at").alias("low"), F.max("at").alias("high")).orderBy("k", "_block").collect()
+    assert [(r["_block"], r.n) for r in blocks if r.k is None] == [(0, rows)]  # a short one stays whole
+    hot = [r for r in blocks if r.k]
+    assert sum(r.n for r in hot) == n and max(r.n for r in hot) <= most and len(hot) <= 3 * n / rows
+    assert all(a.high < b.low for a, b in zip(hot, hot[1:]))
+    found = sequences.scan(df, ["k"], "at", {"total": Running("max", F.col("v"))}).filter("k = 'hot'").collect()
+    highest = {}
+    for r in sorted(found, key=lambda r: r.at):
+        highest[r.at] = max(r.v, max(highest.values(), default=0))
+    assert all(highest[r.at] >= r.total >= r.v for r in found)
+    if "40" not in order:
+        assert all(highest[r.at] == r.total for r in found)
+
+
+def test_orders_without_values_and_empty_sequences(spark, monkeypatch):
+    monkeypatch.setattr(sequences, "BLOCK_ROWS", 3)
+    df = spark.range(10).selectExpr("CAST(NULL AS BIGINT) AS at", "'a' AS k").union(spark.range(10).selectExpr("5", "'b'"))
+    blocks = sequences.with_blocks(df, ["k"], "at")
+    found = {(r.k, r["_block"]) for r in blocks.collect()}
+    assert len(found) == 2 and ("a", -1) in found and all(block >= 0 for k, block in found if k == "b")
+    assert sequences.with_blocks(df.limit(0), ["k"], "at").collect() == []
