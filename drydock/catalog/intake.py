@@ -368,6 +368,23 @@ def widened_incrementally(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_published(spark, f"{base}/published", "customer")
 
 
+def replaced_incrementally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second archive comes a second time under its old name: first with a third of its orders, without
+    prices and with a column that goes again, then as it should be. The table published after that."""
+    base = scratch(spark, "stream")
+    archives = _staged(spark, order_archives(spark, sf_dir))
+    again = block_of("o_orderkey", 5000) % 2 == 0
+    path = F.concat(F.lit("/landing/CSV_ORDERS_"), block_of("o_orderkey", 5000).cast("string"), F.lit(".ZIP"))
+    early = table(spark, sf_dir, "orders").filter(again & (F.col("o_orderkey") % 3 == 0)).select(
+        "o_orderkey", F.lit("unknown").alias("o_totalprice"), F.lit("early").alias("o_note"))
+    early = _staged(spark, zip_members(csv_members(early, path, F.lit("early.csv"), "o_orderkey", early.columns)))
+    for run in (archives.join(early, "path", "left_anti").unionByName(early), archives.join(early, "path", "left_semi")):
+        write_archives(run, f"{base}/landing")
+        incremental_ingest(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", TABLE_REGISTRY,
+                           publish_to=f"{base}/published", roles=ORDER_ROLES).awaitTermination()
+    return scan_published(spark, f"{base}/published", "orders")
+
+
 def profiled_incrementally(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profiles of landed orders from the states of two micro-batches, without a look at a record."""
     base = scratch(spark, "stream")
@@ -423,6 +440,7 @@ QUERIES = {
     "incremental_publish": published_incrementally,
     "incremental_widening": widened_incrementally,
     "incremental_profile": profiled_incrementally,
+    "incremental_replacement": replaced_incrementally,
     "coerced_identifiers": lost_identifiers,
     "landing_reconcile": landing_reconcile,
     "forced_reconcile": forced_reconcile,
@@ -524,6 +542,7 @@ ORACLES = {
     "ingest_publish": _ORDERS,
     "resume_publish": _ORDERS,
     "incremental_publish": _ORDERS,
+    "incremental_replacement": _ORDERS,
     "incremental_widening": (
         'SELECT c_custkey AS "C_CUSTKEY", CASE WHEN c_custkey % 3 = 2 AND c_custkey % 7 <> 0 '
         'THEN c_nationkey::BIGINT END AS "C_PARTNER", (CASE WHEN c_custkey % 3 = 0 '

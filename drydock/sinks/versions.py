@@ -34,13 +34,15 @@ WHOLE = -1
 class Delivery:
     """What one delivery has added: its files, rows, and the type of each column
     its files hold, by the name in the source. A column without any value is
-    left out of the files; it is null whatever type it gets later."""
+    left out of the files; it is null whatever type it gets later. ``revision`` is
+    the delivery that last replaced some of it, if any has."""
 
     number: int
     files: tuple[str, ...]
     rows: int
     types: Mapping[str, str]
     lost: Mapping[str, int] = field(default_factory=dict)
+    revision: int | None = None
 
 
 @dataclass(frozen=True)

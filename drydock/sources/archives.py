@@ -29,6 +29,7 @@ from drydock.session import scratch
 ROW_SCHEMA = ("path string, member string, row_no bigint, layout bigint, "
               "fields array<string>, error string")
 MEMBER_SCHEMA = "path string, member string, error string, length bigint"
+DIGEST_SCHEMA = "path string, digest string"
 
 _ROWS = pa.schema([
     ("path", pa.string()), ("member", pa.string()), ("row_no", pa.int64()),
@@ -328,6 +329,18 @@ def _member_lister(opener):
     return listed
 
 
+def _digester(opener):
+    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                digest = hashlib.sha256()
+                with _handle(batch, i, opener) as handle:
+                    while chunk := handle.read(_BLOCK):
+                        digest.update(chunk)
+                yield pa.RecordBatch.from_pydict({"path": [batch.column("path")[i].as_py()], "digest": [digest.hexdigest()]})
+    return digested
+
+
 def _carried(archives: DataFrame) -> list[str]:
     return ["path", "content"] if "content" in archives.columns else ["path"]
 
@@ -337,6 +350,11 @@ def list_members(archives: DataFrame, opener: Callable = open_path) -> DataFrame
     return archives.select(*_carried(archives)).mapInArrow(_member_lister(opener), MEMBER_SCHEMA)
 
 
+def archive_digests(archives: DataFrame, opener: Callable = open_path) -> DataFrame:
+    """``path, digest``: the SHA-256 of each archive's bytes, which the tasks read in blocks."""
+    return archives.select(*_carried(archives)).mapInArrow(_digester(opener), DIGEST_SCHEMA)
+
+
 def expand_archives(archives: DataFrame, header_only: bool = False, opener: Callable = open_path,
                     max_record_bytes: int = MAX_RECORD_BYTES, split_above: int | None = None,
                     block_bytes: int = BLOCK_BYTES) -> DataFrame:

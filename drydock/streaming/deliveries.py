@@ -50,7 +50,8 @@ def _described(spark: SparkSession, types: Mapping[str, str], dictionary: DataFr
 
 
 def _written(spark: SparkSession, folder: str, number: int, rows: DataFrame, types: Mapping[str, str],
-             kinds: Mapping[str, int], schema: T.StructType, roles: ColumnRoles, mode: str) -> Delivery:
+             kinds: Mapping[str, int], schema: T.StructType, roles: ColumnRoles, mode: str,
+             revision: int | None) -> Delivery:
     """Type the records of one delivery and write them; columns of which it has no value are left out."""
     texts = assemble_table(rows)
     held = [n for n in texts.columns if kinds.get(n)] or texts.columns[:1]
@@ -60,7 +61,7 @@ def _written(spark: SparkSession, folder: str, number: int, rows: DataFrame, typ
     files = add_files(spark, table.select(*[
         column(n).alias(n, metadata=schema[n].metadata) for n in table.columns]), folder, number)
     lost = told()
-    return Delivery(number, files, lost.pop("rows"), {n: types[n] for n in held}, lost)
+    return Delivery(number, files, lost.pop("rows"), {n: types[n] for n in held}, lost, revision)
 
 
 def publish_delivery(spark: SparkSession, records: Callable[[int], DataFrame], states: DataFrame, out: str,
@@ -76,7 +77,9 @@ def publish_delivery(spark: SparkSession, records: Callable[[int], DataFrame], s
     gives what its text would have given, else from its records. Everything
     else stays in the files it is in. The result equals one ingest of all
     deliveries. A delivery that comes again replaces what it had added, and one
-    that is known by its states but was never published is published now. Schema,
+    that is known by its states but was never published is published now. One of
+    which a later delivery has replaced archives (``revision`` of its states) is
+    written again from what is left of it, and goes when nothing is. Schema,
     descriptions and properties are written where the schema has changed.
     """
     folder = folder_of(out, dataset.name)
@@ -94,12 +97,20 @@ def publish_delivery(spark: SparkSession, records: Callable[[int], DataFrame], s
         own = states.filter((F.col("dataset") == dataset.name) & (F.col("batch") == delivery))
         return {r["column"]: r["kinds"] for r in own.groupBy("column").agg(F.bit_or("kinds").alias("kinds")).collect()}
 
+    replaced = F.when(F.col("revision") > F.col("batch"), F.col("revision")) if "revision" in states.columns else F.lit(None)
+    landed = {r["batch"]: r["revision"] for r in states.filter(F.col("dataset") == dataset.name).groupBy("batch").agg(
+        F.max(replaced).alias("revision")).collect()}
+
     def retyped(delivery: int) -> Delivery:
-        return _written(spark, folder, delivery, records(delivery), types, kinds_in(delivery), schema, roles, mode)
+        return _written(spark, folder, delivery, records(delivery), types, kinds_in(delivery), schema, roles, mode,
+                        landed.get(delivery))
 
     kept = []
     for old in current.deliveries if current else ():
-        if old.number in (number, WHOLE):
+        if old.number in (number, WHOLE) or old.number not in landed:
+            continue
+        if old.revision != landed[old.number]:  # some of its archives have come again
+            kept.append(retyped(old.number))
             continue
         wider = {(n, t, types[n]) for n, t in old.types.items() if types[n] != t}
         if not wider:
@@ -109,11 +120,10 @@ def publish_delivery(spark: SparkSession, records: Callable[[int], DataFrame], s
             cast = stored.select(*[column(n).cast(schema[n].dataType).alias(n, metadata=schema[n].metadata)
                                    for n in stored.columns])
             kept.append(Delivery(old.number, add_files(spark, cast, folder, old.number), old.rows,
-                                 {n: types[n] for n in old.types}, old.lost))
+                                 {n: types[n] for n in old.types}, old.lost, old.revision))
         else:
             kept.append(retyped(old.number))
-    landed = states.filter(F.col("dataset") == dataset.name).select("batch").distinct().collect()
-    missing = {r["batch"] for r in landed} - {d.number for d in kept} - {number}
+    missing = set(landed) - {d.number for d in kept} - {number}
     kept += [retyped(n) for n in sorted(missing)]  # of a writer that stopped before its version was there
     added = retyped(number)
     mark = f"{folder}/_SUCCESS"

@@ -1,6 +1,7 @@
 """Deliveries: states join, publishing adds, and only what widened is written again."""
 
 import itertools
+import os
 import random
 
 import pytest
@@ -17,8 +18,9 @@ from drydock.sinks.versions import read_manifest
 from drydock.sources.archives import expand_archives
 from drydock.sources.listing import scan_published
 from drydock.streaming import deliveries
+from drydock.streaming.arrivals import notice_archives
 from drydock.streaming.deliveries import published_deliveries
-from drydock.streaming.incremental import incremental_ingest, landed, landed_profiles
+from drydock.streaming.incremental import current_records, incremental_ingest, landed, landed_profiles
 
 REGISTRY = Registry((Dataset("things", "CSV_THINGS", "THINGS", "All things"), Dataset("rest", "CSV_REST", "REST", "The rest")))
 ROLES = ColumnRoles(("KEY",), ("SEEN", "MADE"))
@@ -193,3 +195,125 @@ def test_profiles_from_states_equal_those_from_the_data(zone):
     got = landed_profiles(zone.spark, str(zone.path / "out"), REGISTRY, ROLES, str(zone.path / "published"))
     want = profile_all({n: zone.table(n) for n in ("things", "rest")}, REGISTRY, ROLES.date_columns)
     same(got, want)
+
+
+# -- archives that come again ------------------------------------------------------
+
+
+def replace(zone, n, text, name="CSV_THINGS"):
+    """Another archive under an old name, a minute younger each time."""
+    place = zone.path / "raw" / f"{n}_{name}.zip"
+    when = place.stat().st_mtime + 60
+    place.write_bytes(zip_bytes({"a.csv": text}) if isinstance(text, str) else text)
+    os.utime(place, (when, when))
+
+
+def statuses(zone):
+    found = landed(zone.spark, str(zone.path / "out")).orderBy("batch").collect()
+    return [(r["batch"], r["path"].rsplit("/", 1)[-1][0], r["status"]) for r in found]
+
+
+def test_a_replaced_archive_takes_the_place_of_its_records(zone):
+    zone.deliver("CSV_THINGS", "key,n,gone\n1,5,a\n2,x,b\n")
+    zone.deliver("CSV_THINGS", "key,n\n3,7\n")
+    second = zone.files(1)
+    replace(zone, 1, "key,n,new\n1,6,c\n")
+    zone.run()
+    same(zone.table(), zone.whole())
+    assert zone.table().schema["N"].dataType.simpleString() == "bigint" and zone.files(0) == []
+    assert not set(zone.files(1)) & set(second)  # n was text while the first one said so
+    assert statuses(zone) == [(0, "1", "success"), (1, "2", "success"), (2, "1", "success")]
+    current = current_records(zone.spark, str(zone.path / "out")).filter("row_no > 0")
+    assert sorted(r["fields"][0] for r in current.collect()) == ["1", "3"]
+    got = landed_profiles(zone.spark, str(zone.path / "out"), REGISTRY, ROLES, str(zone.path / "published"))
+    same(got, profile_all({"things": zone.table()}, REGISTRY, ROLES.date_columns))
+
+
+def test_replacing_leaves_other_deliveries_and_datasets_alone(zone):
+    (zone.path / "raw" / "1_CSV_THINGS.zip").write_bytes(zip_bytes({"a.csv": "key,n\n1,5\n"}))
+    (zone.path / "raw" / "8_CSV_THINGS.zip").write_bytes(zip_bytes({"a.csv": "key,n\n8,5\n"}))
+    (zone.path / "raw" / "9_CSV_REST.zip").write_bytes(zip_bytes({"a.csv": "n\n9\n"}))
+    zone.run()
+    zone.n = 1
+    zone.deliver("CSV_THINGS", "key,n\n2,6\n")
+    zone.deliver("CSV_REST", "n\n3\n")
+    things, rest = zone.files(1), zone.files(name="rest")
+    replace(zone, 8, "key,n\n7,5\n7,8\n")
+    zone.run()
+    assert zone.files(1) == things and zone.files(name="rest") == rest
+    assert sorted(map(tuple, zone.table().collect())) == [(1, 5), (2, 6), (7, 5), (7, 8)]
+    zone.deliver("CSV_REST", "n\n4\n")  # its first delivery shares a micro-batch with what was replaced
+    assert zone.files(0, "rest") == [f for f in rest if f.startswith("d000000")]
+    same(zone.table("rest"), zone.whole("rest"))
+
+
+def test_touched_and_broken_archives_change_nothing(zone):
+    zone.deliver("CSV_THINGS", "key,n\n1,5\n")
+    before = zone.files()
+    replace(zone, 1, (zone.path / "raw" / "1_CSV_THINGS.zip").read_bytes())
+    zone.run()
+    replace(zone, 1, b"broken")
+    zone.run()
+    assert zone.files() == before and [tuple(r) for r in zone.table().collect()] == [(1, 5)]
+    replace(zone, 1, "key,n\n1,5\n2,5\n")
+    zone.run()
+    zone.run()
+    assert [s for _, _, s in statuses(zone)] == ["success", "skipped", "error", "success"]
+    same(zone.table(), zone.whole())
+
+
+def test_a_replacement_that_could_not_be_published_is_made_good(zone, monkeypatch):
+    zone.deliver("CSV_THINGS", "key,n\n1,5\n")
+    zone.deliver("CSV_THINGS", "key,n\n2,6\n")
+
+    def stop(*_):
+        raise OSError("the power went")
+
+    monkeypatch.setattr(deliveries, "write_manifest", stop)
+    replace(zone, 1, "key,n\n1,7\n")
+    zone.run()
+    monkeypatch.undo()
+    assert sorted(map(tuple, zone.table().collect())) == [(1, 5), (2, 6)]
+    zone.deliver("CSV_THINGS", "key,n\n3,8\n")
+    same(zone.table(), zone.whole())
+
+
+def test_two_versions_noticed_before_they_are_read(zone):
+    raw, notices = str(zone.path / "raw"), str(zone.path / "out" / "notices")
+    (zone.path / "raw" / "1_CSV_THINGS.zip").write_bytes(zip_bytes({"a.csv": "key,n\n1,5\n"}))
+    notice_archives(zone.spark, raw, notices, 10)
+    replace(zone, 1, "key,n\n1,7\n")
+    zone.run()
+    assert statuses(zone) == [(0, "1", "success"), (1, "1", "skipped")]
+    same(zone.table(), zone.whole())
+
+
+def test_notices_come_in_files_of_bounded_size(zone):
+    raw, notices = str(zone.path / "raw"), str(zone.path / "out" / "notices")
+    notice_archives(zone.spark, raw, notices, 2)
+    assert child_names(zone.spark, notices) == []
+    for k in range(7):
+        (zone.path / "raw" / f"{k}_CSV_THINGS.zip").write_bytes(zip_bytes({"a.csv": f"key\n{k}\n"}))
+        os.utime(zone.path / "raw" / f"{k}_CSV_THINGS.zip", (10**9 * (k % 2 + 1),) * 2)  # old ones among new ones
+    notice_archives(zone.spark, raw, notices, 2)
+    notice_archives(zone.spark, raw, notices, 2)
+    sizes = zone.spark.read.parquet(notices).groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in sizes) <= 2 and sum(r["count"] for r in sizes) == 7
+    zone.run(files_per_batch=2)
+    (zone.path / "raw" / "7_CSV_THINGS.zip").write_bytes(zip_bytes({"a.csv": "key\n7\n"}))
+    os.utime(zone.path / "raw" / "7_CSV_THINGS.zip", (10**8, 10**8))  # years older than all that has been read
+    zone.run()
+    assert sorted(r["KEY"] for r in zone.table().collect()) == list(range(8))
+
+
+def test_outcomes_of_before_digests_were_kept(zone):
+    """Archives read without a digest are read once more, and replace themselves."""
+    zone.deliver("CSV_THINGS", "key,n\n1,5\n")
+    place = str(zone.path / "out" / "outcomes" / "batch=0")
+    old = zone.spark.createDataFrame(zone.spark.read.parquet(place).drop("digest").collect(),
+                                     zone.spark.read.parquet(place).drop("digest").schema)
+    old.write.mode("overwrite").parquet(place)
+    replace(zone, 1, (zone.path / "raw" / "1_CSV_THINGS.zip").read_bytes())
+    zone.run()
+    same(zone.table(), zone.whole())
+    assert zone.files(0) == []
