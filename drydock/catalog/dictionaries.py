@@ -15,7 +15,7 @@ from drydock.operators.distinct import keep_first
 from drydock.operators.grids import (
     clean_tables, detect_column_roles, grid_kinds, looks_like_variable, promote_header)
 from drydock.operators.lookups import (
-    described, join_descriptions, with_dataset_description, with_dictionary_table)
+    described, dictionary_coverage, join_descriptions, with_dataset_description, with_dictionary_table)
 from drydock.operators.pages import assemble_pages
 from drydock.operators.sequences import explode_lines, forward_fill, segment
 from drydock.operators.stanzas import compose_description, definition_name, parse_stanzas
@@ -84,6 +84,12 @@ def parts_with_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("table").agg(F.count("*").alias("described"))
 
 
+def labels_that_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each label of a dictionary of large parts serves, in tables which hold the parts of even keys."""
+    return dictionary_coverage(_part_columns(spark, sf_dir).filter("p_partkey % 2 = 0 AND table < 'BRAND#4'"),
+                               _part_dictionary(spark, sf_dir))
+
+
 EVENT_REGISTRY = Registry((
     Dataset("view", "VIEW", "VISITS", "Pages seen"), Dataset("click", "CLICK", "VISITS", "Links followed"),
     Dataset("purchase", "PURCHASE", "SALES", "Things bought")))
@@ -353,6 +359,7 @@ QUERIES = {
     "variable_keep_first": first_kept,
     "describe_columns": described_parts,
     "described_counts": parts_with_entry,
+    "dictionary_coverage": labels_that_describe,
     "dataset_tables": events_by_dataset,
     "section_counts": sections,
     "dictionary_preview": first_ten,
@@ -408,6 +415,12 @@ ORACLES = {
         "SELECT c.p_partkey, c.\"table\", c.\"column\", coalesce(d.description, '') AS description "
         f"FROM {_PART_COLUMNS} c LEFT JOIN {_ENTRIES} d "
         "ON c.\"table\" = d.\"table\" AND upper(c.\"column\") = d.variable"),
+    "dictionary_coverage": (
+        "WITH entry AS (SELECT DISTINCT upper(p_brand) AS \"table\", upper(replace(p_name, ' ', '_')) AS variable "
+        "FROM part WHERE p_size > 40), held AS (SELECT DISTINCT upper(p_brand) AS \"table\", "
+        "upper(replace(p_name, ' ', '_')) AS variable, 1 AS met FROM part WHERE p_partkey % 2 = 0 AND upper(p_brand) < 'BRAND#4') "
+        "SELECT \"table\", count(*) AS entries, count(met) AS describing, "
+        "\"table\" IN (SELECT \"table\" FROM held) AS found FROM entry LEFT JOIN held USING (\"table\", variable) GROUP BY 1"),
     "described_counts": (
         f"SELECT c.\"table\", count(*)::BIGINT AS described FROM {_PART_COLUMNS} c JOIN {_ENTRIES} d "
         "ON c.\"table\" = d.\"table\" AND upper(c.\"column\") = d.variable GROUP BY c.\"table\""),

@@ -59,6 +59,18 @@ def described(columns: DataFrame, dictionary: DataFrame, salts: int = 1) -> Data
     return include(keyed, dictionary, ["table", "variable"], salts).drop("variable")
 
 
+def dictionary_coverage(columns: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Per table label of a dictionary ``table, entries, describing, found``: its entries, those which describe a
+    column ``(table, column)``, and whether there is a table of that name at all. A label with ``describing`` 0 serves
+    nothing, and asks for a ``table_map`` if ``found`` is false. Labels are in order."""
+    keys = columns.select("table", upper_strip(F.col("column")).alias("variable")).distinct()
+    met = lookup(dictionary.select("table", "variable"), keys.withColumn("_met", F.lit(1)), ["table", "variable"])
+    labels = met.groupBy("table").agg(F.count("*").alias("entries"), F.count("_met").alias("describing"))
+    tables = keys.select("table").distinct().withColumn("_found", F.lit(True))
+    return lookup(labels, tables, ["table"]).select(
+        "table", "entries", "describing", F.coalesce("_found", F.lit(False)).alias("found")).orderBy("table")
+
+
 #: Up to so many datasets a registry is written into the plan, as a projection; a larger one is an automaton or a join.
 DATASETS_IN_PLAN = 64
 

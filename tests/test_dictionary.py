@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from drydock.operators.describe import attach_descriptions, descriptions_for
 from drydock.operators.dictionary import load_dictionary, read_dictionary
-from drydock.operators.lookups import described, exclude, include, join_descriptions
+from drydock.operators.lookups import described, dictionary_coverage, exclude, include, join_descriptions
 from drydock.sinks.parquet import publish, publish_table, read_properties
 from drydock.sinks.text import write_dictionary_csv
 from drydock.sources.listing import column_catalog, described_columns, published_names, list_files
@@ -88,3 +88,15 @@ def test_catalog_table(spark, tmp_path):
     assert shown["source"] == "s" and "source_url" in shown  # its value is shown redacted
     assert spark.catalog.getTable("drydock_test.t").description == "It's a table"
     spark.sql("DROP TABLE drydock_test.t")
+
+
+def test_labels_that_describe_nothing_are_told(spark):
+    raw = spark.createDataFrame(
+        [("t", "a", "x"), ("t", "b", "x"), ("table_1", "a", "x"), (None, "a", "x"), ("u", "zz", "x")],
+        "table string, variable string, description string")
+    columns = spark.createDataFrame([("T", " a "), ("T", "A"), ("U", "c"), ("T", None)], "table string, column string")
+    told = dictionary_coverage(columns, load_dictionary(raw, F.lit(0)))
+    assert [tuple(r) for r in told.collect()] == [("", 1, 0, False), ("T", 2, 1, True), ("TABLE_1", 1, 0, False), ("U", 1, 0, True)]
+    mapped = dictionary_coverage(columns, load_dictionary(raw.filter("table = 'table_1'"), F.lit(0), {"table_1": "t"}))
+    assert [tuple(r) for r in mapped.collect()] == [("T", 1, 1, True)]
+    assert dictionary_coverage(columns, load_dictionary(raw.limit(0), F.lit(0))).collect() == []
