@@ -15,12 +15,15 @@ from drydock.llm.common import staged, table
 from drydock.session import ship_package
 
 SHARDS = 24
+#: The share of a text's words that its language must have: more than one language cannot hold half of them.
+LEAST_SHARE = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told by the random field (4); the others go."""
+    """Documents in one language, which the random field (4) finds in half of their words at least; the others go.
+    From here on ``lang`` is the language found, whatever the document came with."""
     ship_package(spark)
-    return language.accepted(docs, language.learn(docs))
+    return language.relabelled(docs, language.learn(docs), least=LEAST_SHARE)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.functions import arrow_udf
 
-from drydock.llm.common import chunks, code_points, is_kind, mixed, rolled, runs, slices, spans_hash
+from drydock.llm.common import chunks, code_points, fresh, is_kind, mixed, rolled, runs, slices, spans_hash
 
 UNKNOWN = "und"
 FEATURE_BITS = 18
@@ -375,21 +375,37 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: st
 def _teller(shared, least: float):
     def told(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            good: list[bool] = []
+            found: list[str | None] = []
             for texts in slices(batch, ROWS):
                 for some in chunks(texts, [len(t) for t in texts], BATCH_CHARS):
                     labels, scores, _ = label_texts(some, shared.value)
-                    good += [label != UNKNOWN and score >= least for label, score in zip(labels, scores, strict=True)]
-            yield pa.array(good, pa.bool_())
-    return arrow_udf(told, T.BooleanType())
+                    found += [label if label != UNKNOWN and score >= least else None
+                              for label, score in zip(labels, scores, strict=True)]
+            yield pa.array(found, pa.string())
+    return arrow_udf(told, T.StringType())
+
+
+def _told(docs: DataFrame, model: Model, text: str, least: float):
+    if not model.labels:  # one label for whatever has a word
+        model = Model([""], np.zeros((1 << FEATURE_BITS, 1), np.float32), np.zeros(0, np.uint64),
+                      np.zeros((0, 1), np.float32), np.zeros((1, 1)), np.zeros((1, 1)))
+    return _teller(docs.sparkSession.sparkContext.broadcast(model), least), F.col(f"`{text}`").cast("string")
 
 
 def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = 0.0) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose language could be told
     (not ``und``, score at least ``least``). Where nothing could be learned, those with a letter.
     Only the text goes to Python, and only the answer comes back."""
-    if not model.labels:  # one label for whatever has a word
-        model = Model([""], np.zeros((1 << FEATURE_BITS, 1), np.float32), np.zeros(0, np.uint64),
-                      np.zeros((0, 1), np.float32), np.zeros((1, 1)), np.zeros((1, 1)))
-    told = _teller(docs.sparkSession.sparkContext.broadcast(model), least)
-    return docs.filter(told(F.col(f"`{text}`").cast("string")))
+    told, own = _told(docs, model, text, least)
+    return docs.filter(told(own).isNotNull())
+
+
+def relabelled(docs: DataFrame, model: Model, text: str = "text", label: str = "lang", least: float = 0.0) -> DataFrame:
+    """The rows that ``accepted`` keeps, their ``label`` replaced by the language that was told.
+    Where nothing could be learned, labels stay. All other columns, and the order of columns, are those of ``docs``."""
+    told, own = _told(docs, model, text, least)
+    name = fresh(docs, "told")
+    # Spark would compute a deterministic function once for the filter and once for the column
+    found = docs.withColumn(name, told.asNondeterministic()(own)).filter(F.col(name).isNotNull())
+    new = F.col(name).cast(docs.schema[label].dataType) if model.labels else F.col(f"`{label}`")
+    return found.select(*[new.alias(c) if c == label else F.col(f"`{c}`") for c in docs.columns])

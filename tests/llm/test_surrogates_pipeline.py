@@ -1,4 +1,5 @@
 import re
+import zlib
 from collections import Counter
 
 import pytest
@@ -236,3 +237,25 @@ def test_pipeline_stage_by_stage(spark):
     final = corpus_pipeline.shard(spark, mixed, SF).collect()
     sizes = Counter(r["shard"] for r in final)
     assert len(final) == mixed.count() and max(sizes.values()) - min(sizes.values()) <= 1
+
+
+def test_language_stage_decides(spark):
+    """Labels that are missing or wrong are replaced, and a text of which no language has half goes."""
+    words = {"de": ["haus", "baum", "straße", "über", "nicht"], "es": ["casa", "perro", "año", "niño", "gato"],
+             "en": ["house", "tree", "the", "with", "which"]}
+    rows = [(10 * k + n, " ".join((v[(k + i) % 5] for i in range(20))) + f" {v[k % 5]}" * (k % 7), lang, "s", k)
+            for k in range(60) for n, (lang, v) in enumerate(words.items())]
+    rows += [(5001, " ".join(words["de"] * 3), None, "s", 1), (5002, " ".join(words["es"] * 3), None, "s", 1),
+             (5003, " ".join(w for k in range(5) for w in (words["de"] * 2 + words["es"] * 2 + words["en"] * 2)), None, "s", 1),
+             (5004, "12 34", "en", "s", 1)]
+    wrong = next(k for k in range(6000, 6100) if zlib.crc32(str(k).encode()) % 3 == 1)  # held out, so not learned from
+    docs = frame(spark, [*rows, (wrong, " ".join(words["en"] * 4), "de", "s", 1)], extra=("told", "_told"))
+    found = corpus_pipeline.identify_language(spark, docs, SF)
+    assert found.dtypes == docs.dtypes
+    lang = {r["doc_id"]: r["lang"] for r in found.collect()}
+    assert lang[5001] == "de" and lang[5002] == "es" and lang[wrong] == "en"
+    assert set(lang) == {r[0] for r in rows} - {5003, 5004} | {wrong}
+    assert all(lang[r[0]] == r[2] for r in rows if r[2] and r[0] in lang)
+    assert str(found._jdf.queryExecution().optimizedPlan().toString()).count("ArrowEvalPython") == 1
+    unlabelled = frame(spark, [(1, "some words", None, "s", 1), (2, "12", None, "s", 1)])
+    assert [(r["doc_id"], r["lang"]) for r in corpus_pipeline.identify_language(spark, unlabelled, SF).collect()] == [(1, None)]
