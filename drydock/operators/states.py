@@ -17,7 +17,7 @@ from drydock.config import NULL_TOKENS, WHITESPACE, ColumnRoles, DateRules
 from drydock.functions import numbers
 from drydock.functions.dates import to_date_time
 from drydock.functions.text import null_tokens
-from drydock.sources.archives import layouts
+from drydock.session import scratch
 
 STATE_SCHEMA = ("dataset string, column string, layout bigint, place int, rows bigint, kinds int, "
                 "text_low timestamp_ntz, text_high timestamp_ntz, whole_low timestamp_ntz, whole_high timestamp_ntz")
@@ -36,7 +36,12 @@ def column_states(rows: DataFrame, roles: ColumnRoles = ColumnRoles(), tokens: I
     Dates are looked for in the date columns only, as texts and as whole
     numbers, since the column's type is not settled yet.
     """
-    names = layouts(rows)
+    spark, stored = rows.sparkSession, scratch(rows.sparkSession, "headers")
+    # Headers are stored first: their size is known then, so that a few of them do not make Spark deal records by layout.
+    (rows.filter((F.col("row_no") == 0) & F.col("error").isNull() & F.col("layout").isNotNull())
+     .groupBy("dataset", "layout").agg(F.min("fields").alias("names")).write.parquet(stored))
+    found = spark.read.schema(rows.select("dataset", "layout", F.col("fields").alias("names")).schema).parquet(stored)
+    names = found.groupBy("layout").agg(F.min("names").alias("names"))
     clean = F.upper(F.btrim(F.col("name"), F.lit(WHITESPACE)))
     dated = F.exists("names", lambda name: F.upper(F.btrim(name, F.lit(WHITESPACE))).isin(list(roles.date_columns)))
     where = names.select("layout", F.when(dated, F.col("names")).alias("names"))
@@ -58,8 +63,8 @@ def column_states(rows: DataFrame, roles: ColumnRoles = ColumnRoles(), tokens: I
         F.count_if("text").alias("rows"), F.bit_or(F.when(F.col("text"), kinds)).cast("int").alias("kinds"),
         *[end(F.when(F.col("text") == form, F.col("date"))).alias(f"{name}_{side}")
           for name, form in (("text", True), ("whole", False)) for side, end in (("low", F.min), ("high", F.max))])
-    headers = (rows.filter((F.col("row_no") == 0) & F.col("error").isNull()).select("dataset", "layout").distinct()
-               .join(names, "layout").select("dataset", "layout", F.posexplode("names").alias("place", "column")))
+    headers = (found.select("dataset", "layout").join(names, "layout")
+               .select("dataset", "layout", F.posexplode("names").alias("place", "column")))
     return headers.join(met, ["dataset", "layout", "place"], "left").select(
         "dataset", "column", "layout", "place", F.coalesce("rows", F.lit(0)).alias("rows"),
         F.coalesce("kinds", F.lit(0)).alias("kinds"), "text_low", "text_high", "whole_low", "whole_high")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from drydock.operators.columns import column
-from drydock.sources.archives import layouts
+from drydock.sources.archives import stored_layouts
 
 
 def union_members(*tables: DataFrame) -> DataFrame:
@@ -29,7 +29,7 @@ def assemble_table(rows: DataFrame, headers: DataFrame | None = None) -> DataFra
     reach the driver. Each record is joined to the places of its layout; how,
     Spark decides by their size.
     """
-    found = layouts(rows if headers is None else headers)
+    found = stored_layouts(rows if headers is None else headers)
     named = (found.select("layout", F.posexplode("names").alias("place", "name"))
              .groupBy("name").agg(F.min(F.struct("layout", "place")).alias("first"), F.count("*").alias("n")).collect())
     data = rows.filter((F.col("row_no") > 0) & F.col("error").isNull())

@@ -43,6 +43,7 @@ BAD_DATA = (zipfile.BadZipFile, zlib.error, EOFError, csv.Error, ValueError,
 
 _LIST = pa.list_(pa.string())
 _BLOCK = 4 << 20
+TASKS_PER_CORE = 3
 MAX_RECORD_BYTES = 1 << 30
 # A member beyond the first bound is cut into blocks of the second, parsed side by side.
 SPLIT_ABOVE = 1 << 30
@@ -341,18 +342,33 @@ def _digester(opener):
     return digested
 
 
+def dealt(units: DataFrame, *keys: str) -> DataFrame:
+    """Paths, of archives or members, dealt out by key to some tasks for each core.
+
+    They are few bytes that stand for much work, so their number of tasks is
+    given: by their bytes Spark would put thousands of archives into one task.
+    """
+    return units.repartition(TASKS_PER_CORE * units.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
+def _units(archives: DataFrame) -> DataFrame:
+    """Archives as units of work. Those that bring their bytes are spread by these, and stay where they are."""
+    units = archives.select(*_carried(archives))
+    return units if "content" in units.columns else dealt(units, "path")
+
+
 def _carried(archives: DataFrame) -> list[str]:
     return ["path", "content"] if "content" in archives.columns else ["path"]
 
 
 def list_members(archives: DataFrame, opener: Callable = open_path) -> DataFrame:
     """CSV members ``(path, member, error, length)``, with their inflated length; reads only each archive's index."""
-    return archives.select(*_carried(archives)).mapInArrow(_member_lister(opener), MEMBER_SCHEMA)
+    return _units(archives).mapInArrow(_member_lister(opener), MEMBER_SCHEMA)
 
 
 def archive_digests(archives: DataFrame, opener: Callable = open_path) -> DataFrame:
     """``path, digest``: the SHA-256 of each archive's bytes, which the tasks read in blocks."""
-    return archives.select(*_carried(archives)).mapInArrow(_digester(opener), DIGEST_SCHEMA)
+    return _units(archives).mapInArrow(_digester(opener), DIGEST_SCHEMA)
 
 
 def expand_archives(archives: DataFrame, header_only: bool = False, opener: Callable = open_path,
@@ -392,8 +408,8 @@ def expand_archives(archives: DataFrame, header_only: bool = False, opener: Call
 
 
 def _members_expanded(units: DataFrame, stage) -> DataFrame:
-    rows = (units.filter(F.col("member").isNotNull())
-            .repartition(F.col("path"), F.col("member")).select("path", "member").mapInArrow(stage, ROW_SCHEMA))
+    rows = dealt(units.filter(F.col("member").isNotNull()).select("path", "member"), "path", "member").mapInArrow(
+        stage, ROW_SCHEMA)
     failed = units.filter(F.col("member").isNull()).select(
         "path", "member", F.lit(None).cast("bigint").alias("row_no"),
         F.lit(None).cast("bigint").alias("layout"),
@@ -423,6 +439,15 @@ def layouts(rows: DataFrame) -> DataFrame:
             .groupBy("layout").agg(F.min("fields").alias("names")))
 
 
+def stored_layouts(rows: DataFrame) -> DataFrame:
+    """``layouts``, kept in the shared folder. Their size is known then: where they are few, as headers mostly are,
+    records need not be dealt by layout, which would leave a task for each header."""
+    spark, place = rows.sparkSession, scratch(rows.sparkSession, "layouts")
+    found = layouts(rows)
+    found.write.parquet(place)
+    return spark.read.schema(found.schema).parquet(place)
+
+
 def errors_by_archive(rows: DataFrame) -> DataFrame:
     """One row per broken archive: number of faults and the first message."""
     return archive_faults(rows.filter(F.col("error").isNotNull())).select("path", "faults", "error")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from drydock.session import scratch
 from drydock.sources.archives import (
-    BAD_DATA, BLOCK_BYTES, MAX_RECORD_BYTES, ROW_SCHEMA, error_row, member_headers, open_path, parse_records)
+    BAD_DATA, BLOCK_BYTES, MAX_RECORD_BYTES, ROW_SCHEMA, dealt, error_row, member_headers, open_path, parse_records)
 
 # States of a reader: at the start of a line or of a field, in a bare or a quoted field, after a quote in a
 # quoted field, after a carriage return that has ended a line.
@@ -231,7 +231,7 @@ def expand_large_members(members: DataFrame, opener: Callable = open_path, block
     """
     spark = members.sparkSession
     base = scratch(spark, "blocks")
-    files = members.select("path", "member").repartition(F.col("path"), F.col("member"))
+    files = dealt(members.select("path", "member"), "path", "member")
     files.mapInArrow(_inflater(opener, block_bytes),
                      "path string, member string, block bigint, bytes binary, wide boolean, error string").write.option(
         "parquet.block.size", str(max(block_bytes, 1 << 20))).option("compression", "lz4_raw").parquet(f"{base}/inflated")

@@ -1,12 +1,15 @@
 """Expanding archives: members, encodings, ragged records, faults."""
 
+
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import zip_bytes
 from drydock.sources import archives as source
-from drydock.sources.archives import column_names, errors_by_archive, expand_archives, layouts, list_members
+from drydock.operators.states import column_states
+from drydock.sources.archives import (
+    archive_digests, column_names, errors_by_archive, expand_archives, layouts, list_members)
 from drydock.sources.listing import list_archives, list_files
 from drydock.operators import union
 from drydock.operators.union import assemble_table
@@ -175,3 +178,44 @@ def test_union_by_name(archives):
 def test_single_column_keeps_quoted_empty(archives):
     found = archives({"s.zip": {"a.csv": 'a\n\n  \n1\n""\n'}})
     assert [r[3] for r in rows_of(expand_archives(found).filter(F.col("row_no") > 0))] == [("1",), ("",)]
+
+
+def _folder(tmp_path, count=60):
+    for k in range(count):
+        (tmp_path / f"{k:03d}.zip").write_bytes(zip_bytes({"a.csv": f"a,b\n{k},x\n", "b.csv": f"b\n{k}\n"}))
+    return [(f"file://{tmp_path}/{k:03d}.zip",) for k in range(count)]
+
+
+def test_paths_are_dealt_to_all_cores(spark, tmp_path):
+    """Many archives whose paths are a few bytes do not end up in one task."""
+    paths = spark.createDataFrame(_folder(tmp_path), "path string").coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    for found in (expand_archives(paths), list_members(paths), archive_digests(paths)):
+        tasks = found.select(F.spark_partition_id().alias("task")).distinct().count()
+        assert tasks >= min(cores, 8)
+    assert expand_archives(paths).filter("row_no > 0 AND error IS NULL").count() == 120
+
+
+def test_records_are_not_dealt_by_layout(spark, tmp_path):
+    """Two headers over many records: records stay where they are, for the union and for the states."""
+    rows = spark.range(60_000).selectExpr(
+        "'p' AS path", "if(id % 2 = 0, 'a', 'b') AS member", "id div 2 AS row_no", "id % 2 AS layout",
+        "if(id < 2, if(id = 0, array('x', 'y'), array('y')), "
+        "if(id % 2 = 0, array(md5(string(id)), string(id)), array(sha2(string(id), 256)))) AS fields",
+        "CAST(null AS string) AS error", "'d' AS dataset")
+    rows.write.parquet(f"{tmp_path}/rows")
+    stored = spark.read.parquet(f"{tmp_path}/rows")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "256k")
+    try:
+        table = assemble_table(stored)
+        states = column_states(stored)
+        for found in (table, states):
+            plan = found._jdf.queryExecution().sparkPlan().toString()
+            assert "BroadcastHashJoin" in plan and not any(
+                "SortMergeJoin [layout" in line for line in plan.splitlines())
+        assert table.count() == 60_000 - 2 and table.columns == ["x", "y"]
+        got = {(r["column"], r["layout"], r["place"]): r["rows"] for r in states.collect()}
+        assert got == {("x", 0, 0): 29_999, ("y", 0, 1): 29_999, ("y", 1, 0): 29_999}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
