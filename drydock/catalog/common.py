@@ -63,27 +63,27 @@ def csv_members(df: DataFrame, path: Column, member: Column, order: str,
         "path", "member", F.concat(F.lit(header + "\n"), "_text").alias("text"))
 
 
-def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                for part in row["parts"]:
-                    archive.writestr(part["member"], part["body"])
-            content = buffer.getvalue()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row["path"]], pa.string()), pa.array([len(content)], pa.int64()),
-                 pa.array([content], pa.binary())], names=["path", "length", "content"])
+def _zip(members: pa.Table) -> pa.Table:
+    """The members of one archive, packed in the order of their names."""
+    parts = sorted(zip(members["member"].to_pylist(), members["body"].to_pylist(), strict=True),
+                   key=lambda part: [(x is not None, x) for x in part])
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+        for member, body in parts:
+            archive.writestr(member, body)
+    content = buffer.getvalue()
+    return pa.table([members["path"][:1], pa.array([len(content)], pa.int64()), pa.array([content], pa.binary())],
+                    names=["path", "length", "content"])
 
 
 def zip_members(members: DataFrame, charset: str = "UTF-8") -> DataFrame:
     """CSV members as ZIP archives ``(path, length, content)``, one per path.
 
-    The callers cut their tables into archives of a bounded number of rows.
+    The callers cut their tables into archives of a bounded number of rows; a
+    worker holds one archive's members at a time, however many its task has.
     """
-    part = F.struct("member", F.encode("text", charset).alias("body"))
-    return (members.groupBy("path").agg(F.array_sort(F.collect_list(part)).alias("parts"))
-            .mapInArrow(_zip, ARCHIVE_SCHEMA))
+    return (members.select("path", "member", F.encode("text", charset).alias("body"))
+            .groupBy("path").applyInArrow(_zip, ARCHIVE_SCHEMA))
 
 
 def block_of(key: str, rows: int) -> Column:
@@ -95,9 +95,9 @@ def _writer(folder: str):
         system, inner = pafs.FileSystem.from_uri(folder)
         system.create_dir(inner, recursive=True)
         for batch in batches:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
                 with system.open_output_stream(f"{inner}/{path.rsplit('/', 1)[-1]}") as out:
-                    out.write(content)
+                    out.write(content.as_buffer())
             yield batch.select(["path"])
     return write
 

@@ -1,5 +1,7 @@
 """Expanding archives: members, encodings, ragged records, faults."""
 
+import io
+import zipfile
 
 import pyarrow as pa
 import pytest
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import zip_bytes
 from drydock.sources import archives as source
+from drydock.catalog.common import zip_members
 from drydock.operators.states import column_states
 from drydock.sources.archives import (
     archive_digests, column_names, errors_by_archive, expand_archives, layouts, list_members)
@@ -219,3 +222,17 @@ def test_records_are_not_dealt_by_layout(spark, tmp_path):
         assert got == {("x", 0, 0): 29_999, ("y", 0, 1): 29_999, ("y", 1, 0): 29_999}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_archives_are_packed_one_at_a_time(spark):
+    """A worker is given the members of one archive, not those of all archives of its task."""
+    rows = [(f"/l/{k}.zip", name, f"a\n{k}{name}é\n") for k in range(30) for name in ("b.csv", "A.csv", "é.csv")]
+    made = zip_members(spark.createDataFrame(rows, "path string, member string, text string").coalesce(1), "ISO-8859-1")
+    assert "FlatMapGroupsInArrow" in made._jdf.queryExecution().sparkPlan().toString()
+    found = made.collect()
+    assert len(found) == 30 and all(r["length"] == len(r["content"]) for r in found)
+    for r in found:
+        with zipfile.ZipFile(io.BytesIO(r["content"])) as archive:
+            assert archive.namelist() == ["A.csv", "b.csv", "é.csv"]
+            k = r["path"].split("/")[-1][:-4]
+            assert archive.read("é.csv") == f"a\n{k}é.csvé\n".encode("latin-1")
