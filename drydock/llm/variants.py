@@ -18,6 +18,9 @@ LEAST_POINTS, LEAST_COUNT, RATIO = 6, 5, 5
 #: Parts the dimensions are dealt to. At distance d a signature leaves out d of them:
 #: 15 signatures for distance 2, and 6 for distance 1 at each of two lengths.
 PARTS = 6
+#: Asked of each join here, as both sides have a row per word or more. Spark sizes a table by its compressed files,
+#: and does not count what an explode adds, so it would broadcast tables that the driver cannot hold.
+MERGE = "merge"
 
 
 def word_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", error_rate: int = ERROR_RATE) -> DataFrame:
@@ -104,13 +107,14 @@ def near_words(words: DataFrame) -> DataFrame:
     so candidates are met inside the join and never written. Words of equal
     length that differ in one place agree before or after their middle, which
     is looked at first, as it costs least. Spark splits a signature that many
-    words share. A pair found by several signatures counts once.
+    words share, as the join is a merge join. A pair found by several signatures
+    counts once.
     """
     half = F.floor(F.length("word") / 2).cast("int")
     signed = words.mapInArrow(_signer, _SIGNED).select(
         "word", "n", F.hash(F.col("word").substr(F.lit(1), half)).alias("head"),
         F.hash(F.col("word").substr(half + 1, F.length("word"))).alias("tail"), F.explode("signature").alias("signature"))
-    a, b = signed.alias("a"), signed.alias("b")
+    a, b = signed.alias("a"), signed.alias("b").hint(MERGE)
     may = (F.col("a.head") == F.col("b.head")) | (F.col("a.tail") == F.col("b.tail")) | (
         F.length("a.word") != F.length("b.word"))
     one_edit = F.levenshtein("a.word", "b.word", 1) == 1
@@ -130,7 +134,7 @@ def roots(forms: DataFrame) -> DataFrame:
     """
     now = staged(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
-        onward = now.select(F.col("word").alias("at"), F.col("root").alias("to"))
+        onward = now.select(F.col("word").alias("at"), F.col("root").alias("to")).hint(MERGE)
         stepped = staged(now.join(onward, now["root"] == onward["at"], "left").select(
             "word", F.coalesce("to", "root").alias("root"), F.col("to").isNotNull().alias("moved")), "roots")
         unstaged(now)
@@ -158,12 +162,13 @@ def variants(counts: DataFrame, least_points: int = LEAST_POINTS, least_count: i
                  F.struct((-F.col("n")).alias("n"), F.col("word").alias("word")).alias("near")))).alias("p")).select("p.*")
     found = both.groupBy("word").agg(F.count("*").alias("n_near"), F.min("near").alias("near")).select(
         F.col("word").alias("found"), "n_near", "near.word", (-F.col("near.n")).alias("near_n")).select(
-        "found", "n_near", F.col("word").alias("near"), "near_n")
+        "found", "n_near", F.col("word").alias("near"), "near_n").hint(MERGE)
     is_form = F.col("near_n") >= ratio * F.col("n")
     formed = staged(words.join(found, words["word"] == found["found"], "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(is_form, F.col("near")).alias("form"),
         F.when(is_form, F.col("near_n")).alias("form_n")), "formed")
-    last = roots(formed.filter("form IS NOT NULL").select("word", "form")).select(F.col("word").alias("at"), "root")
+    last = roots(formed.filter("form IS NOT NULL").select("word", "form")).select(
+        F.col("word").alias("at"), "root").hint(MERGE)
     return formed.join(last, formed["word"] == last["at"], "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 

@@ -163,6 +163,32 @@ def test_chains_lead_to_the_last_form(spark):
     assert set(found.values()) == {chain[-1][0]}
 
 
+def test_no_table_of_words_is_broadcast(spark, monkeypatch):
+    plans = []
+
+    def executed(df):
+        rows = df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return rows
+
+    staged = variants.staged
+    monkeypatch.setattr(variants, "staged", lambda df, label: (executed(df), staged(df, label))[1])
+    rng = random.Random(7)
+    counts = {"".join(rng.choice("abÉé") for _ in range(rng.randint(6, 8))): rng.choice([5, 6, 30, 200, 5000])
+              for _ in range(300)}
+    words = spark.createDataFrame(list(counts.items()), "word string, n long")
+    assert sorted(map(repr, map(tuple, executed(variants.variants(words))))) == sorted(map(repr, brute_variants(counts)))
+    assert sum("SortMergeJoin" in plan for plan in plans) >= 3  # of near words, a round of roots, and the result
+    assert not [plan for plan in plans if "Broadcast" in plan]
+
+
+def test_signatures_of_small_files_are_not_broadcast(spark, tmp_path):
+    words = spark.range(100).selectExpr("concat('word', 100000 + id) AS word", "5L AS n")
+    words.write.parquet(f"{tmp_path}/words")
+    plan = variants.near_words(spark.read.parquet(f"{tmp_path}/words"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_signatures_are_exact():
     rng = random.Random(1)
     for _ in range(500):
